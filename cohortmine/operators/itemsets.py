@@ -26,7 +26,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmine.functions import reference_count, support_passes
@@ -83,85 +83,216 @@ def candidates(itemsets: DataFrame, k: int, prune: bool = True) -> DataFrame:
 
 def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int | None = None, count_mode: str = "exact",
-                      tid: str = "tid", item: str = "item", prune: bool = True,
-                      broadcast_rows: int = BROADCAST_ROWS,
-                      checkpoint_interval: int = 2, n: int | None = None) -> DataFrame:
+                      method: str = "bitmap", tid: str = "tid", item: str = "item",
+                      broadcast_rows: int = BROADCAST_ROWS, n: int | None = None) -> DataFrame:
     """H4: all frequent itemsets ``(items ARRAY<INT>, k INT, cnt BIGINT)``.
 
     ``min_support`` is relative and strict (``cnt/n > min_support``); ``n`` is the
     number of distinct transactions. ``max_size`` bounds the itemset size (None: until
     a level is empty). ``count_mode='reference'`` reports ``floor(cnt/(k-1)!)`` for
     k >= 2 and compares a 32-bit float quotient, as the reference does (D1, D2).
+
+    ``method`` picks how level k >= 2 is counted; all give the same result:
+
+    * ``'bitmap'`` (default): vertical tid bitmaps, see :func:`_bitmap_levels`.
+    * ``'tidjoin'``: per-transaction extension join, see :func:`_tidjoin_levels`.
+    * ``'fpgrowth'``: Spark ML FP-growth, then the strict / reference filter.
     """
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
-    keep = []  # cached frames to release at the end
-
     pairs = (tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))
              .distinct().persist(StorageLevel.MEMORY_AND_DISK))
-    keep.append(pairs)
-    if n is None:
-        n = pairs.select("tid").distinct().count()
-    empty = spark.createDataFrame([], "items array<int>, k int, cnt bigint")
-    if n == 0:
-        pairs.unpersist()
-        return empty
-
-    def passes(c):
-        return support_passes(c, n, min_support, count_mode)
-
-    l1 = (pairs.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
-          .filter(passes(F.col("cnt"))).checkpoint())
-    m1 = l1.count()
-    levels = [l1.select(F.array("item").alias("items"), F.lit(1).alias("k"),
-                        F.col("cnt").cast("long").alias("cnt"))]
-    if m1 == 0 or max_size == 1 or m1 < 2:
-        _release(keep)
+    try:
+        if n is None:
+            n = pairs.select("tid").distinct().count()
+        if n == 0:
+            return spark.createDataFrame([], "items array<int>, k int, cnt bigint")
+
+        def passes(c):
+            return support_passes(c, n, min_support, count_mode)
+
+        if method == "fpgrowth":
+            return _fpgrowth_levels(pairs, n, min_support, max_size, count_mode, passes)
+        l1 = (pairs.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
+              .filter(passes(F.col("cnt"))).checkpoint())
+        m1 = l1.count()
+        levels = [l1.select(F.array("item").alias("items"), F.lit(1).alias("k"),
+                            F.col("cnt").cast("long").alias("cnt"))]
+        if m1 >= 2 and (max_size is None or max_size >= 2):
+            f = pairs.join(broadcast_if(l1.select("item"), m1 <= broadcast_rows), "item",
+                           "left_semi").select("tid", "item")
+            if method == "bitmap":
+                levels += _bitmap_levels(f, n, m1, max_size, count_mode, passes, broadcast_rows)
+            elif method == "tidjoin":
+                levels += _tidjoin_levels(f, m1, max_size, count_mode, passes, broadcast_rows)
+            else:
+                raise ValueError(f"unknown method {method!r}")
         return reduce(DataFrame.unionByName, levels)
+    finally:
+        pairs.unpersist()
 
-    f = (pairs.join(broadcast_if(l1.select("item"), m1 <= broadcast_rows), "item", "left_semi")
-         .select("tid", "item").persist(StorageLevel.MEMORY_AND_DISK))
-    keep.append(f)
-    nxt = f.select("tid", F.col("item").alias("nxt"))
-    occ = f.select("tid", F.array("item").alias("items"))
-    prev, prev_rows = levels[0].select("items"), m1
 
+def _level(lk: DataFrame, k: int) -> DataFrame:
+    return lk.select("items", F.lit(k).alias("k"), F.col("cnt").cast("long").alias("cnt"))
+
+
+def _count_col(cnt: Column, k: int, count_mode: str) -> Column:
+    return reference_count(cnt, k) if count_mode == "reference" else cnt
+
+
+# ---- vertical bitmaps -------------------------------------------------------------
+
+# Spark's bitmap functions use fixed 32768-bit (4 KiB) buckets. Transactions are
+# hashed into groups of about TIDS_PER_BUCKET and numbered densely inside a group,
+# so each group fills one bitmap bucket (rarely two).
+BITMAP_BYTES = 4096
+TIDS_PER_BUCKET = 24576
+# Previous-level bitmaps up to this many bytes are broadcast and the work is split by
+# candidate; above it the work stays partitioned by tid bucket.
+BITMAP_BROADCAST_BYTES = 128 * 1024 * 1024
+
+
+def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mode: str,
+                   passes, broadcast_rows: int) -> list[DataFrame]:
+    """Levels k >= 2 over tid bitmaps (Eclat-style vertical layout, built-ins only).
+
+    Every frequent itemset X keeps ``(items, bucket, bm)``: the bitmap of the
+    transactions holding X, one row per tid bucket with any hit. A size-k candidate
+    (apriori-gen) has two frequent parents -- itself without its last item and
+    without its second-to-last -- and its bitmap is their AND
+    (``bitmap_and_agg`` over the two parent rows of each (candidate, bucket)); its
+    support is the summed ``bitmap_count``. The work is |C_k| x buckets, whatever
+    the basket sizes; a transaction with very many rows is still one bit per item,
+    and buckets are uniform by construction, so no key is hot.
+    """
+    buckets = max(1, -(-n // TIDS_PER_BUCKET))
+    hb = F.pmod(F.xxhash64("tid"), F.lit(buckets))
+    # Dense rank of tid inside its hash group: deterministic, so a recomputed task
+    # assigns the same positions. A group holds ~TIDS_PER_BUCKET tids (bounded).
+    gid = F.col("hb") * F.lit(1 << 31) + F.dense_rank().over(Window.partitionBy("hb").orderBy("tid"))
+    pos = f.select("tid", "item", hb.alias("hb")).select("item", gid.alias("gid"))
+    bm = (pos.groupBy(F.array("item").alias("items"), F.bitmap_bucket_number("gid").alias("bucket"))
+          .agg(F.bitmap_construct_agg(F.bitmap_bit_position("gid")).alias("bm"))
+          .checkpoint())
+    prev, prev_rows = bm.select("items").distinct(), m1
+    out = []
     k = 2
     while (max_size is None or k <= max_size) and prev_rows >= 2:
-        ext = (occ.join(nxt, "tid")
-               .filter(F.col("nxt") > F.element_at("items", -1))
-               .select("tid", F.concat("items", F.array("nxt")).alias("items")))
-        if prune and k >= 3:
-            # |C_k| <= |L_{k-1}| * |L_1| is a proven bound; count only beyond it.
-            cand = candidates(prev, k)
-            small = prev_rows * m1 <= broadcast_rows
+        cand = candidates(prev, k)
+        parents = F.array(F.slice("items", 1, k - 1),
+                          F.concat(F.slice("items", 1, k - 2), F.array(F.element_at("items", -1))))
+        par = cand.select("items", F.explode(parents).alias("parent"))
+        side = bm.withColumnRenamed("items", "parent")
+        if prev_rows * buckets * BITMAP_BYTES <= BITMAP_BROADCAST_BYTES:
+            # Small previous level: broadcast its bitmaps, spread candidates.
+            rows = par.repartition("items").join(F.broadcast(side), "parent")
+        else:
+            # Large: bitmaps stay where they are (by bucket); candidates travel.
+            small = prev_rows * m1 * 2 <= broadcast_rows
             if not small:
-                cand = cand.checkpoint()
-                small = cand.count() <= broadcast_rows
-            ext = ext.join(broadcast_if(cand, small), "items", "left_semi")
-        ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
-        keep.append(ext)
-        cnt = ext.groupBy("items").agg(F.count(F.lit(1)).alias("cnt"))
-        if count_mode == "reference":
-            cnt = cnt.select("items", reference_count("cnt", k).alias("cnt"))
-        lk = cnt.filter(passes(F.col("cnt"))).checkpoint()
-        mk = lk.count()
-        if mk == 0:
-            break
-        levels.append(lk.select("items", F.lit(k).alias("k"), F.col("cnt").cast("long").alias("cnt")))
-        occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items", "left_semi")
-        if checkpoint_interval and k % checkpoint_interval == 0:
-            occ = occ.checkpoint()  # cut the lineage; earlier caches no longer needed
-            _release(keep[2:])
-            del keep[2:]
+                par = par.checkpoint()
+                small = par.count() <= broadcast_rows
+            rows = side.join(broadcast_if(par, small), "parent")
+        anded = (rows.groupBy("items", "bucket")
+                 .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))
+                 .filter(F.col("c") == 2)
+                 .select("items", "bucket", "bm", F.bitmap_count("bm").alias("bits"))
+                 .filter(F.col("bits") > 0)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            cnt = anded.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
+            lk = (cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                  .filter(passes(F.col("cnt"))).checkpoint())
+            mk = lk.count()
+            if mk == 0:
+                break
+            out.append(_level(lk, k))
+            if (max_size is not None and k == max_size) or mk < 2:
+                break
+            # Bitmaps of the frequent k-itemsets, written out before the cache goes.
+            bm = (anded.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
+                             "left_semi").select("items", "bucket", "bm").checkpoint())
+        finally:
+            anded.unpersist()
         prev, prev_rows = lk.select("items"), mk
         k += 1
+    return out
 
-    _release(keep)
-    return reduce(DataFrame.unionByName, levels)
 
+# ---- per-transaction extension join ------------------------------------------------
 
-def _release(frames: list[DataFrame]) -> None:
-    for df in frames:
-        df.unpersist()
+def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str, passes,
+                    broadcast_rows: int) -> list[DataFrame]:
+    """Levels k >= 2 by extending each transaction's frequent (k-1)-itemsets.
+
+    ``occ`` holds one ``(tid, items)`` row per transaction and frequent itemset it
+    contains; level k joins it with the transaction's frequent items on ``tid`` with
+    ``item > last(items)``, so every k-itemset is generated once per containing
+    transaction; ``groupBy(items).count()`` (partial aggregation first) is the
+    support. Cheap for short baskets; its rows grow with C(basket size, k).
+    """
+    f = f.persist(StorageLevel.MEMORY_AND_DISK)
+    nxt = f.select("tid", F.col("item").alias("nxt"))
+    occ = f.select("tid", F.array("item").alias("items"))
+    prev = occ.select("items").distinct()
+    prev_rows, out, k = m1, [], 2
+    try:
+        while (max_size is None or k <= max_size) and prev_rows >= 2:
+            ext = (occ.join(nxt, "tid")
+                   .filter(F.col("nxt") > F.element_at("items", -1))
+                   .select("tid", F.concat("items", F.array("nxt")).alias("items")))
+            if k >= 3:
+                # |C_k| <= |L_{k-1}| * |L_1| is a proven bound; count only beyond it.
+                cand = candidates(prev, k)
+                small = prev_rows * m1 <= broadcast_rows
+                if not small:
+                    cand = cand.checkpoint()
+                    small = cand.count() <= broadcast_rows
+                ext = ext.join(broadcast_if(cand, small), "items", "left_semi")
+            ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                cnt = ext.groupBy("items").agg(F.count(F.lit(1)).alias("cnt"))
+                lk = (cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                      .filter(passes(F.col("cnt"))).checkpoint())
+                mk = lk.count()
+                if mk == 0:
+                    break
+                out.append(_level(lk, k))
+                if (max_size is not None and k == max_size) or mk < 2:
+                    break
+                occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
+                               "left_semi").checkpoint()
+            finally:
+                ext.unpersist()
+            prev, prev_rows = lk.select("items"), mk
+            k += 1
+    finally:
+        f.unpersist()
+    return out
+
+
+# ---- FP-growth ------------------------------------------------------------------------
+
+def _fpgrowth_levels(pairs: DataFrame, n: int, min_support: float, max_size: int | None,
+                     count_mode: str, passes) -> DataFrame:
+    """Spark ML FP-growth on the baskets, then the strict (or reference) filter.
+
+    FP-growth's bound is inclusive (``freq >= ceil(s*n)``) and its counts exact, so
+    its output is a superset of every itemset passing ``passes``; in reference mode
+    ``floor(cnt/(k-1)!) <= cnt`` keeps that true.
+    """
+    from pyspark.ml.fpm import FPGrowth
 
+    bask = pairs.groupBy("tid").agg(F.collect_set("item").alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(bask)
+    its = model.freqItemsets.select(F.array_sort("items").alias("items"),
+                                    F.size("items").alias("k"), F.col("freq").alias("cnt"))
+    if max_size is not None:
+        its = its.filter(F.col("k") <= max_size)
+    cnt = F.when(F.col("k") >= 2,
+                 F.floor(F.col("cnt") / F.call_function("factorial", F.col("k") - 1)))
+    if count_mode == "reference":
+        its = its.withColumn("cnt", cnt.otherwise(F.col("cnt")))
+    return (its.filter(passes(F.col("cnt")))
+            .select("items", F.col("k").cast("int").alias("k"), F.col("cnt").cast("long").alias("cnt"))
+            .checkpoint())

@@ -67,13 +67,15 @@ def m1_transactions(spark: SparkSession, sf: str, min_value: float = M1_MIN_VALU
     return transactions(m1_measurements(spark, sf), m1_cohort(spark, sf), min_value)
 
 
-def m1_itemsets(spark: SparkSession, sf: str, max_size: int = 3,
+def m1_itemsets(spark: SparkSession, sf: str, max_size: int | None = 3,
                 min_support: float = MIN_SUPPORT, count_mode: str = "exact",
-                min_value: float = M1_MIN_VALUE) -> tuple[DataFrame, int]:
+                min_value: float = M1_MIN_VALUE, method: str = "bitmap") -> tuple[DataFrame, int]:
     """Mined itemsets (items, k, cnt) and n for mapping M1."""
     tx = m1_transactions(spark, sf, min_value)
     n = transaction_count(tx).first()["n"]
-    return frequent_itemsets(tx, min_support, max_size=max_size, count_mode=count_mode, n=n), n
+    its = frequent_itemsets(tx, min_support, max_size=max_size, count_mode=count_mode,
+                            method=method, n=n)
+    return its, n
 
 
 def _strings(df: DataFrame, *cols: str) -> DataFrame:
