@@ -44,16 +44,38 @@ def item_counts(tx: DataFrame, rows: bool = False, tid: str = "tid", item: str =
     return src.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# Hash sub-groups per prefix class used to rank class members in parallel.
+RANK_GROUPS = 16
+
+
+def _ranked(df: DataFrame, key: str, val: str, groups: int = RANK_GROUPS) -> DataFrame:
+    """Dense rank ``R`` (0-based) of ``val`` inside each ``key`` class plus the class size.
+
+    Members are hashed into ``groups`` sub-groups and ranked inside them in
+    parallel; a sub-group's offset is the running sum of the sizes of the earlier
+    sub-groups of its class (at most ``groups`` rows per class). So no window
+    covers a whole class, even when one class holds every frequent item (k = 2).
+    """
+    d = df.select(key, val, F.pmod(F.xxhash64(val), F.lit(groups)).alias("h"))
+    d = d.select(key, val, "h",
+                 (F.row_number().over(Window.partitionBy(key, "h").orderBy(val)) - 1).alias("r"))
+    sizes = d.groupBy(key, "h").agg(F.count(F.lit(1)).alias("gs"))
+    upto = Window.partitionBy(key).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select(key, "h", F.coalesce(F.sum("gs").over(upto), F.lit(0)).alias("off"),
+                        F.sum("gs").over(Window.partitionBy(key)).alias("g"))
+    return d.join(offs, [key, "h"]).select(key, val, (F.col("off") + F.col("r")).alias("R"), "g")
+
+
 def candidates(itemsets: DataFrame, k: int, prune: bool = True) -> DataFrame:
     """J4 (apriori-gen): size-k candidates ``(items)`` from frequent (k-1)-itemsets.
 
-    Two (k-1)-itemsets sharing their first k-2 items and differing in the last one
-    give one candidate, in one order only (no permutations, no repeated items).
-    Inside each prefix group the itemsets are ranked by their last item; itemset r
-    pairs with ranks r+1 .. g-1 through ``explode(sequence)`` and an equi-join on
-    (prefix, rank), so no cross or theta join is planned. A prefix group holds at
-    most one itemset per frequent item, which bounds every window partition.
-    With ``prune`` a candidate is kept only if all of its (k-1)-subsets are frequent.
+    Two (k-1)-itemsets sharing their first k-2 items (their prefix class) and
+    differing in the last one give one candidate, in one order only (no
+    permutations, no repeated items). Members of a class get a dense rank R; the
+    member of rank R pairs with ranks R+1 .. g-1 through ``explode(sequence)`` and an
+    equi-join on (prefix, rank), so no cross or theta join is planned and the
+    candidate rows are produced spread over tasks. With ``prune`` a candidate is
+    kept only if all of its (k-1)-subsets are frequent.
     """
     if k < 2:
         raise ValueError("candidates need k >= 2")
@@ -61,15 +83,13 @@ def candidates(itemsets: DataFrame, k: int, prune: bool = True) -> DataFrame:
     prev = itemsets.select(F.array_sort(F.col("items").cast("array<int>")).alias("items"))
     prefix = F.slice("items", 1, p) if p > 0 else F.array().cast("array<int>")
     base = prev.select(prefix.alias("prefix"), F.element_at("items", -1).alias("last"))
-    w = Window.partitionBy("prefix").orderBy("last")
-    ranked = base.select("prefix", "last",
-                         (F.row_number().over(w) - 1).alias("rank"),
-                         F.count(F.lit(1)).over(Window.partitionBy("prefix")).alias("g"))
-    left = ranked.filter(F.col("rank") < F.col("g") - 1).select(
-        "prefix", "last", F.explode(F.sequence(F.col("rank") + 1, F.col("g") - 1)).alias("rank"))
-    right = ranked.select("prefix", "rank", F.col("last").alias("other"))
-    cand = left.join(right, ["prefix", "rank"]).select(
-        F.concat("prefix", F.array("last", "other")).alias("items"))
+    ranked = _ranked(base, "prefix", "last")
+    left = ranked.filter(F.col("R") < F.col("g") - 1).select(
+        "prefix", "last", F.explode(F.sequence(F.col("R") + 1, F.col("g") - 1)).alias("R"))
+    right = ranked.select("prefix", "R", F.col("last").alias("other"))
+    cand = left.join(right, ["prefix", "R"]).select(
+        F.concat("prefix", F.array(F.least("last", "other"), F.greatest("last", "other")))
+        .alias("items"))
     if not prune or k < 3:
         return cand
     # The two generators (drop one of the last two items) are frequent by
