@@ -22,6 +22,7 @@ from cohortmine.operators.itemsets import (
     candidates,
     frequent_itemsets,
     item_counts,
+    mine_itemsets,
 )
 from cohortmine.operators.rules import (
     association_rules,
@@ -45,6 +46,7 @@ __all__ = [
     "frequent_itemsets",
     "item_counts",
     "label_counts",
+    "mine_itemsets",
     "rule_complement",
     "strong_measurements",
     "subject_labels",

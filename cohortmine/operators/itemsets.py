@@ -105,7 +105,18 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int | None = None, count_mode: str = "exact",
                       method: str = "bitmap", tid: str = "tid", item: str = "item",
                       broadcast_rows: int = BROADCAST_ROWS, n: int | None = None) -> DataFrame:
-    """H4: all frequent itemsets ``(items ARRAY<INT>, k INT, cnt BIGINT)``.
+    """H4: all frequent itemsets ``(items ARRAY<INT>, k INT, cnt BIGINT)``; see
+    :func:`mine_itemsets`, which also returns the transaction count n."""
+    return mine_itemsets(tx, min_support, max_size, count_mode, method, tid, item,
+                         broadcast_rows, n)[0]
+
+
+def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
+                  max_size: int | None = None, count_mode: str = "exact",
+                  method: str = "bitmap", tid: str = "tid", item: str = "item",
+                  broadcast_rows: int = BROADCAST_ROWS,
+                  n: int | None = None) -> tuple[DataFrame, int]:
+    """H4: ``(itemsets, n)``; itemsets are ``(items ARRAY<INT>, k INT, cnt BIGINT)``.
 
     ``min_support`` is relative and strict (``cnt/n > min_support``); ``n`` is the
     number of distinct transactions. ``max_size`` bounds the itemset size (None: until
@@ -126,13 +137,13 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         if n is None:
             n = pairs.select("tid").distinct().count()
         if n == 0:
-            return spark.createDataFrame([], "items array<int>, k int, cnt bigint")
+            return spark.createDataFrame([], "items array<int>, k int, cnt bigint"), 0
 
         def passes(c):
             return support_passes(c, n, min_support, count_mode)
 
         if method == "fpgrowth":
-            return _fpgrowth_levels(pairs, n, min_support, max_size, count_mode, passes)
+            return _fpgrowth_levels(pairs, n, min_support, max_size, count_mode, passes), n
         l1 = (pairs.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
               .filter(passes(F.col("cnt"))).checkpoint())
         m1 = l1.count()
@@ -147,7 +158,7 @@ def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                 levels += _tidjoin_levels(f, m1, max_size, count_mode, passes, broadcast_rows)
             else:
                 raise ValueError(f"unknown method {method!r}")
-        return reduce(DataFrame.unionByName, levels)
+        return reduce(DataFrame.unionByName, levels), n
     finally:
         pairs.unpersist()
 

@@ -27,7 +27,7 @@ from cohortmine.operators.cohort import (
     subject_labels,
 )
 from cohortmine.operators.fpgrowth import fp_itemsets, fp_model, fp_rules
-from cohortmine.operators.itemsets import candidates, frequent_itemsets, item_counts
+from cohortmine.operators.itemsets import candidates, item_counts, mine_itemsets
 from cohortmine.operators.rules import (
     association_rules,
     expand_subsets,
@@ -71,11 +71,8 @@ def m1_itemsets(spark: SparkSession, sf: str, max_size: int | None = 3,
                 min_support: float = MIN_SUPPORT, count_mode: str = "exact",
                 min_value: float = M1_MIN_VALUE, method: str = "bitmap") -> tuple[DataFrame, int]:
     """Mined itemsets (items, k, cnt) and n for mapping M1."""
-    tx = m1_transactions(spark, sf, min_value)
-    n = transaction_count(tx).first()["n"]
-    its = frequent_itemsets(tx, min_support, max_size=max_size, count_mode=count_mode,
-                            method=method, n=n)
-    return its, n
+    return mine_itemsets(m1_transactions(spark, sf, min_value), min_support, max_size=max_size,
+                         count_mode=count_mode, method=method)
 
 
 def _strings(df: DataFrame, *cols: str) -> DataFrame:
