@@ -132,6 +132,7 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
     pairs = (tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))
+             .filter(F.col("tid").isNotNull() & F.col("item").isNotNull())
              .distinct().persist(StorageLevel.MEMORY_AND_DISK))
     try:
         if n is None:

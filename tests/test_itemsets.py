@@ -140,3 +140,23 @@ def test_fp_itemsets_inclusive_vs_strict(spark):
     strict = _collect(fp_itemsets(df, 0.3, strict=True))
     loose = _collect(fp_itemsets(df, 0.3, strict=False))
     assert (1,) in loose and (1,) not in strict
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidate_plan_has_no_cross_or_theta_join(spark):
+    l1 = spark.range(1, 60).selectExpr("array(cast(id as int)) as items")
+    c2 = candidates(l1, 2)
+    assert c2.count() == 59 * 58 // 2
+    l2 = c2.limit(400)
+    c3 = candidates(l2, 3)
+    c3.count()
+    for plan in (_plan(c2), _plan(c3)):
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_null_tids_and_items_ignored(spark):
+    tx = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 1), (3, None)], "tid long, item int")
+    assert _collect(frequent_itemsets(tx, 0.6)) == {(1,): 2}  # n = 2 (tids 1, 2)
