@@ -82,11 +82,24 @@ def write_label_counts_text(counts: DataFrame, path: str, mode: str = "errorifex
     _write_text(out, path, mode)
 
 
-def write_itemsets_text(itemsets: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """K2/K3: ``(count,a;b;)`` lines, highest count first."""
-    out = itemsets.orderBy(F.desc("cnt"), "items").select(
-        F.format_string("(%d,%s)", "cnt", itemset_string("items")).alias("value"))
-    _write_text(out, path, mode)
+def write_itemsets_text(itemsets: DataFrame, path: str, mode: str = "errorifexists",
+                        by_level: bool = False, size1_trailing: bool = True) -> None:
+    """K2/K3: ``(count,a;b;)`` lines, highest count first.
+
+    ``by_level`` writes one folder per itemset size (``k=1``, ``k=2``, ...) in one job;
+    ``size1_trailing=False`` writes single items as ``(count,item)`` (the variant
+    without the trailing ``;``).
+    """
+    text = itemset_string("items")
+    if not size1_trailing:
+        text = F.when(F.size("items") == 1, F.element_at("items", 1).cast("string")).otherwise(text)
+    line = F.format_string("(%d,%s)", "cnt", text).alias("value")
+    if by_level:
+        out = itemsets.select(F.size("items").alias("k"), "cnt", "items", line)
+        (out.repartition("k").sortWithinPartitions("k", F.desc("cnt"), "items").select("k", "value")
+         .write.mode(mode).partitionBy("k").text(path))
+        return
+    _write_text(itemsets.orderBy(F.desc("cnt"), "items").select(line), path, mode)
 
 
 def write_support_report_text(report: DataFrame, path: str, mode: str = "errorifexists") -> None:

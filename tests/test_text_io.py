@@ -114,3 +114,11 @@ def test_total_text_length_split_column(spark):
     r = total_text_length(df, "text", split_lines=True).collect()[0]
     # "ab","cde" | "" | "x","" -> lengths 2+3+0+1+0, 5 lines; null rows skipped
     assert (r["total_len"], r["n_lines"]) == (6, 5)
+
+
+def test_itemsets_text_by_level(spark, scratch):
+    df = spark.createDataFrame([([1, 2], 2, 5), ([3], 1, 9), ([4], 1, 11)],
+                               "items array<int>, k int, cnt long")
+    write_itemsets_text(df, f"{scratch}/lv", by_level=True, size1_trailing=False)
+    assert _read_parts(f"{scratch}/lv/k=1") == ["(11,4)", "(9,3)"]
+    assert _read_parts(f"{scratch}/lv/k=2") == ["(5,1;2;)"]
