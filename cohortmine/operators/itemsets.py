@@ -217,7 +217,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
         side = bm.withColumnRenamed("items", "parent")
         if prev_rows * buckets * BITMAP_BYTES <= BITMAP_BROADCAST_BYTES:
             # Small previous level: broadcast its bitmaps, spread candidates.
-            rows = par.repartition("items").join(F.broadcast(side), "parent")
+            rows = par.repartition("items").join(broadcast_if(side, True), "parent")
         else:
             # Large: bitmaps stay where they are (by bucket); candidates travel.
             small = prev_rows * m1 * 2 <= broadcast_rows
