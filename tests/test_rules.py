@@ -89,3 +89,24 @@ def test_support_report(spark):
     its = spark.createDataFrame([([1, 2, 3], 270), ([2], 5)], "items array<int>, cnt long")
     rows = support_report(its, 899, k=3).collect()
     assert [(r["support"], list(r["items"])) for r in rows] == [(0.3, [1, 2, 3])]
+
+
+def test_rule_properties_on_mined_itemsets(spark):
+    import random
+
+    from cohortmine import mine_itemsets
+
+    rnd = random.Random(5)
+    rows = [(t, i) for t in range(60) for i in range(1, 9) if rnd.random() < 0.5]
+    tx = spark.createDataFrame(rows, "tid long, item int")
+    its, n = mine_itemsets(tx, 0.15, max_size=4)
+    counts = {tuple(r["items"]): r["cnt"] for r in its.collect()}
+    rules = association_rules(its, min_confidence=0.0).collect()
+    assert rules
+    for r in rules:
+        a, c = tuple(r["antecedent"]), tuple(r["consequent"])
+        assert not set(a) & set(c)
+        whole = tuple(sorted(a + c))
+        assert whole in counts
+        assert 0 < r["confidence"] <= 1
+        assert r["confidence"] == round(counts[whole] / counts[a] + 1e-12, 3)
