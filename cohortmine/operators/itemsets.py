@@ -182,6 +182,8 @@ TIDS_PER_BUCKET = 24576
 # Previous-level bitmaps up to this many bytes are broadcast and the work is split by
 # candidate; above it the work stays partitioned by tid bucket.
 BITMAP_BROADCAST_BYTES = 128 * 1024 * 1024
+# Salts for the (rare) join of large bitmaps with a candidate table too big to broadcast.
+JOIN_SALTS = 32
 
 
 def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mode: str,
@@ -224,7 +226,14 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
             if not small:
                 par = par.checkpoint()
                 small = par.count() <= broadcast_rows
-            rows = side.join(broadcast_if(par, small), "parent")
+            if small:
+                rows = side.join(broadcast_if(par, True), "parent")
+            else:
+                # Both sides big: salt by bucket so one parent's bitmaps spread over
+                # JOIN_SALTS tasks (each candidate row is replicated per salt).
+                salted = side.withColumn("salt", F.pmod(F.col("bucket"), F.lit(JOIN_SALTS)))
+                par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
+                rows = salted.join(par_s, ["parent", "salt"]).drop("salt")
         anded = (rows.groupBy("items", "bucket")
                  .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))
                  .filter(F.col("c") == 2)

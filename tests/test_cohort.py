@@ -113,3 +113,30 @@ def test_label_counts_pushdown_plan(spark, scratch):
     plan = label_counts(_subj(spark), meas)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "value" in plan
     assert F is not None
+
+
+def test_hot_subject_third_of_rows(spark):
+    """One subject owns a third of all measurement rows (duplicates included)."""
+    import random
+
+    from cohortmine import mine_itemsets
+
+    rnd = random.Random(9)
+    normal = [(f"s{i}", rnd.randint(1, 6), 2e6) for i in range(200) for _ in range(3)]
+    hot = [("hot", rnd.randint(1, 6), 2e6) for _ in range(len(normal) // 2)]
+    rows = normal + hot
+    meas = spark.createDataFrame(rows, "subject_id string, feature_id int, value double")
+    subj = spark.createDataFrame([(f"s{i}", "leukemia", "x") for i in range(200)] + [("hot", "leukemia lymphoma", "x")],
+                                 "subject_id string, labels string, last string")
+    counts = {r["label"]: r["cnt"] for r in label_counts(subj, meas, feature=None, min_value=0).collect()}
+    assert counts == {"leukemia": len(rows), "lymphoma": len(hot)}
+    tx = transactions(meas, cohort(subj), 0.0)
+    baskets_py = {}
+    for s_id, f, _ in rows:
+        baskets_py.setdefault(s_id, set()).add(f)
+    assert tx.count() == sum(len(v) for v in baskets_py.values())
+    its, n = mine_itemsets(tx, 0.2, max_size=2)
+    assert n == len(baskets_py)
+    got = {tuple(r["items"]): r["cnt"] for r in its.collect()}
+    for items, cnt in got.items():
+        assert cnt == sum(1 for b in baskets_py.values() if set(items) <= b)

@@ -160,3 +160,15 @@ def test_candidate_plan_has_no_cross_or_theta_join(spark):
 def test_null_tids_and_items_ignored(spark):
     tx = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 1), (3, None)], "tid long, item int")
     assert _collect(frequent_itemsets(tx, 0.6)) == {(1,): 2}  # n = 2 (tids 1, 2)
+
+
+def test_bitmap_large_paths_match(spark, monkeypatch):
+    """Force the bucket-partitioned path and the salted join; results must not change."""
+    from cohortmine.operators import itemsets as mod
+
+    bask = _baskets(13, n_tx=50, n_items=9, p=0.5)
+    tx = _tx_df(spark, bask)
+    want = _brute(bask, 0.15)
+    monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
+    assert _collect(frequent_itemsets(tx, 0.15)) == want
+    assert _collect(frequent_itemsets(tx, 0.15, broadcast_rows=0)) == want
