@@ -45,10 +45,10 @@ p3,40,flu,3.0
 
 
 def test_csv_and_ragged_subjects_end_to_end(spark, scratch):
-    _write(f"{scratch}/GEO.txt", MEAS_CSV)
-    _write(f"{scratch}/PatientMetaData.txt", SUBJ_TXT)
-    meas = read_measurements_csv(spark, f"{scratch}/GEO.txt")
-    subj = read_subjects_text(spark, f"{scratch}/PatientMetaData.txt")
+    _write(f"{scratch}/measurements.csv", MEAS_CSV)
+    _write(f"{scratch}/subjects.txt", SUBJ_TXT)
+    meas = read_measurements_csv(spark, f"{scratch}/measurements.csv")
+    subj = read_subjects_text(spark, f"{scratch}/subjects.txt")
     assert meas.count() == 6 and subj.count() == 3
     counts = label_counts(subj, meas)
     write_label_counts_text(counts, f"{scratch}/out")
