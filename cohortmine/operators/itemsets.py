@@ -204,8 +204,11 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
     # Dense rank of tid inside its hash group: deterministic, so a recomputed task
     # assigns the same positions. A group holds ~TIDS_PER_BUCKET tids (bounded).
     gid = F.col("hb") * F.lit(1 << 31) + F.dense_rank().over(Window.partitionBy("hb").orderBy("tid"))
-    pos = f.select("tid", "item", hb.alias("hb")).select("item", gid.alias("gid"))
-    bm = (pos.groupBy(F.array("item").alias("items"), F.bitmap_bucket_number("gid").alias("bucket"))
+    pos = f.select("tid", "item", hb.alias("hb")).select("item", "hb", gid.alias("gid"))
+    # bucket is a function of hb; keeping hb in the key lets every bitmap aggregation
+    # reuse the hb partitioning of the window instead of shuffling 4 KiB rows.
+    bm = (pos.groupBy(F.array("item").alias("items"), "hb",
+                      F.bitmap_bucket_number("gid").alias("bucket"))
           .agg(F.bitmap_construct_agg(F.bitmap_bit_position("gid")).alias("bm"))
           .checkpoint())
     prev, prev_rows = bm.select("items").distinct(), m1
@@ -221,23 +224,28 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
             # Small previous level: broadcast its bitmaps, spread candidates.
             rows = par.repartition("items").join(broadcast_if(side, True), "parent")
         else:
-            # Large: bitmaps stay where they are (by bucket); candidates travel.
+            # Large: bitmaps stay where they are (partitioned by tid hash group, the
+            # aggregation key includes hb); the candidate table travels.
             small = prev_rows * m1 * 2 <= broadcast_rows
             if not small:
                 par = par.checkpoint()
                 small = par.count() <= broadcast_rows
             if small:
-                rows = side.join(broadcast_if(par, True), "parent")
+                # A checkpoint forgets its partitioning: re-partition the previous
+                # level's bitmaps by hash group (|L_{k-1}| rows) so that the join
+                # output already satisfies the (items, hb, bucket) aggregation and the
+                # 2*|C_k| joined bitmap rows never shuffle.
+                rows = side.repartition("hb").join(broadcast_if(par, True), "parent")
             else:
                 # Both sides big: salt by bucket so one parent's bitmaps spread over
                 # JOIN_SALTS tasks (each candidate row is replicated per salt).
-                salted = side.withColumn("salt", F.pmod(F.col("bucket"), F.lit(JOIN_SALTS)))
+                salted = side.withColumn("salt", F.pmod(F.col("hb"), F.lit(JOIN_SALTS)))
                 par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
                 rows = salted.join(par_s, ["parent", "salt"]).drop("salt")
-        anded = (rows.groupBy("items", "bucket")
+        anded = (rows.groupBy("items", "hb", "bucket")
                  .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))
                  .filter(F.col("c") == 2)
-                 .select("items", "bucket", "bm", F.bitmap_count("bm").alias("bits"))
+                 .select("items", "hb", "bucket", "bm", F.bitmap_count("bm").alias("bits"))
                  .filter(F.col("bits") > 0)
                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
@@ -252,7 +260,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 break
             # Bitmaps of the frequent k-itemsets, written out before the cache goes.
             bm = (anded.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
-                             "left_semi").select("items", "bucket", "bm").checkpoint())
+                             "left_semi").select("items", "hb", "bucket", "bm").checkpoint())
         finally:
             anded.unpersist()
         prev, prev_rows = lk.select("items"), mk
