@@ -200,6 +200,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
     and buckets are uniform by construction, so no key is hot.
     """
     buckets = max(1, -(-n // TIDS_PER_BUCKET))
+    parallelism = f.sparkSession.sparkContext.defaultParallelism
     hb = F.pmod(F.xxhash64("tid"), F.lit(buckets))
     # Dense rank of tid inside its hash group: deterministic, so a recomputed task
     # assigns the same positions. A group holds ~TIDS_PER_BUCKET tids (bounded).
@@ -231,16 +232,21 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 par = par.checkpoint()
                 small = par.count() <= broadcast_rows
             if small:
-                # A checkpoint forgets its partitioning: re-partition the previous
-                # level's bitmaps by hash group (|L_{k-1}| rows) so that the join
-                # output already satisfies the (items, hb, bucket) aggregation and the
-                # 2*|C_k| joined bitmap rows never shuffle.
-                rows = side.repartition("hb").join(broadcast_if(par, True), "parent")
+                if buckets >= parallelism:
+                    # A checkpoint forgets its partitioning: re-partition the previous
+                    # level's bitmaps by hash group (|L_{k-1}| rows) so that the join
+                    # output already satisfies the (items, hb, bucket) aggregation and
+                    # the 2*|C_k| joined bitmap rows never shuffle.
+                    side = side.repartition("hb")
+                # Fewer groups than task slots: the planner shuffles the joined rows by
+                # (items, hb, bucket) instead, which spreads the AND work over all slots.
+                rows = side.join(broadcast_if(par, True), "parent")
             else:
-                # Both sides big: salt by bucket so one parent's bitmaps spread over
-                # JOIN_SALTS tasks (each candidate row is replicated per salt).
-                salted = side.withColumn("salt", F.pmod(F.col("hb"), F.lit(JOIN_SALTS)))
-                par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
+                # Both sides big: salt by tid group so one parent's bitmaps spread over
+                # up to JOIN_SALTS tasks (each candidate row is replicated per salt).
+                salts = min(JOIN_SALTS, buckets)
+                salted = side.withColumn("salt", F.pmod(F.col("hb"), F.lit(salts)))
+                par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
                 rows = salted.join(par_s, ["parent", "salt"]).drop("salt")
         anded = (rows.groupBy("items", "hb", "bucket")
                  .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Itemset tables above this many rows are shuffle-joined (an int array row is well
-# under 100 bytes, so this caps a broadcast at a few tens of MB).
-BROADCAST_ROWS = 200_000
+# Itemset tables above this many rows are shuffle-joined (an itemset row holds one
+# or two short int arrays, ~100 bytes, so this caps a broadcast near 100 MB).
+BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
