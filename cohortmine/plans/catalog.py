@@ -26,7 +26,7 @@ from cohortmine.operators.cohort import (
     strong_measurements,
     subject_labels,
 )
-from cohortmine.operators.fpgrowth import fp_itemsets, fp_model, fp_rules
+from cohortmine.operators.fpgrowth import fp_itemsets, fp_rules
 from cohortmine.operators.itemsets import candidates, item_counts, mine_itemsets
 from cohortmine.operators.rules import (
     association_rules,
@@ -194,10 +194,9 @@ def q_fp_itemsets(spark, sf):
 
 
 def q_fp_rules(spark, sf):
-    b = m1_baskets(spark, sf)
-    model = fp_model(b, MIN_SUPPORT, MIN_CONFIDENCE)
-    rules = fp_rules(b, model=model).select("antecedent", "consequent", "confidence")
-    return _strings(rules, "antecedent", "consequent")
+    rules = fp_rules(m1_baskets(spark, sf), MIN_SUPPORT, MIN_CONFIDENCE)
+    return _strings(rules.select("antecedent", "consequent", "confidence"),
+                    "antecedent", "consequent")
 
 
 def q_total_text_length(spark, sf):
