@@ -2,7 +2,6 @@
 
 import math
 
-
 from cohortmine import (
     baskets,
     cohort,
