@@ -122,3 +122,11 @@ def test_itemsets_text_by_level(spark, scratch):
     write_itemsets_text(df, f"{scratch}/lv", by_level=True, size1_trailing=False)
     assert _read_parts(f"{scratch}/lv/k=1") == ["(11,4)", "(9,3)"]
     assert _read_parts(f"{scratch}/lv/k=2") == ["(5,1;2;)"]
+
+
+def test_subjects_empty_last_column_keeps_position(spark, scratch):
+    # The field before the (empty) last one is still the label field.
+    _write(f"{scratch}/s.txt", "id,labels,last\na,leukemia,\nb,lymphoma,x\n")
+    rows = {r["subject_id"]: (r["labels"], r["last"])
+            for r in read_subjects_text(spark, f"{scratch}/s.txt").collect()}
+    assert rows == {"a": ("leukemia", ""), "b": ("lymphoma", "x")}
