@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortmine.functions import half_up_milli, milli_to_double, subset_by_mask
+from cohortmine.operators.joins import BROADCAST_ROWS, broadcast_if
 from cohortmine.schemas import DEFAULT_MIN_CONFIDENCE
 
 
@@ -25,17 +26,21 @@ def expand_subsets(itemsets: DataFrame) -> DataFrame:
                      subset_by_mask("items", "mask", 0).alias("consequent"))
 
 
-def rule_complement(itemsets: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def rule_complement(itemsets: DataFrame, counted: DataFrame | None = None,
+                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """J5 + U1: subsets joined (inner) with the counted itemsets on the antecedent.
 
     Output ``(antecedent, consequent, items, cnt, ante_cnt)``. A subset missing from
     ``counted`` drops its rule, as in the reference (D13). The join key is an int
-    array; the counted side is one row per key, so the planner may broadcast it when
-    its runtime size is small and AQE splits skewed antecedent partitions otherwise.
+    array and the counted side is one row per key: it is counted and broadcast when
+    under ``broadcast_rows`` (the planner's own estimate would ignore the 2^k-2 fan-out
+    of the subset side and might broadcast that instead); above it the join
+    shuffles, and AQE splits skewed antecedent partitions.
     """
     counted = itemsets if counted is None else counted
     ante = counted.select(F.col("items").alias("antecedent"), F.col("cnt").alias("ante_cnt"))
-    return expand_subsets(itemsets).join(ante, "antecedent").select(
+    small = ante.count() <= broadcast_rows
+    return expand_subsets(itemsets).join(broadcast_if(ante, small), "antecedent").select(
         "antecedent", "consequent", "items", "cnt", "ante_cnt")
 
 
