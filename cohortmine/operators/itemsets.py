@@ -55,7 +55,12 @@ def _ranked(df: DataFrame, key: str, val: str, groups: int = RANK_GROUPS) -> Dat
     parallel; a sub-group's offset is the running sum of the sizes of the earlier
     sub-groups of its class (at most ``groups`` rows per class). So no window
     covers a whole class, even when one class holds every frequent item (k = 2).
+    ``groups=1`` ranks with one window per class, for many small classes.
     """
+    if groups <= 1:
+        return df.select(key, val,
+                         (F.row_number().over(Window.partitionBy(key).orderBy(val)) - 1).alias("R"),
+                         F.count(F.lit(1)).over(Window.partitionBy(key)).alias("g"))
     d = df.select(key, val, F.pmod(F.xxhash64(val), F.lit(groups)).alias("h"))
     d = d.select(key, val, "h",
                  (F.row_number().over(Window.partitionBy(key, "h").orderBy(val)) - 1).alias("r"))
@@ -83,7 +88,9 @@ def candidates(itemsets: DataFrame, k: int, prune: bool = True) -> DataFrame:
     prev = itemsets.select(F.array_sort(F.col("items").cast("array<int>")).alias("items"))
     prefix = F.slice("items", 1, p) if p > 0 else F.array().cast("array<int>")
     base = prev.select(prefix.alias("prefix"), F.element_at("items", -1).alias("last"))
-    ranked = _ranked(base, "prefix", "last")
+    # k = 2: one class holding every frequent item, ranked in hash sub-groups;
+    # k >= 3: many classes of at most |L_1| members, one window each.
+    ranked = _ranked(base, "prefix", "last", RANK_GROUPS if p == 0 else 1)
     left = ranked.filter(F.col("R") < F.col("g") - 1).select(
         "prefix", "last", F.explode(F.sequence(F.col("R") + 1, F.col("g") - 1)).alias("R"))
     right = ranked.select("prefix", "R", F.col("last").alias("other"))
