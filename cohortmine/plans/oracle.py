@@ -156,8 +156,7 @@ def _fp_rules_sql() -> str:
     """Spark ML FP-growth rules: itemsets with freq >= ceil(minSupport*n), every
     single-item consequent, confidence = freq(X)/freq(X - c) >= minConfidence."""
     minc = f"ceil({_dbl(MIN_SUPPORT)} * CAST((SELECT n FROM nn) AS DOUBLE))"
-    # Inclusive levels reuse the strict CTE builder with a lowered bar via HAVING
-    # on the count directly.
+    # Levels P1..P4 with FP-growth's inclusive bar on the raw count.
     ctes = [f""", P1 AS (SELECT item AS i1, count(*) AS cnt FROM tx GROUP BY item
   HAVING count(*) >= {minc}),
 g AS (SELECT tid, item FROM tx WHERE item IN (SELECT i1 FROM P1))"""]
