@@ -8,6 +8,8 @@ is a k-way self-join of the transaction pairs on ``tid`` with ascending items.
 
 from __future__ import annotations
 
+import math
+
 from cohortmine.plans.catalog import (
     M1_LABELS,
     M1_MIN_VALUE,
@@ -88,39 +90,32 @@ def _itemstr(cols: list[str]) -> str:
     return " || ".join(f"CAST({c} AS VARCHAR) || ';'" for c in cols)
 
 
-def _level_ctes(max_k: int, s: float, mode: str = "exact", suffix: str = "") -> str:
+def _level_ctes(max_k: int, s: float, mode: str = "exact") -> str:
     """CTEs L1..L{max_k} (items text, cnt) plus f = pairs of frequent items."""
-    ctes = [f""", L1{suffix} AS (
+    ctes = [f""", L1 AS (
   SELECT item AS i1, count(*) AS cnt FROM tx GROUP BY item
   HAVING {_passes('count(*)', s, mode)}),
-f{suffix} AS (SELECT tid, item FROM tx WHERE item IN (SELECT i1 FROM L1{suffix}))"""]
+f AS (SELECT tid, item FROM tx WHERE item IN (SELECT i1 FROM L1))"""]
     for k in range(2, max_k + 1):
         aliases = [f"x{j}" for j in range(1, k + 1)]
-        joins = " ".join(f"JOIN f{suffix} {a} ON {a}.tid = x1.tid AND {a}.item > {p}.item"
+        joins = " ".join(f"JOIN f {a} ON {a}.tid = x1.tid AND {a}.item > {p}.item"
                          for p, a in zip(aliases, aliases[1:]))
-        cnt = "count(*)" if (mode == "exact" or k < 2) else f"(count(*) // {_fact(k - 1)})"
+        cnt = "count(*)" if (mode == "exact" or k < 2) else f"(count(*) // {math.factorial(k - 1)})"
         sel = ", ".join(f"{a}.item AS i{j}" for j, a in enumerate(aliases, 1))
         grp = ", ".join(str(j) for j in range(1, k + 1))
         ctes.append(f""",
-L{k}{suffix} AS (
-  SELECT {sel}, {cnt} AS cnt FROM f{suffix} x1 {joins}
+L{k} AS (
+  SELECT {sel}, {cnt} AS cnt FROM f x1 {joins}
   GROUP BY {grp} HAVING {_passes(cnt, s, mode)})""")
     return "".join(ctes)
 
 
-def _fact(k: int) -> int:
-    out = 1
-    for i in range(2, k + 1):
-        out *= i
-    return out
-
-
-def _levels_union(max_k: int, suffix: str = "") -> str:
+def _levels_union(max_k: int) -> str:
     parts = []
     for k in range(1, max_k + 1):
         cols = [f"i{j}" for j in range(1, k + 1)]
         parts.append(f"SELECT {_itemstr(cols)} AS items, {k} AS k, CAST(cnt AS BIGINT) AS cnt "
-                     f"FROM L{k}{suffix}")
+                     f"FROM L{k}")
     return "\nUNION ALL ".join(parts)
 
 
