@@ -153,6 +153,11 @@ def q_itemsets_all(spark, sf):
     return _strings(its.orderBy("k", F.desc("cnt"), "items"), "items")
 
 
+def q_itemsets_tidjoin(spark, sf):
+    its, _ = m1_itemsets(spark, sf, max_size=3, method="tidjoin")
+    return _strings(its, "items")
+
+
 def q_itemsets_reference_counts(spark, sf):
     its, _ = m1_itemsets(spark, sf, max_size=3, min_support=REFERENCE_MIN_SUPPORT,
                          count_mode="reference")
@@ -220,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "itemsets_pairs": q_itemsets_pairs,
     "itemsets_triples": q_itemsets_triples,
     "itemsets_all": q_itemsets_all,
+    "itemsets_tidjoin": q_itemsets_tidjoin,
     "itemsets_reference_counts": q_itemsets_reference_counts,
     "support_report": q_support_report,
     "itemset_subsets": q_itemset_subsets,

@@ -210,6 +210,7 @@ SELECT {_itemstr(['i1', 'i2'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM L2""",
     "itemsets_triples": _m1_mining(3) + f"""
 SELECT {_itemstr(['i1', 'i2', 'i3'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM L3""",
     "itemsets_all": _m1_mining(3) + "\n" + _levels_union(3),
+    "itemsets_tidjoin": _m1_mining(3) + "\n" + _levels_union(3),
     "itemsets_reference_counts": _m1_mining(3, REFERENCE_MIN_SUPPORT, "reference") + "\n"
     + _levels_union(3),
     "support_report": _m1_mining(3) + f"""
