@@ -293,7 +293,9 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
     transaction; ``groupBy(items).count()`` (partial aggregation first) is the
     support. Cheap for short baskets; its rows grow with C(basket size, k).
     """
-    f = f.persist(StorageLevel.MEMORY_AND_DISK)
+    # Partitioned by tid once and cached (a cache keeps its partitioning), so the
+    # per-level joins on tid only shuffle the occurrence side.
+    f = f.repartition("tid").persist(StorageLevel.MEMORY_AND_DISK)
     nxt = f.select("tid", F.col("item").alias("nxt"))
     occ = f.select("tid", F.array("item").alias("items"))
     prev = occ.select("items").distinct()
