@@ -172,3 +172,25 @@ def test_bitmap_large_paths_match(spark, monkeypatch):
     monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
     assert _collect(frequent_itemsets(tx, 0.15)) == want
     assert _collect(frequent_itemsets(tx, 0.15, broadcast_rows=0)) == want
+
+
+def test_property_methods_equal_brute_force(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    baskets_st = st.dictionaries(st.integers(0, 40), st.lists(st.integers(1, 6), max_size=6),
+                                 min_size=1, max_size=25)
+
+    @settings(max_examples=4, deadline=None, derandomize=True,
+              suppress_health_check=list(HealthCheck))
+    @given(bask=baskets_st, s=st.sampled_from([0.1, 0.25, 0.4]))
+    def check(bask, s):
+        bask = {t: sorted(set(b)) for t, b in bask.items()}
+        if not any(bask.values()):
+            return
+        want = _brute(bask, s)
+        tx = _tx_df(spark, bask)
+        for method in ("bitmap", "tidjoin", "fpgrowth"):
+            assert _collect(frequent_itemsets(tx, s, method=method)) == want, method
+
+    check()
