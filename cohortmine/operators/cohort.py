@@ -38,13 +38,12 @@ def subject_labels(subjects: DataFrame, labels: Iterable[str] | None = DEFAULT_L
     """A2: ``(subject_id, labels)`` with the subject's matched labels, distinct, sorted,
     joined by ``;``.
 
-    (subject, label) pairs are de-duplicated first (map-side partial aggregation), so
-    a subject repeated in many rows still contributes at most one entry per distinct
-    label to the collected list.
+    ``collect_set`` de-duplicates in the map-side partial aggregate, so one shuffle
+    by subject suffices and a subject repeated in many rows still carries at most one
+    entry per distinct label (bounded by the label list).
     """
-    pairs = explode_labels(subjects, labels, **kw).distinct()
-    return pairs.groupBy("subject_id").agg(
-        F.concat_ws(";", F.array_sort(F.collect_list("label"))).alias("labels"))
+    return explode_labels(subjects, labels, **kw).groupBy("subject_id").agg(
+        F.concat_ws(";", F.array_sort(F.collect_set("label"))).alias("labels"))
 
 
 def strong_measurements(measurements: DataFrame, feature: int | None = DEFAULT_FEATURE,
