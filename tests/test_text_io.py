@@ -130,3 +130,29 @@ def test_subjects_empty_last_column_keeps_position(spark, scratch):
     rows = {r["subject_id"]: (r["labels"], r["last"])
             for r in read_subjects_text(spark, f"{scratch}/s.txt").collect()}
     assert rows == {"a": ("leukemia", ""), "b": ("lymphoma", "x")}
+
+
+def test_fp_growth_on_basket_file(spark, scratch):
+    import itertools
+
+    from cohortmine import fp_itemsets, fp_rules
+
+    lines = ["r z h k p", "z y x w v u t s", "s x o n r", "x z y m t s q e", "z", "x z y r q t p"]
+    _write(f"{scratch}/fp.txt", "\n".join(lines) + "\n")
+    bask = read_baskets_text(spark, f"{scratch}/fp.txt")
+    got = {tuple(r["items"]): r["cnt"] for r in fp_itemsets(bask, 0.5, strict=False).collect()}
+    sets = [set(ln.split()) for ln in lines]
+    items = sorted(set().union(*sets))
+    want = {}
+    for k in range(1, len(items) + 1):
+        for combo in itertools.combinations(items, k):
+            c = sum(1 for b in sets if set(combo) <= b)
+            if c >= 3:  # inclusive bound: freq >= ceil(0.5 * 6)
+                want[combo] = c
+    assert got == want
+    rules = fp_rules(bask, 0.5, 0.8).collect()
+    for r in rules:
+        whole = tuple(sorted(list(r["antecedent"]) + list(r["consequent"])))
+        assert len(r["consequent"]) == 1
+        assert abs(r["confidence"] - want[whole] / want[tuple(r["antecedent"])]) < 1e-12
+        assert r["confidence"] >= 0.8
