@@ -194,3 +194,20 @@ def test_property_methods_equal_brute_force(spark):
             assert _collect(frequent_itemsets(tx, s, method=method)) == want, method
 
     check()
+
+
+@pytest.mark.parametrize("tids_per_bucket", [3, 7])
+def test_bitmap_many_tid_groups(spark, monkeypatch, tids_per_bucket):
+    """Force many tid groups (as with a very large n): small and large level paths,
+    including the bucket-local re-partitioning (groups >= task slots)."""
+    from cohortmine.operators import itemsets as mod
+
+    bask = _baskets(21, n_tx=60, n_items=8, p=0.55)
+    tx = _tx_df(spark, bask, dup=True)
+    want = _brute(bask, 0.2)
+    monkeypatch.setattr(mod, "TIDS_PER_BUCKET", tids_per_bucket)
+    assert _collect(frequent_itemsets(tx, 0.2)) == want
+    monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
+    assert _collect(frequent_itemsets(tx, 0.2)) == want
+    assert _collect(frequent_itemsets(tx, 0.2, broadcast_rows=0)) == want
+    assert _collect(frequent_itemsets(tx, 0.2, count_mode="reference")) == _brute(bask, 0.2, mode="reference")
