@@ -20,10 +20,17 @@ from cohortmine.functions import itemset_string, parse_itemset_string
 from cohortmine.schemas import MEASUREMENT
 
 
+def _paths(path: str | list[str]) -> str | list[str]:
+    """A path, a glob, a list, or a comma-separated list of paths."""
+    if isinstance(path, str) and "," in path:
+        return [p for p in path.split(",") if p]
+    return path
+
+
 def read_measurements_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Measurement CSV with a header, fixed schema (no inference)."""
     return (spark.read.schema(MEASUREMENT).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("mode", "PERMISSIVE").csv(_paths(path)))
 
 
 def read_subjects_text(spark: SparkSession, path: str | list[str],
@@ -35,7 +42,7 @@ def read_subjects_text(spark: SparkSession, path: str | list[str],
     """
     parts = F.split(F.col("value"), ",")
     return (
-        spark.read.text(path)
+        spark.read.text(_paths(path))
         .filter(F.size(parts) >= 2)
         .filter(parts.getItem(0) != header_id)
         .select(parts.getItem(0).alias("subject_id"),
@@ -51,7 +58,7 @@ def read_itemsets_text(spark: SparkSession, paths: str | list[str]) -> DataFrame
     into the count and the ``;``-separated items.
     """
     clean = F.regexp_replace(F.col("value"), r"[\s()]+", "")
-    df = spark.read.text(paths).select(clean.alias("line")).filter(F.col("line") != "")
+    df = spark.read.text(_paths(paths)).select(clean.alias("line")).filter(F.col("line") != "")
     items = parse_itemset_string(F.substring_index("line", ",", -1))
     return df.select(
         F.array_sort(items).alias("items"),
@@ -63,12 +70,12 @@ def read_itemsets_text(spark: SparkSession, paths: str | list[str]) -> DataFrame
 def read_baskets_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One basket per line, items separated by single spaces -> (items ARRAY<STRING>)."""
     tokens = F.filter(F.split(F.col("value"), " "), lambda x: x != "")
-    return spark.read.text(path).select(F.array_distinct(tokens).alias("items"))
+    return spark.read.text(_paths(path)).select(F.array_distinct(tokens).alias("items"))
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Plain text lines -> (value STRING)."""
-    return spark.read.text(path)
+    return spark.read.text(_paths(path))
 
 
 def _write_text(df: DataFrame, path: str, mode: str) -> None:

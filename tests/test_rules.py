@@ -110,3 +110,10 @@ def test_rule_properties_on_mined_itemsets(spark):
         assert whole in counts
         assert 0 < r["confidence"] <= 1
         assert r["confidence"] == round(counts[whole] / counts[a] + 1e-12, 3)
+
+
+def test_itemset_sources_as_comma_list(spark, scratch):
+    _write(f"{scratch}/k3.txt", SIZE3)
+    _write(f"{scratch}/small.txt", SMALLER)
+    both = read_itemsets_text(spark, f"{scratch}/k3.txt,{scratch}/small.txt")
+    assert both.count() == len(SIZE3) + len(SMALLER)
