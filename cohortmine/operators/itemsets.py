@@ -313,21 +313,20 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
                     cand = cand.checkpoint()
                     small = cand.count() <= broadcast_rows
                 ext = ext.join(broadcast_if(cand, small), "items", "left_semi")
-            ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                cnt = ext.groupBy("items").agg(F.count(F.lit(1)).alias("cnt"))
-                lk = (cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
-                      .filter(passes(F.col("cnt"))).checkpoint())
-                mk = lk.count()
-                if mk == 0:
-                    break
-                out.append(_level(lk, k))
-                if (max_size is not None and k == max_size) or mk < 2:
-                    break
-                occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
-                               "left_semi").checkpoint()
-            finally:
-                ext.unpersist()
+            # ext is never cached (it is the largest table of the level): the counts
+            # aggregate it as it streams out of the join, and the frequent occurrences
+            # are written once for the next level, at the price of running the join twice.
+            cnt = ext.groupBy("items").agg(F.count(F.lit(1)).alias("cnt"))
+            lk = (cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                  .filter(passes(F.col("cnt"))).checkpoint())
+            mk = lk.count()
+            if mk == 0:
+                break
+            out.append(_level(lk, k))
+            if (max_size is not None and k == max_size) or mk < 2:
+                break
+            occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
+                           "left_semi").checkpoint()
             prev, prev_rows = lk.select("items"), mk
             k += 1
     finally:
