@@ -52,9 +52,9 @@ def _ranked(df: DataFrame, key: str, val: str, groups: int = RANK_GROUPS) -> Dat
     """Dense rank ``R`` (0-based) of ``val`` inside each ``key`` class plus the class size.
 
     Members are hashed into ``groups`` sub-groups and ranked inside them in
-    parallel; a sub-group's offset is the running sum of the sizes of the earlier
-    sub-groups of its class (at most ``groups`` rows per class). So no window
-    covers a whole class, even when one class holds every frequent item (k = 2).
+    parallel; a sub-group's offset is the summed size of the earlier sub-groups of
+    its class. So no window covers a whole class, even when one class holds every
+    frequent item (k = 2), and nothing is funnelled into a single partition.
     ``groups=1`` ranks with one window per class, for many small classes.
     """
     if groups <= 1:
@@ -65,9 +65,14 @@ def _ranked(df: DataFrame, key: str, val: str, groups: int = RANK_GROUPS) -> Dat
     d = d.select(key, val, "h",
                  (F.row_number().over(Window.partitionBy(key, "h").orderBy(val)) - 1).alias("r"))
     sizes = d.groupBy(key, "h").agg(F.count(F.lit(1)).alias("gs"))
-    upto = Window.partitionBy(key).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select(key, "h", F.coalesce(F.sum("gs").over(upto), F.lit(0)).alias("off"),
-                        F.sum("gs").over(Window.partitionBy(key)).alias("g"))
+    # Every sub-group sends its size to all sub-groups of its class (groups^2 rows
+    # per class at most); a hash aggregation sums, per receiving sub-group, the
+    # sizes of the earlier ones (its offset) and of all of them (the class size).
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+    spread = sizes.select(key, F.col("h").alias("src"), "gs", every.alias("h"))
+    offs = spread.groupBy(key, "h").agg(
+        F.sum(F.when(F.col("src") < F.col("h"), F.col("gs")).otherwise(F.lit(0))).alias("off"),
+        F.sum("gs").alias("g"))
     return d.join(offs, [key, "h"]).select(key, val, (F.col("off") + F.col("r")).alias("R"), "g")
 
 
