@@ -137,10 +137,15 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
 
     ``method`` picks how level k >= 2 is counted; all give the same result:
 
-    * ``'bitmap'`` (default): vertical tid bitmaps, see :func:`_bitmap_levels`.
+    * ``'bitmap'`` (default; alias ``'levelwise'``): vertical tid bitmaps, see
+      :func:`_bitmap_levels`.
     * ``'tidjoin'``: per-transaction extension join, see :func:`_tidjoin_levels`.
     * ``'fpgrowth'``: Spark ML FP-growth, then the strict / reference filter.
     """
+    if method == "levelwise":
+        method = "bitmap"
+    if method not in ("bitmap", "tidjoin", "fpgrowth"):
+        raise ValueError(f"unknown method {method!r}")
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
     pairs = (tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))
@@ -167,10 +172,8 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                            "left_semi").select("tid", "item")
             if method == "bitmap":
                 levels += _bitmap_levels(f, n, m1, max_size, count_mode, passes, broadcast_rows)
-            elif method == "tidjoin":
-                levels += _tidjoin_levels(f, m1, max_size, count_mode, passes, broadcast_rows)
             else:
-                raise ValueError(f"unknown method {method!r}")
+                levels += _tidjoin_levels(f, m1, max_size, count_mode, passes, broadcast_rows)
         return reduce(DataFrame.unionByName, levels), n
     finally:
         pairs.unpersist()

@@ -211,3 +211,11 @@ def test_bitmap_many_tid_groups(spark, monkeypatch, tids_per_bucket):
     assert _collect(frequent_itemsets(tx, 0.2)) == want
     assert _collect(frequent_itemsets(tx, 0.2, broadcast_rows=0)) == want
     assert _collect(frequent_itemsets(tx, 0.2, count_mode="reference")) == _brute(bask, 0.2, mode="reference")
+
+
+def test_method_names(spark):
+    bask = _baskets(2, n_tx=20)
+    tx = _tx_df(spark, bask)
+    assert _collect(frequent_itemsets(tx, 0.3, method="levelwise")) == _brute(bask, 0.3)
+    with pytest.raises(ValueError):
+        frequent_itemsets(tx, 0.3, method="nope")
