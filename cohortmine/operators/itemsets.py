@@ -1,24 +1,21 @@
 """Frequent itemsets, level by level (A5, A6, J3, J4, F4-F6, O6; H4).
 
-Layout of the data during mining::
-
-    pairs  (tid, item)      distinct, persisted            -- the transactions
-    f      (tid, item)      pairs restricted to frequent items, persisted
-    occ_k  (tid, items)     one row per (transaction, frequent k-itemset it holds)
-    L_k    (items, cnt)     frequent k-itemsets, reliably checkpointed
-
-Level k extends ``occ_{k-1}`` by every later frequent item of the same transaction
-(equi-join on ``tid`` plus ``item > last``), so each k-itemset is generated exactly
-once per containing transaction and ``groupBy(items).count()`` is its support. The
-count aggregates map-side first, so a popular itemset costs one row per map task
-in the shuffle. Per transaction the join is bounded by the frequent-item vocabulary
-(pairs are distinct and restricted to frequent items), not by how many raw rows a
-subject owns.
-
-The driver keeps only the level counter and one row count per level (the early
-stop of the reference loop, also used to size-check broadcasts). ``L_k`` is
-written with ``checkpoint()`` (``spark.checkpoint.dir``), so the returned
-DataFrame does not depend on cached blocks and survives executor loss.
+Common steps: ``pairs`` = distinct ``(tid, item)`` (persisted), n = distinct tids,
+``L_1`` = items with ``cnt/n > s``. Each level k >= 2 builds the apriori-gen
+candidates from ``L_{k-1}`` (:func:`candidates`) and counts them with one of:
+
+* ``bitmap`` (default): every frequent itemset keeps a tid bitmap per tid group;
+  a candidate's bitmap is the AND of its two parents' (:func:`_bitmap_levels`).
+* ``tidjoin``: every transaction's frequent (k-1)-itemsets are extended by its later
+  frequent items with an equi-join on ``tid`` (:func:`_tidjoin_levels`).
+* ``fpgrowth``: Spark ML FP-growth over the baskets, then the same filters.
+
+Counts aggregate map-side first, so a popular itemset costs one row per map task
+in a shuffle. The driver keeps only the level counter and one row count per level
+(the early stop of the reference loop, also used to size-check broadcasts). Every
+``L_k`` (and the bitmaps a next level needs) is written with ``checkpoint()`` into
+``spark.checkpoint.dir``, so the returned DataFrame depends on no cached block and
+survives executor loss.
 """
 
 from __future__ import annotations
@@ -92,7 +89,7 @@ def candidates(itemsets: DataFrame, k: int, prune: bool = True) -> DataFrame:
     p = k - 2
     prev = itemsets.select(F.array_sort(F.col("items").cast("array<int>")).alias("items"))
     prefix = F.slice("items", 1, p) if p > 0 else F.array().cast("array<int>")
-    base = prev.select(prefix.alias("prefix"), F.element_at("items", -1).alias("last"))
+    base = prev.select(prefix.alias("prefix"), F.element_at("items", -1).alias("last")).distinct()
     # k = 2: one class holding every frequent item, ranked in hash sub-groups;
     # k >= 3: many classes of at most |L_1| members, one window each.
     ranked = _ranked(base, "prefix", "last", RANK_GROUPS if p == 0 else 1)

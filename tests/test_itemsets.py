@@ -219,3 +219,8 @@ def test_method_names(spark):
     assert _collect(frequent_itemsets(tx, 0.3, method="levelwise")) == _brute(bask, 0.3)
     with pytest.raises(ValueError):
         frequent_itemsets(tx, 0.3, method="nope")
+
+
+def test_candidates_tolerate_duplicate_input(spark):
+    l2 = spark.createDataFrame([([1, 2],), ([1, 2],), ([1, 3],), ([2, 3],)], "items array<int>")
+    assert sorted(tuple(r["items"]) for r in candidates(l2, 3).collect()) == [(1, 2, 3)]
