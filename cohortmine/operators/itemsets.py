@@ -143,6 +143,8 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         method = "bitmap"
     if method not in ("bitmap", "tidjoin", "fpgrowth"):
         raise ValueError(f"unknown method {method!r}")
+    if max_size is not None and max_size < 1:
+        raise ValueError("max_size must be at least 1")
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
     pairs = (tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))
@@ -192,7 +194,7 @@ def _count_col(cnt: Column, k: int, count_mode: str) -> Column:
 BITMAP_BYTES = 4096
 TIDS_PER_BUCKET = 24576
 # Previous-level bitmaps up to this many bytes are broadcast and the work is split by
-# candidate; above it the work stays partitioned by tid bucket.
+# candidate; above it the candidate table is broadcast to the bitmaps instead.
 BITMAP_BROADCAST_BYTES = 128 * 1024 * 1024
 # Salts for the (rare) join of large bitmaps with a candidate table too big to broadcast.
 JOIN_SALTS = 32
