@@ -23,7 +23,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cohortmine.functions import reference_count, support_passes
@@ -161,9 +161,8 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
 
         if method == "fpgrowth":
             return _fpgrowth_levels(pairs, n, min_support, max_size, count_mode, passes), n
-        l1 = (pairs.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
-              .filter(passes(F.col("cnt"))).checkpoint())
-        m1 = l1.count()
+        l1, m1 = _checkpoint_counted(pairs.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
+                                     .filter(passes(F.col("cnt"))))
         levels = [l1.select(F.array("item").alias("items"), F.lit(1).alias("k"),
                             F.col("cnt").cast("long").alias("cnt"))]
         if m1 >= 2 and (max_size is None or max_size >= 2):
@@ -178,6 +177,17 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         pairs.unpersist()
 
 
+def _checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Reliable checkpoint of ``df`` and its row count, observed in the same job.
+
+    A retried task can only over-count, which at worst costs one empty extra level
+    or a shuffle instead of a broadcast; results stay exact.
+    """
+    obs = Observation()
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint()
+    return out, int(obs.get["rows"])
+
+
 def _level(lk: DataFrame, k: int) -> DataFrame:
     return lk.select("items", F.lit(k).alias("k"), F.col("cnt").cast("long").alias("cnt"))
 
@@ -243,8 +253,8 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
             # aggregation key includes hb); the candidate table travels.
             small = prev_rows * m1 * 2 <= broadcast_rows
             if not small:
-                par = par.checkpoint()
-                small = par.count() <= broadcast_rows
+                par, par_rows = _checkpoint_counted(par)
+                small = par_rows <= broadcast_rows
             if small:
                 if buckets >= parallelism:
                     # A checkpoint forgets its partitioning: re-partition the previous
@@ -270,9 +280,9 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             cnt = anded.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
-            lk = (cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
-                  .filter(passes(F.col("cnt"))).checkpoint())
-            mk = lk.count()
+            lk, mk = _checkpoint_counted(
+                cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                .filter(passes(F.col("cnt"))))
             if mk == 0:
                 break
             out.append(_level(lk, k))
@@ -317,16 +327,16 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
                 cand = candidates(prev, k)
                 small = prev_rows * m1 <= broadcast_rows
                 if not small:
-                    cand = cand.checkpoint()
-                    small = cand.count() <= broadcast_rows
+                    cand, cand_rows = _checkpoint_counted(cand)
+                    small = cand_rows <= broadcast_rows
                 ext = ext.join(broadcast_if(cand, small), "items", "left_semi")
             # ext is never cached (it is the largest table of the level): the counts
             # aggregate it as it streams out of the join, and the frequent occurrences
             # are written once for the next level, at the price of running the join twice.
             cnt = ext.groupBy("items").agg(F.count(F.lit(1)).alias("cnt"))
-            lk = (cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
-                  .filter(passes(F.col("cnt"))).checkpoint())
-            mk = lk.count()
+            lk, mk = _checkpoint_counted(
+                cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                .filter(passes(F.col("cnt"))))
             if mk == 0:
                 break
             out.append(_level(lk, k))
