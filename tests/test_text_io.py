@@ -156,3 +156,13 @@ def test_fp_growth_on_basket_file(spark, scratch):
         assert len(r["consequent"]) == 1
         assert abs(r["confidence"] - want[whole] / want[tuple(r["antecedent"])]) < 1e-12
         assert r["confidence"] >= 0.8
+
+
+def test_itemsets_parquet_round_trip(spark, scratch):
+    from cohortmine.sources.text_io import write_itemsets_parquet
+
+    df = spark.createDataFrame([([1, 2], 2, 5), ([3], 1, 9)], "items array<int>, k int, cnt long")
+    write_itemsets_parquet(df, f"{scratch}/pq")
+    back = spark.read.parquet(f"{scratch}/pq")
+    assert sorted((tuple(r["items"]), r["k"], r["cnt"]) for r in back.collect()) == [((1, 2), 2, 5), ((3,), 1, 9)]
+    assert sorted(p.split("=")[1] for p in __import__("os").listdir(f"{scratch}/pq") if "=" in p) == ["1", "2"]
