@@ -188,6 +188,24 @@ def _checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return out, int(obs.get["rows"])
 
 
+def _drop_checkpoint(df: DataFrame | None) -> None:
+    """Delete the files of an intermediate checkpoint nothing references any more
+    (an earlier level's bitmaps or occurrences). Best effort: files left behind are
+    harmless, so any failure is ignored."""
+    if df is None:
+        return
+    try:
+        plan = df._jdf.queryExecution().logical()
+        ckpt = plan.rdd().getCheckpointFile()
+        if ckpt.isDefined():
+            jvm = df.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(ckpt.get())
+            conf = df.sparkSession._jsc.hadoopConfiguration()
+            path.getFileSystem(conf).delete(path, True)
+    except Exception:  # noqa: BLE001 - cleanup must never fail the job
+        pass
+
+
 def _level(lk: DataFrame, k: int) -> DataFrame:
     return lk.select("items", F.lit(k).alias("k"), F.col("cnt").cast("long").alias("cnt"))
 
@@ -205,7 +223,7 @@ BITMAP_BYTES = 4096
 TIDS_PER_BUCKET = 24576
 # Previous-level bitmaps up to this many bytes are broadcast and the work is split by
 # candidate; above it the candidate table is broadcast to the bitmaps instead.
-BITMAP_BROADCAST_BYTES = 128 * 1024 * 1024
+BITMAP_BROADCAST_BYTES = 64 * 1024 * 1024
 # Salts for the (rare) join of large bitmaps with a candidate table too big to broadcast.
 JOIN_SALTS = 32
 
@@ -236,10 +254,12 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                       F.bitmap_bucket_number("gid").alias("bucket"))
           .agg(F.bitmap_construct_agg(F.bitmap_bit_position("gid")).alias("bm"))
           .checkpoint())
+    bm_file = bm  # the checkpoint behind the current bitmaps
     prev, prev_rows = bm.select("items").distinct(), m1
     out = []
     k = 2
     while (max_size is None or k <= max_size) and prev_rows >= 2:
+        par_ckpt = None
         cand = candidates(prev, k)
         parents = F.array(F.slice("items", 1, k - 1),
                           F.concat(F.slice("items", 1, k - 2), F.array(F.element_at("items", -1))))
@@ -254,6 +274,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
             small = prev_rows * m1 * 2 <= broadcast_rows
             if not small:
                 par, par_rows = _checkpoint_counted(par)
+                par_ckpt = par
                 small = par_rows <= broadcast_rows
             if small:
                 if buckets >= parallelism:
@@ -272,29 +293,41 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 salted = side.withColumn("salt", F.pmod(F.col("hb"), F.lit(salts)))
                 par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
                 rows = salted.join(par_s, ["parent", "salt"]).drop("salt")
+        # Written with checkpoint() rather than cached: the columnar cache would pack
+        # ~10k of these 4 KiB rows into one batch buffer per task, while a checkpoint
+        # streams them to files. The level's counts and the next level's bitmaps both
+        # read that file; on a known last level nothing is written.
         anded = (rows.groupBy("items", "hb", "bucket")
                  .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))
                  .filter(F.col("c") == 2)
                  .select("items", "hb", "bucket", "bm", F.bitmap_count("bm").alias("bits"))
-                 .filter(F.col("bits") > 0)
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+                 .filter(F.col("bits") > 0))
+        last = max_size is not None and k == max_size
+        anded_ckpt = None if last else anded.checkpoint()
         try:
-            cnt = anded.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
+            src = anded if last else anded_ckpt
+            cnt = src.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
             lk, mk = _checkpoint_counted(
                 cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
                 .filter(passes(F.col("cnt"))))
             if mk == 0:
+                _drop_checkpoint(anded_ckpt)
                 break
             out.append(_level(lk, k))
-            if (max_size is not None and k == max_size) or mk < 2:
+            if last or mk < 2:
+                _drop_checkpoint(anded_ckpt)
                 break
-            # Bitmaps of the frequent k-itemsets, written out before the cache goes.
-            bm = (anded.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
-                             "left_semi").select("items", "hb", "bucket", "bm").checkpoint())
+            # Bitmaps of the frequent k-itemsets for the next level, read lazily from
+            # this level's file (kept until the next level is written).
+            new_bm = anded_ckpt.join(broadcast_if(lk.select("items"), mk <= broadcast_rows),
+                                     "items", "left_semi").select("items", "hb", "bucket", "bm")
         finally:
-            anded.unpersist()
+            _drop_checkpoint(par_ckpt)
+        _drop_checkpoint(bm_file)  # the previous level's bitmaps are no longer needed
+        bm, bm_file = new_bm, anded_ckpt
         prev, prev_rows = lk.select("items"), mk
         k += 1
+    _drop_checkpoint(bm_file)
     return out
 
 
@@ -315,10 +348,12 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
     f = f.repartition("tid").persist(StorageLevel.MEMORY_AND_DISK)
     nxt = f.select("tid", F.col("item").alias("nxt"))
     occ = f.select("tid", F.array("item").alias("items"))
+    occ_ckpt = None  # set once occ is a checkpoint of ours
     prev = occ.select("items").distinct()
     prev_rows, out, k = m1, [], 2
     try:
         while (max_size is None or k <= max_size) and prev_rows >= 2:
+            cand_ckpt = None
             ext = (occ.join(nxt, "tid")
                    .filter(F.col("nxt") > F.element_at("items", -1))
                    .select("tid", F.concat("items", F.array("nxt")).alias("items")))
@@ -328,6 +363,7 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
                 small = prev_rows * m1 <= broadcast_rows
                 if not small:
                     cand, cand_rows = _checkpoint_counted(cand)
+                    cand_ckpt = cand
                     small = cand_rows <= broadcast_rows
                 ext = ext.join(broadcast_if(cand, small), "items", "left_semi")
             # ext is never cached (it is the largest table of the level): the counts
@@ -338,16 +374,22 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
                 cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
                 .filter(passes(F.col("cnt"))))
             if mk == 0:
+                _drop_checkpoint(cand_ckpt)
                 break
             out.append(_level(lk, k))
             if (max_size is not None and k == max_size) or mk < 2:
+                _drop_checkpoint(cand_ckpt)
                 break
-            occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
-                           "left_semi").checkpoint()
+            new_occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
+                               "left_semi").checkpoint()
+            _drop_checkpoint(cand_ckpt)
+            _drop_checkpoint(occ_ckpt)  # the previous level's occurrences
+            occ = occ_ckpt = new_occ
             prev, prev_rows = lk.select("items"), mk
             k += 1
     finally:
         f.unpersist()
+        _drop_checkpoint(occ_ckpt)
     return out
 
 
