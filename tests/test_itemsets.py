@@ -224,3 +224,21 @@ def test_method_names(spark):
 def test_candidates_tolerate_duplicate_input(spark):
     l2 = spark.createDataFrame([([1, 2],), ([1, 2],), ([1, 3],), ([2, 3],)], "items array<int>")
     assert sorted(tuple(r["items"]) for r in candidates(l2, 3).collect()) == [(1, 2, 3)]
+
+
+def test_intermediate_checkpoints_are_removed(spark):
+    import os
+
+    from cohortmine.operators.itemsets import mine_itemsets
+
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(root))
+    bask = _baskets(4, n_tx=40, n_items=7, p=0.6)
+    its, _ = mine_itemsets(_tx_df(spark, bask), 0.2)
+    got = _collect(its)
+    assert got == _brute(bask, 0.2)
+    added = set(os.listdir(root)) - before
+    levels = max(len(items) for items in got)
+    # what stays: the level results (L1..Lk) read by the returned frame, plus the
+    # last (empty) level's count checkpoint
+    assert len(added) <= levels + 1
