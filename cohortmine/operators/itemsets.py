@@ -312,6 +312,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 .filter(passes(F.col("cnt"))))
             if mk == 0:
                 _drop_checkpoint(anded_ckpt)
+                _drop_checkpoint(lk)
                 break
             out.append(_level(lk, k))
             if last or mk < 2:
@@ -375,6 +376,7 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
                 .filter(passes(F.col("cnt"))))
             if mk == 0:
                 _drop_checkpoint(cand_ckpt)
+                _drop_checkpoint(lk)
                 break
             out.append(_level(lk, k))
             if (max_size is not None and k == max_size) or mk < 2:
