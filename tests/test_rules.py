@@ -117,3 +117,19 @@ def test_itemset_sources_as_comma_list(spark, scratch):
     _write(f"{scratch}/small.txt", SMALLER)
     both = read_itemsets_text(spark, f"{scratch}/k3.txt,{scratch}/small.txt")
     assert both.count() == len(SIZE3) + len(SMALLER)
+
+
+def test_expand_subsets_counts_and_partition(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(sorted(rnd.sample(range(1, 30), rnd.randint(1, 7))), i) for i in range(25)]
+    df = spark.createDataFrame(rows, "items array<int>, cnt long")
+    out = expand_subsets(df).collect()
+    assert len(out) == sum(2 ** len(items) - 2 for items, _ in rows)
+    seen = set()
+    for r in out:
+        a, c, items = list(r["antecedent"]), list(r["consequent"]), list(r["items"])
+        assert a and c and sorted(a + c) == items
+        seen.add((tuple(items), tuple(a)))
+    assert len(seen) == len(out)  # every proper subset exactly once
