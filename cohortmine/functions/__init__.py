@@ -2,7 +2,6 @@
 
 from cohortmine.functions.columns import (
     half_up_milli,
-    item_array,
     itemset_string,
     java_trim,
     milli_to_double,
@@ -14,7 +13,6 @@ from cohortmine.functions.columns import (
 
 __all__ = [
     "half_up_milli",
-    "item_array",
     "itemset_string",
     "java_trim",
     "milli_to_double",

@@ -21,11 +21,6 @@ def java_trim(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), _JAVA_WS_EDGES, "")
 
 
-def item_array(c: Column | str) -> Column:
-    """Sorted distinct ``ARRAY<INT>`` from an array column."""
-    return F.array_sort(F.array_distinct(_col(c).cast("array<int>")))
-
-
 def itemset_string(c: Column | str) -> Column:
     """External itemset text: ``[1, 2, 3]`` -> ``'1;2;3;'``."""
     return F.concat(F.concat_ws(";", _col(c).cast("array<string>")), F.lit(";"))
