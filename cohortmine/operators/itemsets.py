@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cohortmine.functions import reference_count, support_passes
 from cohortmine.operators.joins import BROADCAST_ROWS, broadcast_if
-from cohortmine.schemas import DEFAULT_MIN_SUPPORT
+from cohortmine.schemas import DEFAULT_MIN_SUPPORT, ITEMSET
 from cohortmine.session import ensure_checkpoint_dir
 
 
@@ -154,7 +154,7 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         if n is None:
             n = pairs.select("tid").distinct().count()
         if n == 0:
-            return spark.createDataFrame([], "items array<int>, k int, cnt bigint"), 0
+            return spark.createDataFrame([], ITEMSET), 0
 
         def passes(c):
             return support_passes(c, n, min_support, count_mode)
