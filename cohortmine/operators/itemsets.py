@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortmine.functions import reference_count, support_passes
 from cohortmine.operators.joins import BROADCAST_ROWS, broadcast_if
@@ -145,6 +146,10 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         raise ValueError(f"unknown method {method!r}")
     if max_size is not None and max_size < 1:
         raise ValueError("max_size must be at least 1")
+    if not isinstance(tx.schema[item].dataType, T.IntegralType):
+        raise TypeError(f"column {item!r} must hold integer item ids, got "
+                        f"{tx.schema[item].dataType.simpleString()} (map labels to ids first, "
+                        "or use fp_itemsets for arbitrary item types)")
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
     pairs = (tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))

@@ -241,3 +241,9 @@ def test_intermediate_checkpoints_are_removed(spark):
     levels = max(len(items) for items in got)
     # what stays: the level results (L1..Lk) read by the returned frame
     assert len(added) == levels
+
+
+def test_non_integer_items_rejected(spark):
+    tx = spark.createDataFrame([("a", "x"), ("a", "y")], "tid string, item string")
+    with pytest.raises(TypeError):
+        frequent_itemsets(tx, 0.3)
