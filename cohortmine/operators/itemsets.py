@@ -229,6 +229,21 @@ TIDS_PER_BUCKET = 24576
 # Previous-level bitmaps up to this many bytes are broadcast and the work is split by
 # candidate; above it the candidate table is broadcast to the bitmaps instead.
 BITMAP_BROADCAST_BYTES = 64 * 1024 * 1024
+# The AND results (4 KiB rows) are cached when every task slot has at least this much
+# heap (the columnar cache buffers ~10k rows per task); otherwise streamed to a checkpoint.
+CACHE_MIN_HEAP_PER_TASK = 1 << 30
+
+
+def _heap_per_task(spark) -> int:
+    """Configured JVM heap per task slot (driver heap in local mode)."""
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    local = sc.master.startswith("local")
+    mem = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
+    slots = sc.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return int(spark._jvm.org.apache.spark.util.Utils.byteStringAsBytes(mem)) // max(1, slots)
+
+
 # Salts for the (rare) join of large bitmaps with a candidate table too big to broadcast.
 JOIN_SALTS = 32
 
@@ -248,6 +263,10 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
     """
     buckets = max(1, -(-n // TIDS_PER_BUCKET))
     parallelism = f.sparkSession.sparkContext.defaultParallelism
+    try:
+        cache_ok = _heap_per_task(f.sparkSession) >= CACHE_MIN_HEAP_PER_TASK
+    except Exception:  # noqa: BLE001 - unknown heap: take the memory-safe path
+        cache_ok = False
     hb = F.pmod(F.xxhash64("tid"), F.lit(buckets))
     # Dense rank of tid inside its hash group: deterministic, so a recomputed task
     # assigns the same positions. A group holds ~TIDS_PER_BUCKET tids (bounded).
@@ -298,19 +317,24 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 salted = side.withColumn("salt", F.pmod(F.col("hb"), F.lit(salts)))
                 par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
                 rows = salted.join(par_s, ["parent", "salt"]).drop("salt")
-        # Written with checkpoint() rather than cached: the columnar cache would pack
-        # ~10k of these 4 KiB rows into one batch buffer per task, while a checkpoint
-        # streams them to files. The level's counts and the next level's bitmaps both
-        # read that file; on a known last level nothing is written.
+        # Cached when task heaps are large; otherwise written with checkpoint(), since
+        # the columnar cache packs ~10k of these 4 KiB rows into one batch buffer per
+        # task while a checkpoint streams them to files. On a known last level nothing
+        # is kept.
         anded = (rows.groupBy("items", "hb", "bucket")
                  .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))
                  .filter(F.col("c") == 2)
                  .select("items", "hb", "bucket", "bm", F.bitmap_count("bm").alias("bits"))
                  .filter(F.col("bits") > 0))
         last = max_size is not None and k == max_size
-        anded_ckpt = None if last else anded.checkpoint()
+        anded_ckpt = cached = None
+        if last:
+            src = anded
+        elif cache_ok:
+            src = cached = anded.persist(StorageLevel.MEMORY_AND_DISK)
+        else:
+            src = anded_ckpt = anded.checkpoint()
         try:
-            src = anded if last else anded_ckpt
             cnt = src.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
             lk, mk = _checkpoint_counted(
                 cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
@@ -323,11 +347,15 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
             if last or mk < 2:
                 _drop_checkpoint(anded_ckpt)
                 break
-            # Bitmaps of the frequent k-itemsets for the next level, read lazily from
-            # this level's file (kept until the next level is written).
-            new_bm = anded_ckpt.join(broadcast_if(lk.select("items"), mk <= broadcast_rows),
-                                     "items", "left_semi").select("items", "hb", "bucket", "bm")
+            # Bitmaps of the frequent k-itemsets for the next level: written out when
+            # cached (before the cache goes), else read lazily from this level's file.
+            new_bm = src.join(broadcast_if(lk.select("items"), mk <= broadcast_rows),
+                              "items", "left_semi").select("items", "hb", "bucket", "bm")
+            if cached is not None:
+                new_bm = anded_ckpt = new_bm.checkpoint()
         finally:
+            if cached is not None:
+                cached.unpersist()
             _drop_checkpoint(par_ckpt)
         _drop_checkpoint(bm_file)  # the previous level's bitmaps are no longer needed
         bm, bm_file = new_bm, anded_ckpt

@@ -247,3 +247,17 @@ def test_non_integer_items_rejected(spark):
     tx = spark.createDataFrame([("a", "x"), ("a", "y")], "tid string, item string")
     with pytest.raises(TypeError):
         frequent_itemsets(tx, 0.3)
+
+
+@pytest.mark.parametrize("min_heap", [0, 1 << 62])
+def test_bitmap_cache_and_stream_paths(spark, monkeypatch, min_heap):
+    """AND results cached (large heaps) or streamed to a checkpoint (small heaps)."""
+    from cohortmine.operators import itemsets as mod
+
+    monkeypatch.setattr(mod, "CACHE_MIN_HEAP_PER_TASK", min_heap)
+    bask = _baskets(17, n_tx=45, n_items=8, p=0.55)
+    tx = _tx_df(spark, bask)
+    assert _collect(frequent_itemsets(tx, 0.15)) == _brute(bask, 0.15)
+    monkeypatch.setattr(mod, "TIDS_PER_BUCKET", 5)
+    monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
+    assert _collect(frequent_itemsets(tx, 0.15, count_mode="reference")) == _brute(bask, 0.15, mode="reference")
