@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from cohortmine.llm import oracle
+from cohortmine.llm.html_text import op5_html_extraction
 from cohortmine.llm.mixing import op6_mixing
 from cohortmine.llm.quality_rules import op9_quality_rules
-from cohortmine.llm.secrets import op4_secret_scans
+from cohortmine.llm.secret_scan import op4_secret_scans
+from cohortmine.llm.sentencepiece_sampling import op3_sentencepiece
+from cohortmine.llm.simhash import op2_simhash
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_secret_scans": op4_secret_scans,
+    "op5_html_extraction": op5_html_extraction,
     "op6_mixing": op6_mixing,
     "op9_quality_rules": op9_quality_rules,
 }

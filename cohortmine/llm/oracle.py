@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cohortmine.llm import mixing as mx
 from cohortmine.llm import quality_rules as qr
-from cohortmine.llm import secrets as sc
+from cohortmine.llm import secret_scan as sc
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
