@@ -97,6 +97,13 @@ class Vocabulary:
         special = {i for i in range(n) if m.is_control(i) or m.is_unknown(i) or m.is_unused(i)}
         return cls(pieces, [m.get_score(i) for i in range(n)], byte_ids, special, alpha)
 
+    @classmethod
+    def restored(cls, state: dict) -> Vocabulary:
+        """From ``vars`` of another: what is broadcast is plain data."""
+        v = cls.__new__(cls)
+        v.__dict__.update(state)
+        return v
+
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Id of the piece with hash ``h``; -1: only a prefix of pieces; -2: neither."""
         at = (h >> self.shift).astype(np.int64)
@@ -289,7 +296,7 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
     Each row is decoded again in its task; ``lossless`` says whether that gave the same text.
     """
     spark = docs.sparkSession
-    vocab = spark.sparkContext.broadcast(Vocabulary.load(model, alpha))
+    vocab = spark.sparkContext.broadcast(vars(Vocabulary.load(model, alpha)))
     made = ("pieces", "n_pieces", "lossless")
     own = [c for c in docs.columns if c not in made]
     keyed = docs.select(*own, _row_keys(key, seed).alias("__key"))
@@ -297,7 +304,7 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
         "n_pieces", T.LongType()).add("lossless", T.BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v: Vocabulary = vocab.value
+        v = Vocabulary.restored(vocab.value)
         for batch in batches:
             texts = batch.column(own.index(text)).cast(pa.string())
             keys = np.ascontiguousarray(batch.column(len(own)).to_numpy(zero_copy_only=False)).view(np.uint64)
@@ -320,11 +327,11 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
 
 def decode(coded: DataFrame, pieces: str = "pieces", model: str = MODEL) -> DataFrame:
     """``coded`` with ``decoded``, the text of its pieces (null pieces: null)."""
-    vocab = coded.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    vocab = coded.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(model)))
 
     @F.pandas_udf("string")
     def text_of(ids):
-        v = vocab.value
+        v = Vocabulary.restored(vocab.value)
         return ids.map(lambda x: None if x is None else v.decode(x.tolist() if hasattr(x, "tolist") else x))
 
     return coded.withColumn("decoded", text_of(pieces))
