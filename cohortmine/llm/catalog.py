@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cohortmine.llm import oracle
 from cohortmine.llm.html_text import op5_html_extraction
+from cohortmine.llm.katz import op8_lm_scoring
 from cohortmine.llm.mixing import op6_mixing
 from cohortmine.llm.quality_rules import op9_quality_rules
 from cohortmine.llm.secret_scan import op4_secret_scans
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_secret_scans": op4_secret_scans,
     "op5_html_extraction": op5_html_extraction,
     "op6_mixing": op6_mixing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,11 @@ def semi_or_anti(df: DataFrame, keys: DataFrame, on: list[str], how: str,
         one = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
         cond = one if cond is None else cond & one
     return df.join(side, cond, how)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage with a compressed table in the session's shared checkpoint folder."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ from cohortmine.llm.common import WORD, checkpointed, read, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)   # by the source's place, repeating
 MAX_EPOCHS = 3              # a target stops at this many times its source's size
-BUCKET_ROWS = 20_000        # expected rows sorted in one group
+BUCKET_ROWS = 1_000       # expected rows sorted in one group
 SEED = 17
 
 
