@@ -10,6 +10,7 @@ from cohortmine.llm.quality_rules import op9_quality_rules
 from cohortmine.llm.secret_scan import op4_secret_scans
 from cohortmine.llm.sentencepiece_sampling import op3_sentencepiece
 from cohortmine.llm.simhash import op2_simhash
+from cohortmine.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
     "op2_simhash": op2_simhash,
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_secret_scans": op4_secret_scans,
     "op5_html_extraction": op5_html_extraction,
     "op6_mixing": op6_mixing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
 }
