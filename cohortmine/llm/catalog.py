@@ -7,6 +7,7 @@ from cohortmine.llm.html_text import op5_html_extraction
 from cohortmine.llm.katz import op8_lm_scoring
 from cohortmine.llm.mixing import op6_mixing
 from cohortmine.llm.quality_rules import op9_quality_rules
+from cohortmine.llm.rp_forest import op10_embedding_dedup
 from cohortmine.llm.secret_scan import op4_secret_scans
 from cohortmine.llm.sentencepiece_sampling import op3_sentencepiece
 from cohortmine.llm.simhash import op2_simhash
@@ -21,6 +22,7 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL = {
