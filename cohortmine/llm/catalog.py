@@ -5,6 +5,7 @@ from __future__ import annotations
 from cohortmine.llm import oracle
 from cohortmine.llm.html_text import op5_html_extraction
 from cohortmine.llm.katz import op8_lm_scoring
+from cohortmine.llm.line_dedup import op1_line_dedup
 from cohortmine.llm.mixing import op6_mixing
 from cohortmine.llm.quality_rules import op9_quality_rules
 from cohortmine.llm.rp_forest import op10_embedding_dedup
@@ -14,6 +15,7 @@ from cohortmine.llm.simhash import op2_simhash
 from cohortmine.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_secret_scans": op4_secret_scans,
