@@ -131,7 +131,10 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", doc_id:
               **limits) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were."""
     gone = depleted(docs, text, host, doc_id, **limits)
-    marked = text_counts(docs, text).filter(~F.col("base_failed")).withColumn(
+    # The row number keeps the optimizer from moving the filter below the projections of the
+    # counts, where it would evaluate the words anew for every use of them.
+    counted = text_counts(docs, text).withColumn("__row", F.monotonically_increasing_id())
+    marked = counted.filter(~F.col("base_failed") & (F.col("__row") >= 0)).withColumn(
         "__t", F.xxhash64(text_or_empty(text)))
     marked = marked.withColumn("__host", F.col(host)).withColumn("__id", F.col(doc_id))
     return semi_or_anti(marked, gone, ["__host", "__id", "__t"], "left_anti").select(*docs.columns)
