@@ -287,11 +287,11 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 def cut_paths(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES,
               min_importance: float = MIN_IMPORTANCE) -> DataFrame:
-    """(cut_host, paths): for each host the paths of low importance (template parts only)."""
+    """(__cut_host, __paths): for each host the paths of low importance (template parts only)."""
     tree = style_tree(pages, url, html)
     low = tree.filter((F.col("pages") >= min_pages) & (F.greatest("presentation", "content") < min_importance)
                       & ~F.col("path").rlike(r"^/html[^/]*(/body[^/]*)?$"))
-    return low.groupBy(F.col("host").alias("cut_host")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return low.groupBy(F.col("host").alias("__cut_host")).agg(F.sort_array(F.collect_list("path")).alias("__paths"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", **limits) -> DataFrame:
@@ -306,8 +306,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", **limits) ->
     side = F.broadcast(cuts) if small_enough(cuts, BROADCAST_HOSTS) else cuts
     own = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     placed = pages.select(*own, F.col(html).cast("string").alias("__html")).withColumn("__host", host_of(F.col(url)))
-    joined = placed.join(side, F.col("__host") == F.col("cut_host"), "left")
-    return joined.withColumn("text", main_text("__html", "paths")).select(
+    joined = placed.join(side, F.col("__host") == F.col("__cut_host"), "left")
+    return joined.withColumn("text", main_text("__html", "__paths")).select(
         *own, "text", F.length("text").cast("long").alias("n_chars"))
 
 

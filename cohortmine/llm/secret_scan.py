@@ -123,14 +123,14 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", scope: int
         return F.size(F.filter("__all", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     digest = listed.select(
-        F.col("__id").alias("d_id"), F.col("__t").alias("d_t"),
+        F.col("__id").alias("__d_id"), F.col("__t").alias("__d_t"),
         *[count(k) for k in ("assign", "access", "hex")],
         F.sha2(joined(F.filter("__all", lambda x: x["rank"] <= 3)), 256).alias("base_sha256"),
         joined(F.col("__all")).alias("spans"))
     results = ("n_assign", "n_access", "n_hex", "base_sha256", "spans")
     own = [c for c in docs.columns if c not in results and c != text]
     slim = docs.select(*own, F.xxhash64(text_or_empty(text)).alias("__t"))
-    return slim.join(digest, slim[doc_id].eqNullSafe(F.col("d_id")) & (slim["__t"] == F.col("d_t")), "left").select(
+    return slim.join(digest, slim[doc_id].eqNullSafe(F.col("__d_id")) & (slim["__t"] == F.col("__d_t")), "left").select(
         *own, *[F.coalesce(F.col(f"n_{k}"), F.lit(0).cast("long")).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.coalesce(F.col("base_sha256"), F.sha2(F.lit(""), 256)).alias("base_sha256"),
         F.coalesce(F.col("spans"), F.lit("")).alias("spans"))
