@@ -9,14 +9,6 @@ MEASUREMENT = T.StructType([
     T.StructField("value", T.DoubleType()),
 ])
 
-# Subject row after parsing: id, the multi-label field (second-to-last column)
-# and the last column.
-SUBJECT = T.StructType([
-    T.StructField("subject_id", T.StringType()),
-    T.StructField("labels", T.StringType()),
-    T.StructField("last", T.StringType()),
-])
-
 # Counted itemset: sorted item ids, size, support count.
 ITEMSET = T.StructType([
     T.StructField("items", T.ArrayType(T.IntegerType())),
@@ -24,13 +16,6 @@ ITEMSET = T.StructType([
     T.StructField("cnt", T.LongType()),
 ])
 
-# Association rule.
-RULE = T.StructType([
-    T.StructField("antecedent", T.ArrayType(T.IntegerType())),
-    T.StructField("consequent", T.ArrayType(T.IntegerType())),
-    T.StructField("confidence", T.DoubleType()),
-])
-
 # The cohort labels and thresholds the reference jobs hard-code.
 DEFAULT_LABELS = ("breast-cancer", "prostate-cancer", "pancreatic-cancer", "leukemia", "lymphoma")
 DEFAULT_FEATURE = 42

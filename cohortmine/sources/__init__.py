@@ -9,11 +9,21 @@ from cohortmine.sources.tables import (
     read_table,
 )
 from cohortmine.sources.text_io import (
+    itemset_lines,
+    label_count_lines,
+    parse_basket_lines,
+    parse_itemset_lines,
+    parse_measurement_lines,
+    parse_subject_lines,
     read_baskets_text,
     read_itemsets_text,
     read_lines,
     read_measurements_csv,
     read_subjects_text,
+    report_lines,
+    rule_lines,
+    split_measurement_lines,
+    split_subject_lines,
     write_itemsets_parquet,
     write_itemsets_text,
     write_label_counts_text,
@@ -23,16 +33,26 @@ from cohortmine.sources.text_io import (
 
 __all__ = [
     "TABLES",
+    "itemset_lines",
+    "label_count_lines",
     "m1_measurements",
     "m1_subjects",
     "m2_measurements",
     "m2_subjects",
+    "parse_basket_lines",
+    "parse_itemset_lines",
+    "parse_measurement_lines",
+    "parse_subject_lines",
     "read_baskets_text",
     "read_itemsets_text",
     "read_lines",
     "read_measurements_csv",
     "read_subjects_text",
     "read_table",
+    "report_lines",
+    "rule_lines",
+    "split_measurement_lines",
+    "split_subject_lines",
     "write_itemsets_parquet",
     "write_itemsets_text",
     "write_label_counts_text",

@@ -11,8 +11,6 @@ Only the needed columns are selected, so the Parquet scans read just those
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,21 +20,11 @@ TABLES = (
 )
 
 
-# Base relations per session, like tables registered once: listing files and reading
-# Parquet footers is paid once per path instead of once per query.
-_RELATIONS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, reuse: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, listed anew on every call so files added in between are read."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if not reuse:
-        return spark.read.parquet(path)
-    known = _RELATIONS.setdefault(spark, {})
-    if path not in known:
-        known[path] = spark.read.parquet(path)
-    return known[path]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def m1_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:

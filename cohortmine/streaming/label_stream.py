@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cohortmine.operators.cohort import explode_labels, strong_measurements
 from cohortmine.schemas import DEFAULT_FEATURE, DEFAULT_LABELS, DEFAULT_MIN_VALUE, MEASUREMENT
 from cohortmine.session import ensure_checkpoint_dir
+from cohortmine.sources.text_io import parse_measurement_lines
 
 
 def label_counts_stream(spark: SparkSession, source_dir: str, subjects: DataFrame,
@@ -28,12 +29,14 @@ def label_counts_stream(spark: SparkSession, source_dir: str, subjects: DataFram
                         min_value: float = DEFAULT_MIN_VALUE, fmt: str = "parquet",
                         schema=MEASUREMENT, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame ``(label, cnt)`` over measurement files in ``source_dir``."""
-    reader = spark.readStream.format(fmt).schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    meas = strong_measurements(reader.load(source_dir), feature, min_value)
+    if fmt == "csv":
+        rows = parse_measurement_lines(reader.text(source_dir))
+    else:
+        rows = reader.format(fmt).schema(schema).load(source_dir)
+    meas = strong_measurements(rows, feature, min_value)
     lab = explode_labels(subjects, labels)
     return (meas.join(lab, "subject_id")
             .groupBy("label").agg(F.count(F.lit(1)).cast("long").alias("cnt")))

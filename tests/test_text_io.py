@@ -44,6 +44,77 @@ p3,40,flu,3.0
 """
 
 
+def _fails(df, text):
+    import pytest
+
+    with pytest.raises(Exception, match=text):
+        df.collect()
+
+
+def test_header_is_dropped_wherever_it_stands(spark, scratch):
+    import os
+
+    os.mkdir(f"{scratch}/m")
+    _write(f"{scratch}/m/part-0", "patientid,geneid,expression_value\np1,42,1300000\n")
+    _write(f"{scratch}/m/part-1", "p2,42,1300000\np3,42,1e6,more\n")
+    rows = {(r["subject_id"], r["feature_id"], r["value"]) for r in read_measurements_csv(spark, f"{scratch}/m").collect()}
+    assert rows == {("p1", 42, 1300000.0), ("p2", 42, 1300000.0), ("p3", 42, 1e6)}
+
+
+def test_bad_measurement_lines_fail_or_are_returned(spark):
+    from cohortmine.sources import parse_measurement_lines, split_measurement_lines
+
+    good = "p0,1,2.5"
+    for bad in ("p1,42,13x", "p2,x42,1300000", "p4,42", ""):
+        lines = spark.createDataFrame([(good,), (bad,)], "value string")
+        _fails(parse_measurement_lines(lines), "bad measurement line")
+        _fails(parse_measurement_lines(lines).select("subject_id"), "bad measurement line")
+        rows, left = split_measurement_lines(lines)
+        assert [tuple(r) for r in rows.collect()] == [("p0", 1, 2.5)]
+        assert [r["value"] for r in left.collect()] == [bad]
+
+
+def test_short_subject_lines_fail_or_are_returned(spark):
+    from cohortmine.sources import parse_subject_lines, split_subject_lines
+
+    lines = spark.createDataFrame([("id,labels,last",), ("a,flu,x",), ("onlyid",)], "value string")
+    _fails(parse_subject_lines(lines), "bad subject line")
+    rows, left = split_subject_lines(lines)
+    assert [tuple(r) for r in rows.collect()] == [("a", "flu", "x")]
+    assert [r["value"] for r in left.collect()] == ["onlyid"]
+
+
+def test_itemset_lines_take_the_field_after_the_first_comma(spark):
+    from cohortmine.sources import parse_itemset_lines
+
+    lines = spark.createDataFrame([("5,1;2,7;",), ("",)], "value string")
+    assert [tuple(r) for r in parse_itemset_lines(lines).collect()] == [([1, 2], 2, 5)]
+    _fails(parse_itemset_lines(spark.createDataFrame([("785",)], "value string")), "bad itemset line")
+
+
+def test_table_appended_between_reads(spark, scratch):
+    from cohortmine.sources import read_table
+
+    spark.range(3).write.parquet(f"{scratch}/part.parquet")
+    assert read_table(spark, scratch, "part").count() == 3
+    spark.range(5).write.mode("append").parquet(f"{scratch}/part.parquet")
+    assert read_table(spark, scratch, "part").count() == 8
+
+
+def test_level_of_several_files_in_order(spark, scratch):
+    rows = [([i, i + 1], 2, 1000 - i % 97) for i in range(400)] + [([i], 1, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "items array<int>, k int, cnt long")
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_itemsets_text(df, f"{scratch}/lv", by_level=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    assert len(glob.glob(f"{scratch}/lv/k=2/part-*")) > 1
+    want = [f"({c},{';'.join(map(str, x))};)" for c, x in sorted(((c, x) for x, k, c in rows if k == 2), key=lambda t: (-t[0], t[1]))]
+    assert _read_parts(f"{scratch}/lv/k=2") == want
+
+
 def test_csv_and_ragged_subjects_end_to_end(spark, scratch):
     _write(f"{scratch}/measurements.csv", MEAS_CSV)
     _write(f"{scratch}/subjects.txt", SUBJ_TXT)
