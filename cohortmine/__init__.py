@@ -20,6 +20,7 @@ from cohortmine.operators.cohort import (
 from cohortmine.operators.fpgrowth import fp_itemsets, fp_model, fp_rules
 from cohortmine.operators.itemsets import (
     candidates,
+    cooccurring_pairs,
     frequent_itemsets,
     item_counts,
     mine_itemsets,
@@ -38,6 +39,7 @@ __all__ = [
     "candidates",
     "cohort",
     "cohort_measurements",
+    "cooccurring_pairs",
     "expand_subsets",
     "explode_labels",
     "fp_itemsets",

@@ -37,11 +37,10 @@ def half_up_milli(num: Column | str, den: Column | str) -> Column:
 
     ``(2000*num + den) div (2*den)`` rounds the exact rational, which equals Java's
     BigDecimal HALF_UP of the printed double for all realistic counts, and is the
-    same integer in any SQL engine. The double quotient is exact under floor while
-    ``2000*num`` stays below 2**53.
+    same integer in any SQL engine. Integer division on decimals: exact for any BIGINT.
     """
-    n, d = _col(num).cast("long"), _col(den).cast("long")
-    return F.when(d > 0, F.floor((n * 2000 + d) / (d * 2)).cast("long"))
+    n, d = _col(num).cast("decimal(20,0)"), _col(den).cast("decimal(20,0)")
+    return F.when(d > 0, F.call_function("div", n * 2000 + d, d * 2).cast("long"))
 
 
 def milli_to_double(c: Column | str) -> Column:
@@ -69,7 +68,7 @@ def reference_count(cnt: Column | str, k: int) -> Column:
     """Size-k count as the reference reports it: ``floor(cnt / (k-1)!)`` for k >= 2."""
     if k < 2:
         return _col(cnt)
-    return F.floor(_col(cnt) / F.lit(math.factorial(k - 1))).cast("long")
+    return F.call_function("div", _col(cnt).cast("long"), F.lit(math.factorial(k - 1)).cast("long"))
 
 
 def subset_by_mask(items: Column | str, mask: Column | str, keep: int = 1) -> Column:

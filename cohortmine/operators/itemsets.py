@@ -4,8 +4,9 @@ Common steps: ``pairs`` = distinct ``(tid, item)`` (persisted), n = distinct tid
 ``L_1`` = items with ``cnt/n > s``. Each level k >= 2 builds the apriori-gen
 candidates from ``L_{k-1}`` (:func:`candidates`) and counts them with one of:
 
-* ``bitmap`` (default): every frequent itemset keeps a tid bitmap per tid group;
-  a candidate's bitmap is the AND of its two parents' (:func:`_bitmap_levels`).
+* ``bitmap`` (default): pairs are counted where they co-occur; from size 3 on every frequent
+  itemset keeps a tid bitmap per tid group and a candidate's bitmap is the AND of its
+  two parents' (:func:`_bitmap_levels`).
 * ``tidjoin``: every transaction's frequent (k-1)-itemsets are extended by its later
   frequent items with an equi-join on ``tid`` (:func:`_tidjoin_levels`).
 * ``fpgrowth``: Spark ML FP-growth over the baskets, then the same filters.
@@ -20,23 +21,35 @@ survives executor loss.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortmine.functions import reference_count, support_passes
-from cohortmine.operators.joins import BROADCAST_ROWS, broadcast_if
+from cohortmine.operators.fpgrowth import frequent_sets
+from cohortmine.operators.joins import BROADCAST_BYTES, broadcast_if, itemset_bytes
 from cohortmine.schemas import DEFAULT_MIN_SUPPORT, ITEMSET
-from cohortmine.session import ensure_checkpoint_dir
+from cohortmine.session import ensure_checkpoint_dir, held
+
+_LOG = logging.getLogger(__name__)
+
+
+def _int_id(c: Column) -> Column:
+    """An integer id as INT; one that does not fit fails the query whatever the ANSI mode."""
+    wide = c.cast("long")
+    bad = F.raise_error(F.concat(F.lit("item id out of range: "), wide.cast("string")))
+    return F.when(wide.between(-(1 << 31), (1 << 31) - 1), wide.cast("int")).when(
+        wide.isNotNull(), bad.cast("int"))
 
 
 def item_counts(tx: DataFrame, rows: bool = False, tid: str = "tid", item: str = "item") -> DataFrame:
     """A5: ``(item, cnt)``. Distinct transactions per item by default; ``rows=True``
     counts input rows (the reference's size-1 counting, D3)."""
-    src = tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))
+    src = tx.select(F.col(tid).alias("tid"), _int_id(F.col(item)).alias("item"))
     if not rows:
         src = src.distinct()
     return src.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
@@ -111,34 +124,66 @@ def candidates(itemsets: DataFrame, k: int, prune: bool = True) -> DataFrame:
             .filter(F.col("hits") == k - 2).select("items"))
 
 
+def cooccurring_pairs(tx: DataFrame) -> DataFrame:
+    """J3 at k = 2: ``(items, cnt)`` of the item pairs that share a transaction.
+
+    ``tx`` holds distinct ``(tid, item)`` rows. An equi-join on ``tid`` with ascending items,
+    counted with partial sums: pairs that never occur together are never listed.
+    """
+    other = tx.select("tid", F.col("item").alias("other"))
+    return (tx.join(other, "tid").filter(F.col("item") < F.col("other"))
+            .groupBy("item", "other").agg(F.count(F.lit(1)).alias("cnt"))
+            .select(F.array("item", "other").alias("items"), "cnt"))
+
+
 def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int | None = None, count_mode: str = "exact",
                       method: str = "bitmap", tid: str = "tid", item: str = "item",
-                      broadcast_rows: int = BROADCAST_ROWS, n: int | None = None) -> DataFrame:
+                      broadcast_bytes: int = BROADCAST_BYTES, n: int | None = None,
+                      ordered: bool = False) -> DataFrame:
     """H4: all frequent itemsets ``(items ARRAY<INT>, k INT, cnt BIGINT)``; see
-    :func:`mine_itemsets`, which also returns the transaction count n."""
-    return mine_itemsets(tx, min_support, max_size, count_mode, method, tid, item,
-                         broadcast_rows, n)[0]
+    :func:`mine_itemsets`, which also returns the transaction count n. ``ordered`` sorts by
+    size, falling count and items (O4)."""
+    out = mine_itemsets(tx, min_support, max_size, count_mode, method, tid, item, broadcast_bytes, n)[0]
+    return out.orderBy("k", F.desc("cnt"), "items") if ordered else out
+
+
+def least_count(n: int, min_support: float, count_mode: str = "exact") -> int:
+    """The least count of n transactions that passes ``min_support`` (n + 1 if none does)."""
+    def passes(c: int) -> bool:
+        ratio = c / n
+        return (float(np.float32(ratio)) if count_mode == "reference" else ratio) > min_support
+
+    low, high = 0, n + 1  # passes is monotone: false at 0 or below, taken as true at n + 1
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (low, mid) if passes(mid) else (mid, high)
+    return high
 
 
 def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                   max_size: int | None = None, count_mode: str = "exact",
                   method: str = "bitmap", tid: str = "tid", item: str = "item",
-                  broadcast_rows: int = BROADCAST_ROWS,
-                  n: int | None = None) -> tuple[DataFrame, int]:
+                  broadcast_bytes: int = BROADCAST_BYTES, n: int | None = None,
+                  cache_levels: bool = False) -> tuple[DataFrame, int]:
     """H4: ``(itemsets, n)``; itemsets are ``(items ARRAY<INT>, k INT, cnt BIGINT)``.
 
     ``min_support`` is relative and strict (``cnt/n > min_support``); ``n`` is the
     number of distinct transactions. ``max_size`` bounds the itemset size (None: until
-    a level is empty). ``count_mode='reference'`` reports ``floor(cnt/(k-1)!)`` for
-    k >= 2 and compares a 32-bit float quotient, as the reference does (D1, D2).
+    a level is empty). ``count_mode='reference'`` counts single items by rows of ``tx``
+    (repeated rows count again, D3), reports ``floor(cnt/(k-1)!)`` for k >= 2 and compares
+    a 32-bit float quotient, as the reference does (D1, D2). Rows with a NULL tid or item
+    name no membership and are left out, of n too; item ids outside INT fail the query.
 
     ``method`` picks how level k >= 2 is counted; all give the same result:
 
     * ``'bitmap'`` (default; alias ``'levelwise'``): vertical tid bitmaps, see
-      :func:`_bitmap_levels`.
+      :func:`_bitmap_levels`. ``cache_levels`` caches a level's AND results instead of
+      writing them to a checkpoint; the columnar cache packs about 10,000 of these 4 KiB
+      rows a task, so it wants 1 GiB of heap for each task slot.
     * ``'tidjoin'``: per-transaction extension join, see :func:`_tidjoin_levels`.
-    * ``'fpgrowth'``: Spark ML FP-growth, then the strict / reference filter.
+    * ``'fpgrowth'``: Spark ML FP-growth, then the strict / reference filter. Fast on dense
+      data; builds each conditional tree in one task.
     """
     if method == "levelwise":
         method = "bitmap"
@@ -152,10 +197,9 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                         "or use fp_itemsets for arbitrary item types)")
     spark = tx.sparkSession
     ensure_checkpoint_dir(spark)
-    pairs = (tx.select(F.col(tid).alias("tid"), F.col(item).cast("int").alias("item"))
-             .filter(F.col("tid").isNotNull() & F.col("item").isNotNull())
-             .distinct().persist(StorageLevel.MEMORY_AND_DISK))
-    try:
+    rows = (tx.select(F.col(tid).alias("tid"), _int_id(F.col(item)).alias("item"))
+            .filter(F.col("tid").isNotNull() & F.col("item").isNotNull()))
+    with held(rows.distinct()) as pairs:
         if n is None:
             n = pairs.select("tid").distinct().count()
         if n == 0:
@@ -164,22 +208,21 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         def passes(c):
             return support_passes(c, n, min_support, count_mode)
 
-        if method == "fpgrowth":
-            return _fpgrowth_levels(pairs, n, min_support, max_size, count_mode, passes), n
-        l1, m1 = _checkpoint_counted(pairs.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
+        single = rows if count_mode == "reference" else pairs
+        l1, m1 = _checkpoint_counted(single.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
                                      .filter(passes(F.col("cnt"))))
         levels = [l1.select(F.array("item").alias("items"), F.lit(1).alias("k"),
                             F.col("cnt").cast("long").alias("cnt"))]
         if m1 >= 2 and (max_size is None or max_size >= 2):
-            f = pairs.join(broadcast_if(l1.select("item"), m1 <= broadcast_rows), "item",
+            f = pairs.join(broadcast_if(l1.select("item"), m1 * itemset_bytes(1) <= broadcast_bytes), "item",
                            "left_semi").select("tid", "item")
-            if method == "bitmap":
-                levels += _bitmap_levels(f, n, m1, max_size, count_mode, passes, broadcast_rows)
+            if method == "fpgrowth":
+                levels += _fpgrowth_levels(f, n, min_support, max_size, count_mode, passes)
+            elif method == "bitmap":
+                levels += _bitmap_levels(f, n, m1, max_size, count_mode, passes, broadcast_bytes, cache_levels)
             else:
-                levels += _tidjoin_levels(f, m1, max_size, count_mode, passes, broadcast_rows)
+                levels += _tidjoin_levels(f, m1, max_size, count_mode, passes, broadcast_bytes)
         return reduce(DataFrame.unionByName, levels), n
-    finally:
-        pairs.unpersist()
 
 
 def _checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
@@ -195,20 +238,22 @@ def _checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
 
 def _drop_checkpoint(df: DataFrame | None) -> None:
     """Delete the files of an intermediate checkpoint nothing references any more
-    (an earlier level's bitmaps or occurrences). Best effort: files left behind are
-    harmless, so any failure is ignored."""
+    (an earlier level's bitmaps or occurrences). Files left behind do not change a result;
+    a failed deletion is logged with their place."""
     if df is None:
         return
+    place = "an unknown place"
     try:
         plan = df._jdf.queryExecution().logical()
         ckpt = plan.rdd().getCheckpointFile()
         if ckpt.isDefined():
+            place = ckpt.get()
             jvm = df.sparkSession._jvm
-            path = jvm.org.apache.hadoop.fs.Path(ckpt.get())
+            path = jvm.org.apache.hadoop.fs.Path(place)
             conf = df.sparkSession._jsc.hadoopConfiguration()
             path.getFileSystem(conf).delete(path, True)
-    except Exception:  # noqa: BLE001 - cleanup must never fail the job
-        pass
+    except Exception as exc:  # noqa: BLE001 - cleanup must never fail the job
+        _LOG.warning("checkpoint files at %s were not deleted: %s", place, exc)
 
 
 def _level(lk: DataFrame, k: int) -> DataFrame:
@@ -229,30 +274,17 @@ TIDS_PER_BUCKET = 24576
 # Previous-level bitmaps up to this many bytes are broadcast and the work is split by
 # candidate; above it the candidate table is broadcast to the bitmaps instead.
 BITMAP_BROADCAST_BYTES = 64 * 1024 * 1024
-# The AND results (4 KiB rows) are cached when every task slot has at least this much
-# heap (the columnar cache buffers ~10k rows per task); otherwise streamed to a checkpoint.
-CACHE_MIN_HEAP_PER_TASK = 1 << 30
-
-
-def _heap_per_task(spark) -> int:
-    """Configured JVM heap per task slot (driver heap in local mode)."""
-    sc = spark.sparkContext
-    conf = sc.getConf()
-    local = sc.master.startswith("local")
-    mem = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
-    slots = sc.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
-    return int(spark._jvm.org.apache.spark.util.Utils.byteStringAsBytes(mem)) // max(1, slots)
-
-
-# Salts for the (rare) join of large bitmaps with a candidate table too big to broadcast.
-JOIN_SALTS = 32
+# Tid groups that share a salt in the (rare) join of large bitmaps with a candidate table
+# too big to broadcast: the salts grow with the groups, a (parent, salt) key does not.
+GROUPS_PER_SALT = 64
 
 
 def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mode: str,
-                   passes, broadcast_rows: int) -> list[DataFrame]:
+                   passes, broadcast_bytes: int, cache_levels: bool) -> list[DataFrame]:
     """Levels k >= 2 over tid bitmaps (Eclat-style vertical layout, built-ins only).
 
-    Every frequent itemset X keeps ``(items, bucket, bm)``: the bitmap of the
+    Size 2 is counted from co-occurring pairs (:func:`cooccurring_pairs`); bitmaps start with
+    the frequent pairs. Every frequent itemset X keeps ``(items, bucket, bm)``: the bitmap of the
     transactions holding X, one row per tid bucket with any hit. A size-k candidate
     (apriori-gen) has two frequent parents -- itself without its last item and
     without its second-to-last -- and its bitmap is their AND
@@ -263,15 +295,22 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
     """
     buckets = max(1, -(-n // TIDS_PER_BUCKET))
     parallelism = f.sparkSession.sparkContext.defaultParallelism
-    try:
-        cache_ok = _heap_per_task(f.sparkSession) >= CACHE_MIN_HEAP_PER_TASK
-    except Exception:  # noqa: BLE001 - unknown heap: take the memory-safe path
-        cache_ok = False
     hb = F.pmod(F.xxhash64("tid"), F.lit(buckets))
-    # Dense rank of tid inside its hash group: deterministic, so a recomputed task
-    # assigns the same positions. A group holds ~TIDS_PER_BUCKET tids (bounded).
-    gid = F.col("hb") * F.lit(1 << 31) + F.dense_rank().over(Window.partitionBy("hb").orderBy("tid"))
-    pos = f.select("tid", "item", hb.alias("hb")).select("item", "hb", gid.alias("gid"))
+    pairs_only = max_size == 2
+    l2, m2 = _checkpoint_counted(
+        cooccurring_pairs(f).select("items", _count_col(F.col("cnt"), 2, count_mode).alias("cnt"))
+        .filter(passes(F.col("cnt"))))
+    if m2 == 0:
+        _drop_checkpoint(l2)
+        return []
+    if pairs_only or m2 < 2:
+        return [_level(l2, 2)]
+    # Rank of a tid among the distinct tids of its hash group: deterministic, so a recomputed
+    # task assigns the same positions. The window sees one row a transaction (its frequent
+    # items, at most |L_1|), about TIDS_PER_BUCKET of them.
+    gid = F.col("hb") * F.lit(1 << 31) + F.row_number().over(Window.partitionBy("hb").orderBy("tid"))
+    carts = f.groupBy("tid").agg(F.collect_set("item").alias("own")).select("tid", "own", hb.alias("hb"))
+    pos = carts.select("own", "hb", gid.alias("gid")).select(F.explode("own").alias("item"), "hb", "gid")
     # bucket is a function of hb; keeping hb in the key lets every bitmap aggregation
     # reuse the hb partitioning of the window instead of shuffling 4 KiB rows.
     bm = (pos.groupBy(F.array("item").alias("items"), "hb",
@@ -279,12 +318,10 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
           .agg(F.bitmap_construct_agg(F.bitmap_bit_position("gid")).alias("bm"))
           .checkpoint())
     bm_file = bm  # the checkpoint behind the current bitmaps
-    prev, prev_rows = bm.select("items").distinct(), m1
-    out = []
-    k = 2
+    prev_rows, out, k = m1, [], 2
     while (max_size is None or k <= max_size) and prev_rows >= 2:
         par_ckpt = None
-        cand = candidates(prev, k)
+        cand = l2.select("items") if k == 2 else candidates(prev, k)
         parents = F.array(F.slice("items", 1, k - 1),
                           F.concat(F.slice("items", 1, k - 2), F.array(F.element_at("items", -1))))
         par = cand.select("items", F.explode(parents).alias("parent"))
@@ -295,11 +332,11 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
         else:
             # Large: bitmaps stay where they are (partitioned by tid hash group, the
             # aggregation key includes hb); the candidate table travels.
-            small = prev_rows * m1 * 2 <= broadcast_rows
+            small = (2 * m2 if k == 2 else prev_rows * m1 * 2) * itemset_bytes(k, 2) <= broadcast_bytes
             if not small:
                 par, par_rows = _checkpoint_counted(par)
                 par_ckpt = par
-                small = par_rows <= broadcast_rows
+                small = par_rows * itemset_bytes(k, 2) <= broadcast_bytes
             if small:
                 if buckets >= parallelism:
                     # A checkpoint forgets its partitioning: re-partition the previous
@@ -312,15 +349,13 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 rows = side.join(broadcast_if(par, True), "parent")
             else:
                 # Both sides big: salt by tid group so one parent's bitmaps spread over
-                # up to JOIN_SALTS tasks (each candidate row is replicated per salt).
-                salts = min(JOIN_SALTS, buckets)
+                # tasks of GROUPS_PER_SALT groups (each candidate row is replicated per salt).
+                salts = max(1, -(-buckets // GROUPS_PER_SALT))
                 salted = side.withColumn("salt", F.pmod(F.col("hb"), F.lit(salts)))
                 par_s = par.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
                 rows = salted.join(par_s, ["parent", "salt"]).drop("salt")
-        # Cached when task heaps are large; otherwise written with checkpoint(), since
-        # the columnar cache packs ~10k of these 4 KiB rows into one batch buffer per
-        # task while a checkpoint streams them to files. On a known last level nothing
-        # is kept.
+        # Written with checkpoint(), which streams rows to files, or cached if the caller
+        # said so. On a known last level nothing is kept.
         anded = (rows.groupBy("items", "hb", "bucket")
                  .agg(F.bitmap_and_agg("bm").alias("bm"), F.count(F.lit(1)).alias("c"))
                  .filter(F.col("c") == 2)
@@ -330,15 +365,18 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
         anded_ckpt = cached = None
         if last:
             src = anded
-        elif cache_ok:
-            src = cached = anded.persist(StorageLevel.MEMORY_AND_DISK)
+        elif cache_levels:
+            src = cached = anded.persist()
         else:
             src = anded_ckpt = anded.checkpoint()
         try:
-            cnt = src.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
-            lk, mk = _checkpoint_counted(
-                cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
-                .filter(passes(F.col("cnt"))))
+            if k == 2:
+                lk, mk = l2, m2
+            else:
+                cnt = src.groupBy("items").agg(F.sum("bits").cast("long").alias("cnt"))
+                lk, mk = _checkpoint_counted(
+                    cnt.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                    .filter(passes(F.col("cnt"))))
             if mk == 0:
                 _drop_checkpoint(anded_ckpt)
                 _drop_checkpoint(lk)
@@ -349,7 +387,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
                 break
             # Bitmaps of the frequent k-itemsets for the next level: written out when
             # cached (before the cache goes), else read lazily from this level's file.
-            new_bm = src.join(broadcast_if(lk.select("items"), mk <= broadcast_rows),
+            new_bm = src.join(broadcast_if(lk.select("items"), mk * itemset_bytes(k) <= broadcast_bytes),
                               "items", "left_semi").select("items", "hb", "bucket", "bm")
             if cached is not None:
                 new_bm = anded_ckpt = new_bm.checkpoint()
@@ -368,7 +406,7 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
 # ---- per-transaction extension join ------------------------------------------------
 
 def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str, passes,
-                    broadcast_rows: int) -> list[DataFrame]:
+                    broadcast_bytes: int) -> list[DataFrame]:
     """Levels k >= 2 by extending each transaction's frequent (k-1)-itemsets.
 
     ``occ`` holds one ``(tid, items)`` row per transaction and frequent itemset it
@@ -379,7 +417,7 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
     """
     # Partitioned by tid once and cached (a cache keeps its partitioning), so the
     # per-level joins on tid only shuffle the occurrence side.
-    f = f.repartition("tid").persist(StorageLevel.MEMORY_AND_DISK)
+    f = f.repartition("tid").persist()
     nxt = f.select("tid", F.col("item").alias("nxt"))
     occ = f.select("tid", F.array("item").alias("items"))
     occ_ckpt = None  # set once occ is a checkpoint of ours
@@ -394,11 +432,11 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
             if k >= 3:
                 # |C_k| <= |L_{k-1}| * |L_1| is a proven bound; count only beyond it.
                 cand = candidates(prev, k)
-                small = prev_rows * m1 <= broadcast_rows
+                small = prev_rows * m1 * itemset_bytes(k) <= broadcast_bytes
                 if not small:
                     cand, cand_rows = _checkpoint_counted(cand)
                     cand_ckpt = cand
-                    small = cand_rows <= broadcast_rows
+                    small = cand_rows * itemset_bytes(k) <= broadcast_bytes
                 ext = ext.join(broadcast_if(cand, small), "items", "left_semi")
             # ext is never cached (it is the largest table of the level): the counts
             # aggregate it as it streams out of the join, and the frequent occurrences
@@ -415,7 +453,7 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
             if (max_size is not None and k == max_size) or mk < 2:
                 _drop_checkpoint(cand_ckpt)
                 break
-            new_occ = ext.join(broadcast_if(lk.select("items"), mk <= broadcast_rows), "items",
+            new_occ = ext.join(broadcast_if(lk.select("items"), mk * itemset_bytes(k) <= broadcast_bytes), "items",
                                "left_semi").checkpoint()
             _drop_checkpoint(cand_ckpt)
             _drop_checkpoint(occ_ckpt)  # the previous level's occurrences
@@ -430,26 +468,20 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
 
 # ---- FP-growth ------------------------------------------------------------------------
 
-def _fpgrowth_levels(pairs: DataFrame, n: int, min_support: float, max_size: int | None,
-                     count_mode: str, passes) -> DataFrame:
-    """Spark ML FP-growth on the baskets, then the strict (or reference) filter.
+def _fpgrowth_levels(f: DataFrame, n: int, min_support: float, max_size: int | None,
+                     count_mode: str, passes) -> list[DataFrame]:
+    """Sizes k >= 2 by Spark ML FP-growth on the baskets, then the strict (or reference) filter.
 
-    FP-growth's bound is inclusive (``freq >= ceil(s*n)``) and its counts exact, so
-    its output is a superset of every itemset passing ``passes``; in reference mode
-    ``floor(cnt/(k-1)!) <= cnt`` keeps that true.
+    FP-growth's bound is inclusive and takes a share of the baskets it is given; it is set
+    half a count below the least count that passes, so rounding cannot lose an itemset. In
+    reference mode ``floor(cnt/(k-1)!) <= cnt`` keeps its output a superset.
     """
-    from pyspark.ml.fpm import FPGrowth
-
-    bask = pairs.groupBy("tid").agg(F.collect_set("item").alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(bask)
-    its = model.freqItemsets.select(F.array_sort("items").alias("items"),
-                                    F.size("items").alias("k"), F.col("freq").alias("cnt"))
+    bask = f.groupBy("tid").agg(F.collect_set("item").alias("items"))  # at most |L_1| items
+    its = frequent_sets(bask, least_count(n, min_support, count_mode)).filter(F.col("k") >= 2)
     if max_size is not None:
         its = its.filter(F.col("k") <= max_size)
-    cnt = F.when(F.col("k") >= 2,
-                 F.floor(F.col("cnt") / F.call_function("factorial", F.col("k") - 1)))
     if count_mode == "reference":
-        its = its.withColumn("cnt", cnt.otherwise(F.col("cnt")))
-    return (its.filter(passes(F.col("cnt")))
-            .select("items", F.col("k").cast("int").alias("k"), F.col("cnt").cast("long").alias("cnt"))
-            .checkpoint())
+        its = its.withColumn("cnt", F.call_function(
+            "div", F.col("cnt"), F.call_function("factorial", F.col("k") - 1)))
+    return [its.filter(passes(F.col("cnt"))).select(
+        "items", F.col("k").cast("int").alias("k"), F.col("cnt").cast("long").alias("cnt")).checkpoint()]

@@ -6,41 +6,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortmine.functions import half_up_milli, milli_to_double, subset_by_mask
-from cohortmine.operators.joins import BROADCAST_ROWS, broadcast_if
 from cohortmine.schemas import DEFAULT_MIN_CONFIDENCE
 
 
+MASK_BITS = 16        # bits of a mask that one generator spans
+MAX_SUBSET_SIZE = 62  # masks are BIGINTs
+
+
 def expand_subsets(itemsets: DataFrame) -> DataFrame:
     """One row per non-empty proper subset of each itemset.
 
     Output ``(items, cnt, antecedent, consequent)``: mask m runs over 1 .. 2^size-2,
     bit i selects ``items[i]`` into the antecedent (original order); the other
     items form the consequent (U1, set difference). Size-1 itemsets have none.
+
+    A mask is put together from parts of ``MASK_BITS`` bits, each from its own generator,
+    so no row ever holds more than 2^16 of them. Sizes above ``MAX_SUBSET_SIZE`` cannot be
+    enumerated and fail the query.
     """
     size = F.size("items")
+    too_large = F.raise_error(F.concat(F.lit("itemset too large to enumerate its subsets: size "), size.cast("string")))
+    ex = itemsets.filter(F.when(size <= MAX_SUBSET_SIZE, size >= 2).otherwise(too_large.cast("boolean"))).select(
+        "items", "cnt", F.lit(0).cast("long").alias("mask"))
     one = F.lit(1).cast("long")
-    masks = F.sequence(one, F.call_function("shiftleft", one, size) - 2)
-    ex = itemsets.filter(size >= 2).select("items", "cnt", F.explode(masks).alias("mask"))
+    for low in range(0, MAX_SUBSET_SIZE, MASK_BITS):
+        bits = F.least(F.greatest(size - low, F.lit(0)), F.lit(MASK_BITS))
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("shiftleft", one, bits) - 1))
+        ex = ex.select("items", "cnt", "mask", part.alias("part")).select(
+            "items", "cnt", F.col("mask").bitwiseOR(F.shiftleft("part", low)).alias("mask"))
+    ex = ex.filter((F.col("mask") != 0) & (F.col("mask") != F.call_function("shiftleft", one, size) - 1))
     return ex.select("items", "cnt",
                      subset_by_mask("items", "mask", 1).alias("antecedent"),
                      subset_by_mask("items", "mask", 0).alias("consequent"))
 
 
-def rule_complement(itemsets: DataFrame, counted: DataFrame | None = None,
-                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def rule_complement(itemsets: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """J5 + U1: subsets joined (inner) with the counted itemsets on the antecedent.
 
     Output ``(antecedent, consequent, items, cnt, ante_cnt)``. A subset missing from
-    ``counted`` drops its rule, as in the reference (D13). The join key is an int
-    array and the counted side is one row per key: it is counted and broadcast when
-    under ``broadcast_rows`` (the planner's own estimate would ignore the 2^k-2 fan-out
-    of the subset side and might broadcast that instead); above it the join
-    shuffles, and AQE splits skewed antecedent partitions.
+    ``counted`` drops its rule, as in the reference (D13). The counted side is one row
+    per key; whether it is broadcast is left to AQE, which knows its size at run time
+    and splits skewed antecedent partitions otherwise.
     """
     counted = itemsets if counted is None else counted
     ante = counted.select(F.col("items").alias("antecedent"), F.col("cnt").alias("ante_cnt"))
-    small = ante.count() <= broadcast_rows
-    return expand_subsets(itemsets).join(broadcast_if(ante, small), "antecedent").select(
+    return expand_subsets(itemsets).join(ante, "antecedent").select(
         "antecedent", "consequent", "items", "cnt", "ante_cnt")
 
 
@@ -51,19 +61,20 @@ def confidence(cnt: Column | str, ante_cnt: Column | str) -> Column:
 
 def association_rules(itemsets: DataFrame, counted: DataFrame | None = None,
                       min_confidence: float = DEFAULT_MIN_CONFIDENCE,
-                      k: int | None = None) -> DataFrame:
+                      k: int | None = None, ordered: bool = False) -> DataFrame:
     """H6: rules ``(antecedent, consequent, confidence)`` with consequents of any size.
 
     ``itemsets`` are the sets to split (only size ``k`` when given); ``counted``
     supplies antecedent counts (default: ``itemsets`` itself). The filter applies to
     the rounded confidence, strictly (F7, D11). Confidences above 1 (inconsistent
-    inputs) are kept (D6).
+    inputs) are kept (D6). ``ordered`` sorts by falling confidence, then items (O5).
     """
     src = itemsets if k is None else itemsets.filter(F.size("items") == k)
     rules = rule_complement(src, itemsets if counted is None else counted)
-    return (rules.select("antecedent", "consequent",
-                         confidence("cnt", "ante_cnt").alias("confidence"))
-            .filter(F.col("confidence") > F.lit(float(min_confidence))))
+    out = (rules.select("antecedent", "consequent",
+                        confidence("cnt", "ante_cnt").alias("confidence"))
+           .filter(F.col("confidence") > F.lit(float(min_confidence))))
+    return out.orderBy(F.desc("confidence"), "antecedent", "consequent") if ordered else out
 
 
 def support_report(itemsets: DataFrame, n: int, k: int | None = None) -> DataFrame:

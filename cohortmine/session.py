@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -57,3 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="cohortmine-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached for the block. What the caller has cached already stays as it is."""
+    level = df.storageLevel
+    own = not (level.useMemory or level.useDisk)
+    if own:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        if own:
+            df.unpersist()

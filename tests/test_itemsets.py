@@ -170,8 +170,8 @@ def test_bitmap_large_paths_match(spark, monkeypatch):
     tx = _tx_df(spark, bask)
     want = _brute(bask, 0.15)
     monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
-    assert _collect(frequent_itemsets(tx, 0.15)) == want
-    assert _collect(frequent_itemsets(tx, 0.15, broadcast_rows=0)) == want
+    assert _collect(frequent_itemsets(tx, 0.15, method="bitmap")) == want
+    assert _collect(frequent_itemsets(tx, 0.15, broadcast_bytes=0, method="bitmap")) == want
 
 
 def test_property_methods_equal_brute_force(spark):
@@ -206,11 +206,14 @@ def test_bitmap_many_tid_groups(spark, monkeypatch, tids_per_bucket):
     tx = _tx_df(spark, bask, dup=True)
     want = _brute(bask, 0.2)
     monkeypatch.setattr(mod, "TIDS_PER_BUCKET", tids_per_bucket)
-    assert _collect(frequent_itemsets(tx, 0.2)) == want
+    assert _collect(frequent_itemsets(tx, 0.2, method="bitmap")) == want
     monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
-    assert _collect(frequent_itemsets(tx, 0.2)) == want
-    assert _collect(frequent_itemsets(tx, 0.2, broadcast_rows=0)) == want
-    assert _collect(frequent_itemsets(tx, 0.2, count_mode="reference")) == _brute(bask, 0.2, mode="reference")
+    assert _collect(frequent_itemsets(tx, 0.2, method="bitmap")) == want
+    assert _collect(frequent_itemsets(tx, 0.2, broadcast_bytes=0, method="bitmap")) == want
+    monkeypatch.setattr(mod, "GROUPS_PER_SALT", 2)
+    once = _tx_df(spark, bask)  # reference mode counts repeated rows of single items again
+    assert _collect(frequent_itemsets(once, 0.2, count_mode="reference", method="bitmap", broadcast_bytes=0)) \
+        == _brute(bask, 0.2, mode="reference")
 
 
 def test_method_names(spark):
@@ -234,7 +237,7 @@ def test_intermediate_checkpoints_are_removed(spark):
     root = spark.sparkContext.getCheckpointDir().replace("file:", "")
     before = set(os.listdir(root))
     bask = _baskets(4, n_tx=40, n_items=7, p=0.6)
-    its, _ = mine_itemsets(_tx_df(spark, bask), 0.2)
+    its, _ = mine_itemsets(_tx_df(spark, bask), 0.2, method="bitmap")
     got = _collect(its)
     assert got == _brute(bask, 0.2)
     added = set(os.listdir(root)) - before
@@ -249,15 +252,98 @@ def test_non_integer_items_rejected(spark):
         frequent_itemsets(tx, 0.3)
 
 
-@pytest.mark.parametrize("min_heap", [0, 1 << 62])
-def test_bitmap_cache_and_stream_paths(spark, monkeypatch, min_heap):
-    """AND results cached (large heaps) or streamed to a checkpoint (small heaps)."""
+@pytest.mark.parametrize("cache_levels", [False, True])
+def test_bitmap_cache_and_stream_paths(spark, monkeypatch, cache_levels):
+    """AND results cached or streamed to a checkpoint."""
     from cohortmine.operators import itemsets as mod
 
-    monkeypatch.setattr(mod, "CACHE_MIN_HEAP_PER_TASK", min_heap)
     bask = _baskets(17, n_tx=45, n_items=8, p=0.55)
     tx = _tx_df(spark, bask)
-    assert _collect(frequent_itemsets(tx, 0.15)) == _brute(bask, 0.15)
+
+    def mined(**kw):
+        return _collect(mod.mine_itemsets(tx, 0.15, method="bitmap", cache_levels=cache_levels, **kw)[0])
+
+    assert mined() == _brute(bask, 0.15)
     monkeypatch.setattr(mod, "TIDS_PER_BUCKET", 5)
     monkeypatch.setattr(mod, "BITMAP_BROADCAST_BYTES", 0)
-    assert _collect(frequent_itemsets(tx, 0.15, count_mode="reference")) == _brute(bask, 0.15, mode="reference")
+    assert mined(count_mode="reference") == _brute(bask, 0.15, mode="reference")
+
+
+def test_methods_agree_where_the_share_is_not_a_float(spark):
+    # ceil(0.07 * 100) is 8 in doubles, yet 7/100 passes in 32-bit comparison.
+    rows = [(t, 0) for t in range(100)] + [(t, 1) for t in range(7)]
+    tx = spark.createDataFrame(rows, "tid long, item int")
+    want = {(0,): 100, (1,): 7, (0, 1): 7}
+    for method in ("bitmap", "tidjoin", "fpgrowth"):
+        assert _collect(frequent_itemsets(tx, 0.07, count_mode="reference", method=method)) == want, method
+
+
+@pytest.mark.parametrize("n, c", [(30, 9), (49, 7), (100, 29), (1000, 70), (77, 11)])
+def test_least_count_at_equality(n, c):
+    import struct
+
+    from cohortmine.operators.itemsets import least_count
+
+    f32 = lambda x: struct.unpack("f", struct.pack("f", x))[0]
+    for s in (c / n, f32(c / n)):
+        assert least_count(n, s) == min([k for k in range(n + 1) if k / n > s], default=n + 1)
+        assert least_count(n, s, "reference") == min([k for k in range(n + 1) if f32(k / n) > s], default=n + 1)
+
+
+@pytest.mark.parametrize("method", ["bitmap", "tidjoin", "fpgrowth"])
+def test_reference_mode_counts_rows_of_single_items(spark, method):
+    # item 2 is in 2 of 4 transactions but in 4 rows; pairs count transactions.
+    rows = [(1, 1), (2, 1), (3, 1), (4, 1), (1, 2), (1, 2), (2, 2), (2, 2)]
+    tx = spark.createDataFrame(rows, "tid long, item int")
+    got = _collect(frequent_itemsets(tx, 0.6, count_mode="reference", method=method))
+    assert got == {(1,): 4, (2,): 4}
+    got = _collect(frequent_itemsets(tx, 0.4, count_mode="reference", method=method))
+    assert got == {(1,): 4, (2,): 4, (1, 2): 2}
+    assert _collect(frequent_itemsets(tx, 0.4, method=method)) == {(1,): 4, (2,): 2, (1, 2): 2}
+
+
+def test_ids_outside_int_fail_whatever_the_mode(spark):
+    tx = spark.createDataFrame([(1, 1), (1, 4294967297)], "tid long, item long")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="out of range"):
+                frequent_itemsets(tx, 0.3)
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_callers_cache_is_left_alone(spark):
+    from cohortmine import fp_rules
+
+    df = spark.createDataFrame([([1, 2],), ([1],)], "items array<int>").cache()
+    df.count()
+    fp_itemsets(df, 0.3)
+    fp_rules(df, 0.3, 0.5)
+    assert df.storageLevel.useMemory
+    df.unpersist()
+    tx = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "tid long, item int").cache()
+    tx.count()
+    frequent_itemsets(tx, 0.3)
+    assert tx.storageLevel.useMemory
+    tx.unpersist()
+
+
+def test_cooccurring_pairs_lists_only_what_occurs(spark):
+    from cohortmine import cooccurring_pairs
+
+    tx = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (2, 3), (3, 2), (3, 3), (4, 4)], "tid long, item int")
+    assert {tuple(r["items"]): r["cnt"] for r in cooccurring_pairs(tx).collect()} == {(1, 2): 1, (2, 3): 2}
+
+
+def test_bitmap_plan_lists_no_pair_that_never_occurs(spark):
+    # 60 items, each alone in its transaction: no pair exists and none is made.
+    tx = spark.createDataFrame([(t, t) for t in range(60)], "tid long, item int")
+    assert len(_collect(frequent_itemsets(tx, 0.001, method="bitmap"))) == 60
+
+
+def test_ordered_output(spark):
+    bask = _baskets(9)
+    rows = [(r["k"], -r["cnt"], tuple(r["items"])) for r in
+            frequent_itemsets(_tx_df(spark, bask), 0.2, ordered=True).collect()]
+    assert rows == sorted(rows)

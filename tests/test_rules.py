@@ -133,3 +133,45 @@ def test_expand_subsets_counts_and_partition(spark):
         assert a and c and sorted(a + c) == items
         seen.add((tuple(items), tuple(a)))
     assert len(seen) == len(out)  # every proper subset exactly once
+
+
+@pytest.mark.parametrize("size", [2, 15, 16, 17, 20])
+def test_subset_rows_of_larger_sets(spark, size):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(list(range(size)), 1)], "items array<int>, cnt long")
+    rows = expand_subsets(df).select((F.size("antecedent") * 100 + F.size("consequent")).alias("s"))
+    got = rows.agg(F.count("*"), F.min("s"), F.max("s")).first()
+    assert tuple(got) == (2**size - 2, 100 + size - 1, 100 * (size - 1) + 1)
+
+
+def test_no_row_holds_all_masks(spark):
+    df = spark.createDataFrame([(list(range(30)), 1)], "items array<int>, cnt long")
+    plan = expand_subsets(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 4  # four parts of at most 16 bits
+
+
+@pytest.mark.parametrize("size", [63, 64, 65])
+def test_sets_too_large_to_enumerate_fail(spark, size):
+    df = spark.createDataFrame([(list(range(size)), 1)], "items array<int>, cnt long")
+    with pytest.raises(Exception, match="too large"):
+        expand_subsets(df).limit(1).collect()
+
+
+def test_half_up_is_exact_beyond_doubles(spark):
+    from pyspark.sql import functions as F
+
+    from cohortmine.functions import reference_count
+
+    num, den = 5758057497609, 15093204449827
+    big = 9 * 10**17
+    df = spark.createDataFrame([(num, den), (big, 2 * big)], "n long, d long")
+    got = [r[0] for r in df.select(half_up_milli("n", "d")).collect()]
+    assert got == [(2000 * num + den) // (2 * den), 500]
+    assert df.select(reference_count(F.lit(9007199254740993), 3)).first()[0] == 9007199254740993 // 2
+
+
+def test_ordered_rules(spark):
+    df = spark.createDataFrame([([1], 10), ([2], 4), ([1, 2], 4)], "items array<int>, cnt long")
+    rows = association_rules(df, min_confidence=0.1, ordered=True).collect()
+    assert [r["confidence"] for r in rows] == [1.0, 0.4]
