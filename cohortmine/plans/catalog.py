@@ -27,7 +27,7 @@ from cohortmine.operators.cohort import (
     subject_labels,
 )
 from cohortmine.operators.fpgrowth import fp_itemsets, fp_rules
-from cohortmine.operators.itemsets import candidates, item_counts, mine_itemsets
+from cohortmine.operators.itemsets import cooccurring_pairs, item_counts, mine_itemsets
 from cohortmine.operators.rules import (
     association_rules,
     expand_subsets,
@@ -42,6 +42,16 @@ from cohortmine.sources.tables import (
     m2_subjects,
     read_table,
 )
+from cohortmine.sources.text_io import (
+    itemset_lines,
+    label_count_lines,
+    parse_basket_lines,
+    parse_itemset_lines,
+    parse_measurement_lines,
+    parse_subject_lines,
+    report_lines,
+    rule_lines,
+)
 
 # Fixed parameters of the two mappings.
 M1_LABELS = ("BUILDING", "MACHINERY", "HOUSEHOLD")
@@ -53,6 +63,11 @@ M2_MIN_VALUE = 40000.0
 MIN_SUPPORT = 0.3
 REFERENCE_MIN_SUPPORT = 0.1
 MIN_CONFIDENCE = 0.6
+# The dense setting: size 3 and beyond hold rows at every scale factor.
+DENSE_MIN_VALUE = 20000.0
+DENSE_MIN_SUPPORT = 0.2
+DENSE_MAX_SIZE = 3
+ROWS_MIN_SUPPORT = 0.35
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,8 +149,10 @@ def q_item_row_counts(spark, sf):
 
 
 def q_candidate_pairs(spark, sf):
+    """The candidates of size 2 that occur at all: pairs of frequent items in one transaction."""
     its, _ = m1_itemsets(spark, sf, max_size=1)
-    return _strings(candidates(its, 2), "items")
+    frequent = its.select(F.element_at("items", 1).alias("item"))
+    return _strings(cooccurring_pairs(m1_transactions(spark, sf).join(frequent, "item", "left_semi")), "items")
 
 
 def q_itemsets_pairs(spark, sf):
@@ -164,6 +181,43 @@ def q_itemsets_reference_counts(spark, sf):
     return _strings(its, "items")
 
 
+def q_itemsets_fpgrowth(spark, sf):
+    its, _ = m1_itemsets(spark, sf, max_size=3, method="fpgrowth")
+    return _strings(its, "items")
+
+
+def q_itemsets_reference_rows(spark, sf):
+    """Reference counting from undeduplicated rows: single items count rows (D3)."""
+    rows = cohort_measurements(m1_measurements(spark, sf), m1_cohort(spark, sf), DENSE_MIN_VALUE)
+    its, _ = mine_itemsets(rows, ROWS_MIN_SUPPORT, max_size=2, count_mode="reference",
+                           tid="subject_id", item="feature_id")
+    return _strings(its, "items")
+
+
+def _dense(spark, sf, method="bitmap"):
+    return m1_itemsets(spark, sf, max_size=DENSE_MAX_SIZE, min_support=DENSE_MIN_SUPPORT,
+                       min_value=DENSE_MIN_VALUE, method=method)
+
+
+def q_itemsets_dense(spark, sf):
+    return _strings(_dense(spark, sf)[0], "items")
+
+
+def q_itemsets_dense_fpgrowth(spark, sf):
+    return _strings(_dense(spark, sf, "fpgrowth")[0], "items")
+
+
+def q_report_dense(spark, sf):
+    its, n = _dense(spark, sf)
+    return _strings(support_report(its, n, k=3), "items")
+
+
+def q_rules_dense(spark, sf):
+    its, _ = _dense(spark, sf)
+    return _strings(association_rules(its, min_confidence=MIN_CONFIDENCE, k=3, ordered=True),
+                    "antecedent", "consequent")
+
+
 def q_support_report(spark, sf):
     its, n = m1_itemsets(spark, sf, max_size=3)
     return _strings(support_report(its, n, k=3), "items")
@@ -200,8 +254,58 @@ def q_fp_itemsets(spark, sf):
 
 def q_fp_rules(spark, sf):
     rules = fp_rules(m1_baskets(spark, sf), MIN_SUPPORT, MIN_CONFIDENCE)
-    return _strings(rules.select("antecedent", "consequent", "confidence"),
-                    "antecedent", "consequent")
+    return _strings(rules, "antecedent", "consequent")
+
+
+# ---- text formats: lines built from table columns, parsed or written by the library -----
+
+def q_measurement_lines_parsed(spark, sf):
+    """S1 + P2: lineitem rows as measurement lines, with the header among them."""
+    m = m2_measurements(spark, sf)
+    lines = m.select(F.concat_ws(",", F.col("subject_id").cast("string"), F.col("feature_id").cast("string"),
+                                 F.col("value").cast("string")).alias("value"))
+    header = m.limit(1).select(F.lit("patientid,geneid,expression_value").alias("value"))
+    return parse_measurement_lines(header.unionByName(lines))
+
+
+def q_subject_lines_parsed(spark, sf):
+    """S2 + P2: customers as ragged subject lines (every third has one field more)."""
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    key = F.col("c_custkey").cast("string")
+    lines = c.select(F.concat_ws(",", key, F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")),
+                                 F.col("c_mktsegment"), key).alias("value"))
+    header = c.limit(1).select(F.lit("id,labels,last").alias("value"))
+    return parse_subject_lines(header.unionByName(lines))
+
+
+def q_label_count_lines(spark, sf):
+    return label_count_lines(q_label_counts(spark, sf))
+
+
+def q_itemset_lines(spark, sf):
+    return itemset_lines(_dense(spark, sf)[0])
+
+
+def q_itemset_lines_parsed(spark, sf):
+    """S3 + P4: the lines of K2/K3 read back; a second comma field is not read."""
+    lines = itemset_lines(_dense(spark, sf)[0]).select(F.concat("value", F.lit(" ,9;")).alias("value"))
+    return _strings(parse_itemset_lines(lines), "items")
+
+
+def q_report_lines(spark, sf):
+    its, n = _dense(spark, sf)
+    return report_lines(support_report(its, n, k=3))
+
+
+def q_rule_lines(spark, sf):
+    its, _ = _dense(spark, sf)
+    return rule_lines(association_rules(its, min_confidence=MIN_CONFIDENCE, k=3))
+
+
+def q_basket_lines_parsed(spark, sf):
+    """Part names as basket lines of words."""
+    lines = read_table(spark, sf, "part").select(F.col("p_name").alias("value"))
+    return parse_basket_lines(lines).select(F.concat_ws(" ", F.array_sort("items")).alias("items"))
 
 
 def q_total_text_length(spark, sf):
@@ -227,12 +331,26 @@ QUERIES: dict[str, Query] = {
     "itemsets_all": q_itemsets_all,
     "itemsets_tidjoin": q_itemsets_tidjoin,
     "itemsets_reference_counts": q_itemsets_reference_counts,
+    "itemsets_fpgrowth": q_itemsets_fpgrowth,
+    "itemsets_reference_rows": q_itemsets_reference_rows,
+    "itemsets_dense": q_itemsets_dense,
+    "itemsets_dense_fpgrowth": q_itemsets_dense_fpgrowth,
+    "report_dense": q_report_dense,
+    "rules_dense": q_rules_dense,
     "support_report": q_support_report,
     "itemset_subsets": q_itemset_subsets,
     "rule_complement": q_rule_complement,
     "association_rules": q_association_rules,
     "fp_itemsets": q_fp_itemsets,
     "fp_rules": q_fp_rules,
+    "measurement_lines_parsed": q_measurement_lines_parsed,
+    "subject_lines_parsed": q_subject_lines_parsed,
+    "label_count_lines": q_label_count_lines,
+    "itemset_lines": q_itemset_lines,
+    "itemset_lines_parsed": q_itemset_lines_parsed,
+    "report_lines": q_report_lines,
+    "rule_lines": q_rule_lines,
+    "basket_lines_parsed": q_basket_lines_parsed,
     "total_text_length": q_total_text_length,
 }
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 import math
 
 from cohortmine.plans.catalog import (
+    DENSE_MAX_SIZE,
+    DENSE_MIN_SUPPORT,
+    DENSE_MIN_VALUE,
     M1_LABELS,
     M1_MIN_VALUE,
     M1_SPARSE_MIN_VALUE,
@@ -20,6 +23,7 @@ from cohortmine.plans.catalog import (
     MIN_CONFIDENCE,
     MIN_SUPPORT,
     REFERENCE_MIN_SUPPORT,
+    ROWS_MIN_SUPPORT,
 )
 
 
@@ -132,8 +136,13 @@ def _subsets_of_triples() -> str:
     return "\nUNION ALL ".join(rows)
 
 
-def _m1_mining(max_k: int, s: float = MIN_SUPPORT, mode: str = "exact") -> str:
-    return _m1_base() + _level_ctes(max_k, s, mode)
+def _m1_mining(max_k: int, s: float = MIN_SUPPORT, mode: str = "exact",
+               min_value: float = M1_MIN_VALUE) -> str:
+    return _m1_base(min_value) + _level_ctes(max_k, s, mode)
+
+
+def _dense() -> str:
+    return _m1_mining(DENSE_MAX_SIZE, DENSE_MIN_SUPPORT, min_value=DENSE_MIN_VALUE)
 
 
 _COUNTED = f"""counted AS (
@@ -177,8 +186,11 @@ P{k} AS (SELECT {sel}, count(*) AS cnt FROM g x1 {joins}
     return (_m1_base() + "".join(ctes) + f""",
 allsets AS ({allsets}),
 cand AS ({chr(10).join(['UNION ALL ' + r if i else r for i, r in enumerate(rules)])})
-SELECT c.antecedent, c.consequent, CAST(c.cnt AS DOUBLE) / CAST(a.cnt AS DOUBLE) AS confidence
-FROM cand c JOIN allsets a ON c.antecedent = a.items
+SELECT c.antecedent, c.consequent, CAST(c.cnt AS DOUBLE) / CAST(a.cnt AS DOUBLE) AS confidence,
+  (CAST(c.cnt AS DOUBLE) / CAST(a.cnt AS DOUBLE))
+    / (CAST(b.cnt AS DOUBLE) / CAST((SELECT n FROM nn) AS DOUBLE)) AS lift,
+  CAST(c.cnt AS DOUBLE) / CAST((SELECT n FROM nn) AS DOUBLE) AS support
+FROM cand c JOIN allsets a ON c.antecedent = a.items JOIN allsets b ON c.consequent = b.items
 WHERE CAST(c.cnt AS DOUBLE) / CAST(a.cnt AS DOUBLE) >= {_dbl(MIN_CONFIDENCE)}""")
 
 
@@ -204,7 +216,8 @@ FROM tx GROUP BY tid""",
     "item_row_counts": _m1_base() + """SELECT feature_id AS item, CAST(count(*) AS BIGINT) AS cnt
 FROM m1_cohort_meas GROUP BY feature_id""",
     "candidate_pairs": _m1_mining(1) + f"""
-SELECT {_itemstr(['a.i1', 'b.i1'])} AS items FROM L1 a JOIN L1 b ON a.i1 < b.i1""",
+SELECT {_itemstr(['a.item', 'b.item'])} AS items, CAST(count(*) AS BIGINT) AS cnt
+FROM f a JOIN f b ON a.tid = b.tid AND a.item < b.item GROUP BY a.item, b.item""",
     "itemsets_pairs": _m1_mining(2) + f"""
 SELECT {_itemstr(['i1', 'i2'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM L2""",
     "itemsets_triples": _m1_mining(3) + f"""
@@ -213,6 +226,25 @@ SELECT {_itemstr(['i1', 'i2', 'i3'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM
     "itemsets_tidjoin": _m1_mining(3) + "\n" + _levels_union(3),
     "itemsets_reference_counts": _m1_mining(3, REFERENCE_MIN_SUPPORT, "reference") + "\n"
     + _levels_union(3),
+    "itemsets_fpgrowth": _m1_mining(3) + "\n" + _levels_union(3),
+    "itemsets_reference_rows": _m1_base(DENSE_MIN_VALUE) + f""",
+L1 AS (
+  SELECT feature_id AS i1, count(*) AS cnt FROM m1_cohort_meas GROUP BY feature_id
+  HAVING {_passes('count(*)', ROWS_MIN_SUPPORT, 'reference')}),
+f AS (SELECT tid, item FROM tx WHERE item IN (SELECT i1 FROM L1)),
+L2 AS (
+  SELECT x1.item AS i1, x2.item AS i2, count(*) AS cnt
+  FROM f x1 JOIN f x2 ON x2.tid = x1.tid AND x2.item > x1.item GROUP BY 1, 2
+  HAVING {_passes('count(*)', ROWS_MIN_SUPPORT, 'reference')})
+{_levels_union(2)}""",
+    "itemsets_dense": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "itemsets_dense_fpgrowth": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "report_dense": _dense() + f"""
+SELECT {_milli('cnt', '(SELECT n FROM nn)')} AS support, {_itemstr(['i1', 'i2', 'i3'])} AS items
+FROM L3""",
+    "rules_dense": _dense() + ",\n" + _RULE_COMPLEMENT + f"""
+SELECT antecedent, consequent, {_milli('cnt', 'ante_cnt')} AS confidence FROM rc
+WHERE {_milli('cnt', 'ante_cnt')} > {_dbl(MIN_CONFIDENCE)}""",
     "support_report": _m1_mining(3) + f"""
 SELECT {_milli('cnt', '(SELECT n FROM nn)')} AS support, {_itemstr(['i1', 'i2', 'i3'])} AS items
 FROM L3""",
@@ -226,6 +258,25 @@ SELECT antecedent, consequent, {_milli('cnt', 'ante_cnt')} AS confidence FROM rc
 WHERE {_milli('cnt', 'ante_cnt')} > {_dbl(MIN_CONFIDENCE)}""",
     "fp_itemsets": _m1_mining(4) + "\n" + _levels_union(4),
     "fp_rules": _fp_rules_sql(),
+    "measurement_lines_parsed": """
+SELECT CAST(l_partkey AS VARCHAR) AS subject_id, CAST(l_linenumber AS INTEGER) AS feature_id,
+  CAST(l_extendedprice AS DOUBLE) AS value FROM lineitem""",
+    "subject_lines_parsed": """SELECT CAST(c_custkey AS VARCHAR) AS subject_id, c_mktsegment AS labels,
+  CAST(c_custkey AS VARCHAR) AS last FROM customer""",
+    "label_count_lines": M2_BASE + """SELECT '(' || label || ',' || cnt || ')' AS value
+FROM (SELECT l.label, count(*) AS cnt FROM m2_labels l JOIN m2_strong m ON l.subject_id = m.subject_id GROUP BY l.label) c""",
+    "itemset_lines": _dense() + f"""
+SELECT '(' || cnt || ',' || items || ')' AS value FROM ({_levels_union(DENSE_MAX_SIZE)}) s""",
+    "itemset_lines_parsed": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "report_lines": _dense() + f"""
+SELECT CAST({_milli('cnt', '(SELECT n FROM nn)')} AS VARCHAR) || chr(9) || i1 || chr(9) || i2 || chr(9) || i3 AS value
+FROM L3""",
+    "rule_lines": _dense() + ",\n" + _RULE_COMPLEMENT + f"""
+SELECT antecedent || chr(9) || consequent || chr(9) || CAST({_milli('cnt', 'ante_cnt')} AS VARCHAR) AS value FROM rc
+WHERE {_milli('cnt', 'ante_cnt')} > {_dbl(MIN_CONFIDENCE)}""",
+    "basket_lines_parsed": """
+SELECT string_agg(w, ' ' ORDER BY w) AS items
+FROM (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) t WHERE w <> '' GROUP BY p_partkey""",
     "total_text_length": """SELECT CAST(sum(length(line)) AS BIGINT) AS total_len,
        CAST(count(*) AS BIGINT) AS n_lines
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL) t""",
