@@ -35,7 +35,7 @@ from cohortmine.llm.common import read
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 11
-SLICE_CHARS = 4_000_000  # characters sampled at a time in a task
+SLICE_CHARS = 500_000  # characters sampled at a time in a task
 _MARK = "▁"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -132,21 +132,21 @@ class _Lattice:
     cumulative probabilities (deterministic whatever else is in the batch)."""
 
     def __init__(self, vocab: Vocabulary, segments: list[str]):
-        lens = np.array([len(s) for s in segments], np.int64)
-        chars = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        lens = np.array([len(s) for s in segments], np.int32)
+        chars = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
         n = len(chars)
-        seg = np.repeat(np.arange(len(segments)), lens)
-        first = np.cumsum(lens) - lens
-        local = np.arange(n) - first[seg]
+        seg = np.repeat(np.arange(len(segments), dtype=np.int32), lens)
+        first = (np.cumsum(lens) - lens).astype(np.int32)
+        local = np.arange(n, dtype=np.int32) - first[seg]
         left = lens[seg] - local  # characters from here to the segment's end
-        self.first_node = first + np.arange(len(segments))  # len + 1 nodes a segment
+        self.first_node = first + np.arange(len(segments), dtype=np.int32)  # len + 1 nodes a segment
         self.lens = lens
         starts, ends, ids = [], [], []
-        at, h = np.arange(n), np.zeros(n, np.uint64)
+        at, h = np.arange(n, dtype=np.int32), np.zeros(n, np.uint64)
         single = np.zeros(n, bool)
         with np.errstate(over="ignore"):
             for k in range(vocab.longest):
-                h = (h ^ (chars[at + k] + np.uint64(1))) * _MUL
+                h = (h ^ (chars[at + k].astype(np.uint64) + np.uint64(1))) * _MUL
                 h ^= h >> np.uint64(29)
                 piece = vocab.lookup(h)
                 hit = piece > -2
@@ -161,23 +161,25 @@ class _Lattice:
                 at, h = at[more], h[more]
                 if not len(at):
                     break
-        bare = np.flatnonzero(~single)  # no piece of its own: UTF-8 bytes
-        size = 1 + (chars[bare] > 0x7F).astype(np.int64) + (chars[bare] > 0x7FF) + (chars[bare] > 0xFFFF)
+        bare = np.flatnonzero(~single).astype(np.int32)  # no piece of its own: UTF-8 bytes
+        size = 1 + (chars[bare] > 0x7F).astype(np.int32) + (chars[bare] > 0x7FF) + (chars[bare] > 0xFFFF)
         start = np.concatenate([*starts, bare])
         end_local = local[start] + np.concatenate([*ends, bare + 1]) - start
         piece = np.concatenate([*ids, np.full(len(bare), -1, np.int32)])
         weight = np.concatenate([vocab.weight[np.concatenate(ids)], vocab.byte_weight * size])
         node0 = start + seg[start]
         node1 = self.first_node[seg[start]] + end_local
-        order = np.argsort(node1 * 64 + np.minimum(node1 - node0, 63))
+        del starts, ends, ids, at, h, single, left
+        order = np.argsort(node1.astype(np.int64) * 64 + np.minimum(node1 - node0, 63)).astype(np.int32)
         self.node0, node1, self.piece = node0[order], node1[order], piece[order]
         weight, step, self.char = weight[order], end_local[order], chars[start[order]]
         nodes, edges = n + len(segments), len(order)
-        self.first_edge = np.searchsorted(node1, np.arange(nodes))
+        del order, start, end_local, piece, seg, local
+        self.first_edge = np.searchsorted(node1, np.arange(nodes, dtype=np.int32)).astype(np.int32)
         alpha = np.zeros(nodes)
         prob = np.empty(edges)
         # Forward filtering, by distance from the segment's start; edges stay in node order.
-        by_step = np.argsort(step.astype(np.uint16), kind="stable") if lens.max() < 1 << 16 else np.argsort(step, kind="stable")
+        by_step = np.argsort(step.astype(np.uint16) if lens.max() < 1 << 16 else step, kind="stable").astype(np.int32)
         for lo, hi in _runs(step[by_step]):
             e = by_step[lo:hi]
             v = alpha[self.node0[e]] + weight[e]
@@ -235,8 +237,9 @@ def encode_rows(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> tuple[
     if not words:
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     lat = _Lattice(vocab, list(table))
-    word = np.array(words, np.int64)
-    row = np.repeat(np.arange(len(texts)), rows)
+    word = np.array(words, np.int32)
+    del words, table
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), rows)
     upto = np.cumsum(lat.lens[word]) - lat.lens[word]
     row_first = np.cumsum(np.r_[0, rows])[:-1]
     base = np.r_[upto, 0][np.minimum(row_first, len(upto) - 1)]
