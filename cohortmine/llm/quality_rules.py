@@ -56,15 +56,18 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
             lambda i: F.xxhash64(F.get("__w", i), F.get("__w", i + 1), F.get("__w", i + 2))))
         .otherwise(F.array().cast("array<bigint>")).alias("__h"))
+    # The row number keeps the optimizer from moving a later filter below the projections made
+    # so far, where it would evaluate the words anew for every use of them.
     three = two.withColumn(
         "__s", F.when(F.size(F.array_distinct("__h")) < F.size("__h"),
                       F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
+    three = three.withColumn("__row", F.monotonically_increasing_id())
     s = F.col("__s")
     where = F.filter(F.transform(s, lambda e, i: F.when(
         F.coalesce(F.get(s, i - 1)["h"] == e["h"], F.lit(False))
         | F.coalesce(F.get(s, i + 1)["h"] == e["h"], F.lit(False)), e["p"])), lambda p: p.isNotNull())
     covered = F.array_distinct(F.flatten(F.transform(where, lambda p: F.array(p, p + 1, p + 2))))
-    four = three.withColumn("n_repeat_words", F.when(s.isNull(), F.lit(0)).otherwise(
+    four = three.withColumn("n_repeat_words", F.when(s.isNull() | (F.col("__row") < 0), F.lit(0)).otherwise(
         F.size(covered)).cast("long"))
     return four.select(
         *own, *COUNTS,
@@ -131,10 +134,7 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", doc_id:
               **limits) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were."""
     gone = depleted(docs, text, host, doc_id, **limits)
-    # The row number keeps the optimizer from moving the filter below the projections of the
-    # counts, where it would evaluate the words anew for every use of them.
-    counted = text_counts(docs, text).withColumn("__row", F.monotonically_increasing_id())
-    marked = counted.filter(~F.col("base_failed") & (F.col("__row") >= 0)).withColumn(
+    marked = text_counts(docs, text).filter(~F.col("base_failed")).withColumn(
         "__t", F.xxhash64(text_or_empty(text)))
     marked = marked.withColumn("__host", F.col(host)).withColumn("__id", F.col(doc_id))
     return semi_or_anti(marked, gone, ["__host", "__id", "__t"], "left_anti").select(*docs.columns)
