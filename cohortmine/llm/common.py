@@ -57,6 +57,15 @@ def semi_or_anti(df: DataFrame, keys: DataFrame, on: list[str], how: str,
     return df.join(side, cond, how)
 
 
+def discard(table: DataFrame | None) -> None:
+    """Empty a table made by :func:`written` that nothing reads any more."""
+    if table is None:
+        return
+    folder = table.inputFiles()[0].rsplit("/", 1)[0] if table.inputFiles() else ""
+    if "/table-" in folder:
+        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut lineage with a compressed table in the session's shared checkpoint folder."""
     spark = df.sparkSession
