@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from cohortmine.llm.common import read, text_or_empty, written
 FOLDS, HELD_OUT = 7, 2
 GT_MAX = 5
 LARGE_DISCOUNT = 0.01
-BATCH_TOKENS = 2_500_000     # tokens of a batch whose pairs are grouped together in a task
+BATCH_TOKENS = 150_000       # tokens of a batch whose pairs are grouped together in a task
 PIECE = 1 << 20              # bytes of a text split at a time
 PART_CHARS = 16_000_000      # characters of text whose pairs one part holds, about
 BROADCAST_WORDS = 12_000_000
@@ -93,7 +94,7 @@ class _Batch:
 
     def number(self, words: list[bytes]) -> np.ndarray:
         get = self.table.setdefault
-        return np.array([get(w, len(self.table) + 2) for w in words], np.int64)
+        return np.array([get(w, len(self.table) + 2) for w in words], np.int32)
 
     def add(self, prev: np.ndarray, cur: np.ndarray, key: int, train: bool) -> None:
         self.prev.append(prev)
@@ -107,7 +108,19 @@ class _Batch:
         return np.concatenate(([START, END], np.fromiter(map(_hash, self.table), np.uint64, len(self.table))))
 
 
-def _batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[_Batch]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """Columns of a few rows at a time: texts become Python strings piecemeal."""
+    for b in batches:
+        for lo in range(0, b.num_rows, 200):
+            yield b.slice(lo, 200).to_pydict()
+
+
+def _arrow(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+    for f in frames:
+        yield pa.RecordBatch.from_pandas(f, preserve_index=False)
+
+
+def _batches(frames: Iterator[dict[str, list]], size: int) -> Iterator[_Batch]:
     """Batches of about ``size`` tokens from rows (key, train, text); long texts span several."""
     b = _Batch()
     for f in frames:
@@ -117,19 +130,19 @@ def _batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[_Batch]:
                 if not words:
                     continue
                 cur = b.number(words)
-                first = b.number([last]) if last is not None else np.zeros(1, np.int64)
+                first = b.number([last]) if last is not None else np.zeros(1, np.int32)
                 b.add(np.concatenate((first, cur[:-1])), cur, key, train)
                 last = words[-1]
                 if b.n >= size:
                     yield b
                     b = _Batch()
-            first = b.number([last]) if last is not None else np.zeros(1, np.int64)
-            b.add(first, np.ones(1, np.int64), key, train)
+            first = b.number([last]) if last is not None else np.zeros(1, np.int32)
+            b.add(first, np.ones(1, np.int32), key, train)
     if b.n:
         yield b
 
 
-def _count_words(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+def _count_words(frames: Iterator[dict[str, list]], size: int) -> Iterator[pd.DataFrame]:
     for b in _batches(frames, size):
         cur, size_ = np.concatenate(b.cur), np.array(b.size)
         keep = np.repeat(np.array(b.train), size_)
@@ -139,17 +152,37 @@ def _count_words(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataF
         yield pd.DataFrame({"h": h[at].view(np.int64), "c": c[at].astype(np.int64)})
 
 
-def _deal(frames: Iterator[pd.DataFrame], size: int, parts: int, hot: np.ndarray) -> Iterator[pd.DataFrame]:
+def _named(h: np.ndarray, table) -> np.ndarray:
+    """Words by their place in the broadcast table, where there is one: ``len`` for unknown words,
+    ``len + 1`` for the start; else by hash."""
+    if table is None:
+        return h
+    known = table[0]
+    at = np.searchsorted(known, h)
+    found = known[np.minimum(at, len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+    return np.where(h == START, len(known) + 1, np.where(found, at, len(known))).astype(np.uint64)
+
+
+def _deal(frames: Iterator[dict[str, list]], size: int, parts: int, hot: np.ndarray, table) -> Iterator[pd.DataFrame]:
     """One row a batch and part: the pairs that belong there, with counts and documents."""
+    hot = np.sort(_named(hot, table))
     for b in _batches(frames, size):
-        h = b.hashes()
-        pair = np.concatenate(b.prev) * len(h) + np.concatenate(b.cur)
-        doc = np.repeat(np.arange(len(b.size)), b.size)
+        h = _named(b.hashes(), table)
+        if table is not None:  # unknown words are one word
+            h, local = np.unique(h, return_inverse=True)
+            pair = local[np.concatenate(b.prev)] * len(h) + local[np.concatenate(b.cur)]
+        else:
+            pair = np.concatenate(b.prev).astype(np.int64) * len(h) + np.concatenate(b.cur)
+        doc = np.repeat(np.arange(len(b.size), dtype=np.int32), b.size)
+        b.prev.clear()
+        b.cur.clear()
+        b.table.clear()
         order = np.argsort(pair, kind="stable")  # within a pair by document
         pair, doc = pair[order], doc[order]
+        del order
         new_pair = np.r_[True, pair[1:] != pair[:-1]]
         post = np.flatnonzero(new_pair | np.r_[True, doc[1:] != doc[:-1]])
-        mult = np.diff(np.r_[post, len(pair)])
+        mult = np.diff(np.r_[post, len(pair)]).astype(np.int32)
         first = np.flatnonzero(new_pair[post])  # postings where a pair starts
         pair, doc = pair[post][first], doc[post]
         n_post = np.diff(np.r_[first, len(doc)])
@@ -171,15 +204,15 @@ def _deal(frames: Iterator[pd.DataFrame], size: int, parts: int, hot: np.ndarray
             p0, p1 = new_first[lo], new_first[hi - 1] + n_post[hi - 1]
             docs, local = np.unique(doc[p0:p1], return_inverse=True)
             heads = np.flatnonzero(np.r_[True, h1[lo + 1:hi] != h1[lo:hi - 1]])
-            blob = pickle.dumps([h1[lo:hi][heads], _small(np.diff(np.r_[heads, hi - lo])), h2[lo:hi],
+            blob = pickle.dumps([_small(h1[lo:hi][heads]), _small(np.diff(np.r_[heads, hi - lo])), _small(h2[lo:hi]),
                                  _small(n_train[lo:hi]), _small(n_post[lo:hi]), _small(local),
                                  _small(mult[p0:p1]), keys[docs]], protocol=5)
             rows.append((int(part[lo]), blob))
-        yield pd.DataFrame(rows, columns=["part", "blob"])
+        yield pd.DataFrame(rows, columns=["part", "blob"]).astype({"part": np.int32})
 
 
 _RESULT = ("tag int, key long, ctx long, a1 long, a2 long, a3 long, a4 long, a5 long, n long, "
-           "s0 double, s1 double, s2 double, s3 double")
+           "s0 double, s1 double")
 
 
 def _frame(tag: int, **columns) -> pd.DataFrame:
@@ -191,90 +224,106 @@ def _frame(tag: int, **columns) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def _score_part(blobs: list[bytes], hot: np.ndarray, hot_c: np.ndarray, unigram) -> Iterator[pd.DataFrame]:
+def _score_part(blobs: list[bytes], hot: np.ndarray, hot_c: np.ndarray, table) -> Iterator[pd.DataFrame]:
     """All pairs of one part -> document sums (tag 0), context sums (1), unseen pairs (2 or 4) and,
     without the unigram table, seen pairs (3)."""
     got = [pickle.loads(x) for x in blobs]
+    blobs.clear()
     h1 = np.concatenate([np.repeat(g[0], g[1]) for g in got])
-    h2, n_train = np.concatenate([g[2] for g in got]), np.concatenate([g[3].astype(np.int64) for g in got])
-    n_post = np.concatenate([g[4].astype(np.int64) for g in got])
-    base = np.cumsum([0] + [len(g[7]) for g in got[:-1]])
-    local = np.concatenate([g[5].astype(np.int64) + o for g, o in zip(got, base, strict=True)])
-    mult = np.concatenate([g[6].astype(np.int64) for g in got])
-    keys, slot = np.unique(np.concatenate([g[7] for g in got]), return_inverse=True)
-    doc = slot[local]
-    del got, local
-    order = np.lexsort((h2, h1))
-    s1, s2 = h1[order], h2[order]
-    new1 = np.r_[True, s1[1:] != s1[:-1]]
-    new = new1 | np.r_[True, s2[1:] != s2[:-1]]
-    start = np.flatnonzero(new)
-    r = np.add.reduceat(n_train[order], start)          # count of each distinct pair
-    u1, u2 = s1[start], s2[start]
-    ctx_start = np.flatnonzero(new1[start])
-    ctx_of = np.cumsum(new1[start]) - 1
+    h2 = np.concatenate([g[2] for g in got])
+    if table is not None:  # places in the table: both fit one number
+        code = (h1.astype(np.uint64) << np.uint64(32)) | h2
+        del h1, h2
+        order = np.argsort(code, kind="stable").astype(np.int32)
+        code = code[order]
+        new = np.r_[True, code[1:] != code[:-1]]
+        start = np.flatnonzero(new)
+        u1, u2 = code[start] >> np.uint64(32), code[start] & np.uint64(0xFFFFFFFF)
+        del code
+    else:
+        order = np.lexsort((h2, h1)).astype(np.int32)
+        h1, h2 = h1[order].astype(np.uint64), h2[order].astype(np.uint64)
+        new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+        start = np.flatnonzero(new)
+        u1, u2 = h1[start], h2[start]
+        del h1, h2
+    n_train = np.concatenate([g[3] for g in got])[order]
+    r = np.add.reduceat(n_train, start, dtype=np.int64)  # count of each distinct pair
+    pair_of = np.empty(len(order), np.int32)
+    pair_of[order] = np.cumsum(new, dtype=np.int32) - 1
+    del n_train, order, new, start
+    new1 = np.r_[True, u1[1:] != u1[:-1]]
+    ctx_start = np.flatnonzero(new1)
+    ctx_of = np.cumsum(new1, dtype=np.int32) - 1
     c = np.add.reduceat(r, ctx_start)                    # count of each context, if all is here
     names = u1[ctx_start]
+    del new1, ctx_start
+    if table is not None:
+        del u1
     if len(hot):
         at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
         c = np.where(hot[at] == names, hot_c[at], c)
-    pair_of = np.empty(len(order), np.int64)
-    pair_of[order] = np.cumsum(new) - 1
-    p = np.repeat(pair_of, n_post)                       # the pair of each posting
-    rp, cp = r[p], c[ctx_of[p]]
-    n = len(keys)
-
-    def by_doc(values: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        return np.bincount(doc[mask], weights=values[mask], minlength=n)
-
-    everything = np.ones(len(p), bool)
-    word = u1[p] != START
-    log_c = np.log10(np.maximum(c, 1))[ctx_of[p]] * mult
-    sums = {f"a{k}": by_doc(mult, rp == k) for k in range(1, GT_MAX + 1)}
-    sums["s0"] = by_doc(mult * np.log10(np.maximum(rp - LARGE_DISCOUNT, 0.5)), rp > GT_MAX)
-    sums["s1"] = by_doc(log_c, rp > 0)
-    sums["s2"] = by_doc(mult * np.log10(cp + 1), word)
-    sums["n"], sums["ctx"] = by_doc(mult, everything), by_doc(mult, word & (cp > 0))
-    seen = r > 0
+    begin = START if table is None else np.uint64(len(table[0]) + 1)
+    word = (names != begin)[ctx_of]
+    seen, known = r > 0, (c > 0)[ctx_of]
     context = {f"a{k}": np.bincount(ctx_of[r == k], minlength=len(names)) for k in range(1, GT_MAX + 1)}
     context["n"] = np.bincount(ctx_of[r > GT_MAX], minlength=len(names))
     context["s1"] = np.bincount(ctx_of[r == GT_MAX + 1], minlength=len(names))
     context["ctx"] = c
-    open_ = rp == 0
-    if unigram is not None:
-        hashes, chance, unknown = unigram
-        at = np.minimum(np.searchsorted(hashes, u2), max(len(hashes) - 1, 0))
-        p1 = np.where(hashes[at] == u2, chance[at], unknown) if len(hashes) else np.full(len(u2), unknown)
+    # What one occurrence of each pair adds to its document, as far as it is known here.
+    gain = np.where(r > GT_MAX, np.log10(np.maximum(r - LARGE_DISCOUNT, 0.5)), 0.0)
+    gain -= np.where(seen, np.log10(np.maximum(c, 1))[ctx_of], 0.0)
+    if table is not None:
+        p1 = table[1][u2.astype(np.int32)]
         context["s0"] = np.bincount(ctx_of[seen], weights=p1[seen], minlength=len(names))
-        lp = np.log10(p1)[p] * mult
-        sums["s3"] = by_doc(lp, open_ & (cp == 0))
-        q = np.flatnonzero(open_ & (cp > 0))
-        pairs, inverse = np.unique(doc[q] * len(names) + ctx_of[p[q]], return_inverse=True)
-        yield _frame(2, key=keys[pairs // len(names)], ctx=names[pairs % len(names)].view(np.int64),
-                     s0=np.bincount(inverse, weights=lp[q], minlength=len(pairs)),
-                     n=np.bincount(inverse, weights=mult[q], minlength=len(pairs)))
-    else:
+        lp = np.log10(p1)
+        gain = np.where(seen | known, gain, lp)
+        del p1
+    plain = np.where(word, np.log10(c + 1.0)[ctx_of], 0.0)
+    at = 0
+    for g in got:  # one batch's documents at a time
+        p = np.repeat(pair_of[at:at + len(g[2])], g[4])
+        at += len(g[2])
+        doc, mult, keys = g[5].astype(np.int64), g[6].astype(np.int64), g[7]
+        n = len(keys)
+        rp = r[p]
+        sums = {f"a{k}": np.bincount(doc[rp == k], weights=mult[rp == k], minlength=n) for k in range(1, GT_MAX + 1)}
+        sums["s0"] = np.bincount(doc, weights=mult * gain[p], minlength=n)
+        sums["s1"] = np.bincount(doc, weights=mult * plain[p], minlength=n)
+        sums["n"] = np.bincount(doc, weights=mult, minlength=n)
+        sums["ctx"] = np.bincount(doc, weights=mult * (word & known)[p], minlength=n)
+        yield _frame(0, key=keys, **sums)
+        if table is not None:
+            q = np.flatnonzero((rp == 0) & known[p])
+            pairs, inverse = np.unique(doc[q] * len(names) + ctx_of[p[q]], return_inverse=True)
+            yield _frame(2, key=keys[pairs // len(names)], ctx=names[pairs % len(names)].view(np.int64),
+                         s0=np.bincount(inverse, weights=lp[p[q]] * mult[q], minlength=len(pairs)),
+                         n=np.bincount(inverse, weights=mult[q], minlength=len(pairs)))
+        else:
+            q = np.flatnonzero(rp == 0)
+            yield _frame(4, key=keys[doc[q]], ctx=u1[p[q]].view(np.int64), a1=u2[p[q]].view(np.int64), n=mult[q])
+    if table is None:
         at = np.flatnonzero(seen)
         yield _frame(3, key=u1[at].view(np.int64), ctx=u2[at].view(np.int64))
-        q = np.flatnonzero(open_)
-        yield _frame(4, key=keys[doc[q]], ctx=u1[p[q]].view(np.int64), a1=u2[p[q]].view(np.int64), n=mult[q])
-    yield _frame(0, key=keys, **sums)
-    known = c > 0
-    yield _frame(1, key=names[known].view(np.int64), **{k: v[known] for k, v in context.items()})
+    at = c > 0
+    yield _frame(1, key=names[at].view(np.int64), **{k: v[at] for k, v in context.items()})
 
 
-def _score(frames: Iterator[pd.DataFrame], hot, hot_c, unigram) -> Iterator[pd.DataFrame]:
+def _score(frames: Iterator[pd.DataFrame], hot: np.ndarray, hot_c: np.ndarray, table) -> Iterator[pd.DataFrame]:
     """Rows (part, blob) in the order of parts -> the results of each part."""
+    hot = _named(hot, table)
+    order = np.argsort(hot)
+    hot, hot_c = hot[order], hot_c[order]
     part, blobs = None, []
     for f in frames:
         for p, blob in zip(f["part"], f["blob"], strict=True):
             if p != part and blobs:
-                yield from _score_part(blobs, hot, hot_c, unigram)
+                yield from _score_part(blobs, hot, hot_c, table)
                 blobs = []
             part = p
             blobs.append(blob)
     if blobs:
-        yield from _score_part(blobs, hot, hot_c, unigram)
+        yield from _score_part(blobs, hot, hot_c, table)
 
 
 def discounts(counts_of_counts: list[int]) -> list[float]:
@@ -295,13 +344,18 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row a document."""
     spark = docs.sparkSession
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    key = F.xxhash64(name, text_or_empty(text))
+    if docs.schema[doc_id].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        ids = docs.agg(F.count("*"), F.count(doc_id), F.count_distinct(doc_id)).first()
+        if ids[0] == ids[1] == ids[2]:  # ids that name their row are shorter than hashes
+            key = F.col(doc_id).cast("long")
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(name, text_or_empty(text)).alias("key"),
+        F.col(doc_id).alias("doc_id"), key.alias("key"),
         (F.crc32(name.cast("binary")) % FOLDS != HELD_OUT).alias("train"), text_or_empty(text).alias("text"))
     tokens = rows.select("key", "train", "text")
 
     # The unigram model.
-    vocab = written(tokens.filter("train").mapInPandas(lambda it: _count_words(it, batch_tokens), "h long, c long")
+    vocab = written(tokens.filter("train").mapInArrow(lambda it: _arrow(_count_words(_rows(it), batch_tokens)), "h long, c long")
                     .groupBy("h").agg(F.sum("c").alias("c")))
     spec = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("N"), F.count("*").alias("V"), *[
         F.count(F.when(F.col("c") == r, 1)).alias(f"n{r}") for r in range(1, GT_MAX + 2)],
@@ -331,12 +385,19 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts
         local = chance.toArrow()
         h = local["h"].to_numpy().view(np.uint64)
         order = np.argsort(h)
-        table = spark.sparkContext.broadcast((h[order], local["p1"].to_numpy()[order], unknown))
+        p1 = np.append(local["p1"].to_numpy()[order], [unknown, unknown])  # unknown words, the start
+        table = spark.sparkContext.broadcast((h[order], p1))
         del local, h
-    dealt = tokens.mapInPandas(lambda it: _deal(it, batch_tokens, parts, hot), "part int, blob binary")
+    dealt = tokens.mapInArrow(
+        lambda it: _arrow(_deal(_rows(it), batch_tokens, parts, hot, table.value if table is not None else None)),
+        "part int, blob binary")
     scored = written(dealt.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(
         lambda it: _score(it, hot, hot_c, table.value if table is not None else None), _RESULT))
 
+    shared = table is not None
+    if shared:  # what follows reads the written results
+        table.destroy()
+
     # Discounts of pairs, then backoff weights of contexts.
     ctx = scored.filter("tag = 1")
     grouped = ctx.groupBy(F.col("key").alias("h")).agg(
@@ -344,7 +405,7 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts
         F.sum("n").alias("large"), F.sum("s0").alias("seen_p1"))
     spectrum = ctx.agg(*[F.sum(f"a{r}") for r in range(1, GT_MAX + 1)], F.sum("s1")).first()
     d2 = discounts([int(x or 0) for x in spectrum])
-    if table is None:
+    if not shared:
         found = scored.filter("tag = 3").select("key", "ctx").join(chance, F.col("ctx") == F.col("h"), "left")
         s = found.groupBy("key").agg(F.sum(F.coalesce("p1", F.lit(unknown))).alias("s"))
         grouped = grouped.join(s, grouped["h"] == s["key"]).withColumn("seen_p1", F.col("s"))
@@ -354,7 +415,7 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts
     weights = grouped.select(F.col("h").alias("w_h"), F.log10(lost2 / F.col("c") / (1 - F.col("seen_p1"))).alias("log_alpha"))
 
     # Sums of each document.
-    if table is not None:
+    if shared:
         unseen = scored.filter("tag = 2").select("key", "ctx", "s0", "n")
     else:
         raw = scored.filter("tag = 4").select("key", "ctx", F.col("a1").alias("word"), "n")
@@ -363,10 +424,10 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", parts
     backed = unseen.join(weights, F.col("ctx") == F.col("w_h"), "left").select(
         "key", (F.col("s0") + F.col("n") * F.coalesce("log_alpha", F.lit(0.0))).alias("score"),
         F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("tokens"), F.lit(0).cast("long").alias("known"))
-    score = F.col("s0") - F.col("s1") + F.col("s3")
+    score = F.col("s0")
     for r in range(1, GT_MAX + 1):
         score = score + F.col(f"a{r}") * math.log10(d2[r - 1] * r)
-    own = scored.filter("tag = 0").select("key", score.alias("score"), F.col("s2").alias("base"),
+    own = scored.filter("tag = 0").select("key", score.alias("score"), F.col("s1").alias("base"),
                                           F.col("n").alias("tokens"), F.col("ctx").alias("known"))
     sums = own.unionByName(backed).groupBy("key").agg(*[F.sum(x).alias(x) for x in ("score", "base", "tokens", "known")])
     flat = rows.select("doc_id", "key", "train")
