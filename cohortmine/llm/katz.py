@@ -224,6 +224,14 @@ def _frame(tag: int, **columns) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
+def _joined(ready: dict[int, list[dict[str, np.ndarray]]]) -> Iterator[pd.DataFrame]:
+    """The rows of several batches as one frame a tag; ``ready`` is emptied."""
+    for tag, batches in ready.items():
+        if batches:
+            yield _frame(tag, **{k: np.concatenate([b[k] for b in batches]) for k in batches[0]})
+            batches.clear()
+
+
 def _score_part(blobs: list[bytes], hot: np.ndarray, hot_c: np.ndarray, table) -> Iterator[pd.DataFrame]:
     """All pairs of one part -> document sums (tag 0), context sums (1), unseen pairs (2 or 4) and,
     without the unigram table, seen pairs (3)."""
@@ -280,7 +288,8 @@ def _score_part(blobs: list[bytes], hot: np.ndarray, hot_c: np.ndarray, table) -
         gain = np.where(seen | known, gain, lp)
         del p1
     plain = np.where(word, np.log10(c + 1.0)[ctx_of], 0.0)
-    at = 0
+    at, held = 0, 0
+    ready: dict[int, list[dict[str, np.ndarray]]] = {0: [], 2: [], 4: []}
     for g in got:  # one batch's documents at a time
         p = np.repeat(pair_of[at:at + len(g[2])], g[4])
         at += len(g[2])
@@ -292,16 +301,22 @@ def _score_part(blobs: list[bytes], hot: np.ndarray, hot_c: np.ndarray, table) -
         sums["s1"] = np.bincount(doc, weights=mult * plain[p], minlength=n)
         sums["n"] = np.bincount(doc, weights=mult, minlength=n)
         sums["ctx"] = np.bincount(doc, weights=mult * (word & known)[p], minlength=n)
-        yield _frame(0, key=keys, **sums)
+        ready[0].append({"key": keys, **sums})
+        held += n
         if table is not None:
             q = np.flatnonzero((rp == 0) & known[p])
             pairs, inverse = np.unique(doc[q] * len(names) + ctx_of[p[q]], return_inverse=True)
-            yield _frame(2, key=keys[pairs // len(names)], ctx=names[pairs % len(names)].view(np.int64),
-                         s0=np.bincount(inverse, weights=lp[p[q]] * mult[q], minlength=len(pairs)),
-                         n=np.bincount(inverse, weights=mult[q], minlength=len(pairs)))
+            ready[2].append({"key": keys[pairs // len(names)], "ctx": names[pairs % len(names)].view(np.int64),
+                             "s0": np.bincount(inverse, weights=lp[p[q]] * mult[q], minlength=len(pairs)),
+                             "n": np.bincount(inverse, weights=mult[q], minlength=len(pairs))})
         else:
             q = np.flatnonzero(rp == 0)
-            yield _frame(4, key=keys[doc[q]], ctx=u1[p[q]].view(np.int64), a1=u2[p[q]].view(np.int64), n=mult[q])
+            ready[4].append({"key": keys[doc[q]], "ctx": u1[p[q]].view(np.int64), "a1": u2[p[q]].view(np.int64), "n": mult[q]})
+        held += len(q)
+        if held > 50_000:
+            yield from _joined(ready)
+            held = 0
+    yield from _joined(ready)
     if table is None:
         at = np.flatnonzero(seen)
         yield _frame(3, key=u1[at].view(np.int64), ctx=u2[at].view(np.int64))
