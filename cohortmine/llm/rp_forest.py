@@ -12,6 +12,12 @@ of its links. A pair that meets in several leaves is counted in the first of the
 carries the list of its leaves, so a leaf decides that by itself. Vectors of one direction (to
 ten decimals) are one class with a multiplicity and are never compared with each other.
 
+Inside a group larger than a leaf every split goes through the group, so a pair meets in a tree
+with about leaf / group and the trees lose most of its links. The leaves do find that the group
+is one component: the members of every component of ``leaf / DENSE_SHARE`` classes or more are
+compared again, all pairs, block against block, and those counts take the place of the trees'.
+A block is one row; strips of blocks are broadcast, so the pairs of blocks are never shuffled.
+
 Defined cases: null, zero, empty vectors and vectors with null or non-finite components link
 with nothing; vectors of different lengths do not link; repeated rows are separate vectors that
 link; a null vec_id is never a component's least id unless all are null; an empty table gives no
@@ -37,6 +43,9 @@ LEAF = 2000      # rows of a leaf, about
 SPILL = 0.05     # of a node's rows on either side of its median
 RECALL = 0.98    # of pairs at the threshold that should share a leaf
 MIN_TREES = 4
+DENSE_SHARE = 8  # components of an eighth of a leaf or more are counted exactly
+BLOCK = 1000     # classes of a block, about
+STRIP = 32       # blocks broadcast at a time
 SEED = 29
 _PAIRS = 1 << 18
 
@@ -168,6 +177,67 @@ def _compare(frames: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataF
         yield done(pd.concat(held))
 
 
+def _pack(f: pd.DataFrame) -> pd.DataFrame:
+    """The members of one block as one row."""
+    return pd.DataFrame({"root": f["root"].iloc[:1], "blocks": f["blocks"].iloc[:1], "block": f["block"].iloc[:1],
+                         "members": [f["cls"].to_numpy()], "times": [f["n"].to_numpy()],
+                         "units": [np.vstack(f["unit"].to_numpy()).tobytes()]})
+
+
+def _compare_blocks(frames: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataFrame]:
+    """Pairs of blocks -> (a, links): the links of the members of both, summed over the task."""
+    found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(root: int, block: int, members: np.ndarray, links: np.ndarray) -> None:
+        _, so_far = found.setdefault((root, block), (members, np.zeros(len(members))))
+        so_far += links
+
+    for f in frames:
+        for x in f.itertuples():
+            u = np.frombuffer(x.units).reshape(len(x.members), -1)
+            v = np.frombuffer(x.units2).reshape(len(x.members2), -1)
+            near = (u @ v.T >= cosine).astype(float)
+            if x.block == x.block2:
+                np.fill_diagonal(near, 0)
+            else:
+                add(x.root, x.block2, x.members2, near.T @ x.times)
+            add(x.root, x.block, x.members, near @ x.times2)
+    for members, links in found.values():
+        yield pd.DataFrame({"a": members, "links": links.astype(np.int64)})
+
+
+def dense_links(classes: DataFrame, roots: DataFrame, least: int, cosine: float = COSINE, block: int = BLOCK,
+                strip: int = STRIP) -> DataFrame | None:
+    """(a, links): exact links of the classes in components of ``least`` classes or more.
+
+    Of two blocks i, j of a component's b the one from which the other is at most b / 2 ahead
+    (cyclically) holds the pair, so every block has as many pairs as another.
+    """
+    large = checkpointed(roots.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("size")).filter(F.col("size") >= least))
+    if large.isEmpty():
+        return None
+    placed = roots.join(large, F.col("root") == F.col("r")).select("node", "root", F.ceil(F.col("size") / block).alias("blocks"))
+    named = classes.join(placed, F.col("cls") == F.col("node")).select(
+        "cls", "unit", "n", "root", "blocks", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block"))
+    packed = written(named.groupBy("root", "block").applyInPandas(
+        _pack, "root long, blocks long, block long, members array<long>, times array<long>, units binary"))
+    turn = F.pmod(F.xxhash64("root", "block"), F.lit(max(1, -(-packed.count() // strip))))
+    strips = sorted(x[0] for x in packed.select(turn).distinct().collect())
+    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, len(strips))
+    spread = packed.repartition(tasks)
+    ahead = F.pmod(F.col("block2") - F.col("block"), F.col("blocks"))
+    mine = (2 * ahead < F.col("blocks")) | ((2 * ahead == F.col("blocks")) & (F.col("block") < F.col("block2")))
+    out = None
+    for s in strips:
+        other = packed.filter(turn == s).select(F.col("root").alias("root2"), F.col("block").alias("block2"), F.col("members").alias("members2"),
+                                                F.col("times").alias("times2"), F.col("units").alias("units2"))
+        pairs = spread.join(F.broadcast(other), (F.col("root") == F.col("root2")) & mine)
+        part = checkpointed(pairs.mapInPandas(lambda it: _compare_blocks(it, cosine), "a long, links long")
+                            .groupBy("a").agg(F.sum("links").alias("links")))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("a").agg(F.sum("links").alias("links"))
+
+
 def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE,
                  leaf: int = LEAF, spill: float = SPILL, recall: float = RECALL, seed: int = SEED) -> DataFrame:
     """(vec_id, n_links, component_id, kept): a row a vector."""
@@ -185,6 +255,10 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
         lambda it: _compare(it, cosine), "a long, b long, links long"))
     links = found.filter("b is null").groupBy(F.col("a").alias("la")).agg(F.sum("links").alias("links"))
     roots = components(found.filter("b is not null").select("a", "b"))
+    exact = dense_links(classes, roots, max(2, leaf // DENSE_SHARE), cosine) if depth else None
+    if exact is not None:
+        links = links.join(exact.select(F.col("a").alias("ea"), F.col("links").alias("exact")), F.col("la") == F.col("ea"), "left").select(
+            "la", F.coalesce("exact", "links").alias("links"))
     per_class = classes.select("cls", "n").join(links, F.col("cls") == F.col("la"), "left").join(
         roots, F.col("cls") == F.col("node"), "left").select(
         F.col("cls").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),

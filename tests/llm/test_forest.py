@@ -70,3 +70,16 @@ def test_copies_count_as_links(spark, copies):
     df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(copies)] + [(100, [2.0, 4.0]), (101, [-1.0, 2.0])], "vec_id long, embedding array<float>")
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rf.near_vectors(df).collect()}
     assert got[0] == (copies, 0, True) and got[100] == (copies, 0, False) and got[101] == (0, 101, True)
+
+
+def test_group_of_many_leaves_keeps_its_links(spark):
+    rng = np.random.default_rng(5)
+    group = rng.standard_normal(16) + 0.22 * rng.standard_normal((2000, 16))
+    x = np.vstack([rng.standard_normal((1000, 16)), group, group[:3]])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in rf.near_vectors(df, leaf=20).collect()}
+    have = np.array([got[i] for i in range(len(x))])
+    assert want.sum() > 2_000_000
+    assert (have <= want).all() and have.sum() >= 0.999 * want.sum()
