@@ -1,8 +1,8 @@
 """Quality rules (operator 9, native): text counts plus cross-document line frequency.
 
 The counts come from each whole text; the verdict then hashes normalised lines, counts the
-distinct documents of a host that hold each line, takes lines above the limit as removed,
-and rejects documents that the removal depletes.
+distinct documents of a host that hold each line, removes lines above the limit from the
+texts, and rejects documents that the removal depletes.
 
 Defined cases: a null text counts as empty (no words, so it fails the base rule); null hosts
 form one host; documents of the same host with equal texts count as one document in a line's
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmine.llm.common import SPACE, WORD, read, semi_or_anti, text_or_empty, words_of
+from cohortmine.llm.common import SPACE, WORD, checkpointed, read, small_enough, text_or_empty, words_of
 
 MIN_WORDS = 50            # base: fewer words fail
 MAX_REPEAT_PERCENT = 50   # base: more words than this in repeated 3-word windows fail
@@ -24,6 +24,8 @@ LINE_SHARE = 0.10         # a line in more than this share of a host's distinct
 LINE_MIN_DOCS = 20        # and only if at least this many distinct documents hold it
 DEPLETED_SHARE = 0.30     # a document left with less than this share of its words is rejected
 
+BROADCAST_DOCS = 100_000
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -76,18 +78,19 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _doc_lines(docs: DataFrame, keys: list[Column], text: str) -> DataFrame:
-    """One row per line with a word: the keys, the line's hash and its number of words."""
+    """One row per line with a word: the keys, its place, the line's hash and its number of words."""
     t = text_or_empty(text)
-    return docs.select(*keys, F.explode(_lines(t)).alias("__l")).select(
-        *[F.col(k) for k in ("__host", "__id", "__t")],
+    return docs.select(*keys, F.posexplode(F.split(t, "\n", -1)).alias("__p", "__l")).filter(
+        F.col("__l").rlike(f"[^{SPACE}]")).select(
+        *[F.col(k) for k in ("__host", "__id", "__t", "__p")],
         F.xxhash64(normalised_line(F.col("__l"))).alias("__h"),
         F.regexp_count("__l", F.lit(f"({WORD})")).alias("__n"))
 
 
-def depleted(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id",
+def removals(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id",
              line_share: float = LINE_SHARE, line_min_docs: int = LINE_MIN_DOCS,
              depleted_share: float = DEPLETED_SHARE) -> DataFrame:
-    """Keys (__host, __id, __t) of the documents that frequent-line removal depletes.
+    """(__host, __id, __t, __lines, __depleted): the documents with frequent lines and the lines' places.
 
     Line counts aggregate by (host, line, text hash) before they aggregate by (host, line),
     each with map-side partial sums, so a line that a third of all rows hold is no hot task.
@@ -109,35 +112,59 @@ def depleted(docs: DataFrame, text: str = "text", host: str = "source", doc_id:
     flagged = lines.join(frequent, hit, "left")
     return (flagged.groupBy("__host", "__id", "__t")
             .agg(F.sum("__n").alias("__all"),
-                 F.sum(F.when(F.col("__fl").isNull(), F.col("__n")).otherwise(0)).alias("__left"))
-            .filter(F.col("__left") < depleted_share * F.col("__all"))
-            .select("__host", "__id", "__t"))
+                 F.sum(F.when(F.col("__fl").isNull(), F.col("__n")).otherwise(0)).alias("__left"),
+                 F.collect_set(F.when(F.col("__fl").isNotNull(), F.col("__p"))).alias("__lines"))
+            .filter(F.col("__left") < F.col("__all"))
+            .select("__host", "__id", "__t", "__lines",
+                    (F.col("__left") < depleted_share * F.col("__all")).alias("__depleted")))
+
+
+def _less_lines(docs: DataFrame, text: str, n_chars: str) -> DataFrame:
+    """``docs`` with its text less the lines at the places ``__lines``, ``n_chars`` (if there) set anew."""
+    places = F.sequence(F.lit(0), F.size("__split") - 1)
+    shorter = F.array_join(F.transform(F.array_except(places, F.col("__lines")), lambda i: F.get("__split", i)), "\n")
+    out = docs.withColumn("__split", F.when(F.col("__lines").isNotNull(), F.split(text_or_empty(text), "\n", -1)))
+    out = out.withColumn(text, F.when(F.col("__lines").isNotNull(), shorter).otherwise(F.col(text)))
+    if n_chars in docs.columns:
+        out = out.withColumn(n_chars, F.when(F.col("__lines").isNotNull(), F.length(text)).otherwise(F.col(n_chars)))
+    return out
+
+
+def _with_removals(docs: DataFrame, gone: DataFrame, host: str, doc_id: str) -> DataFrame:
+    """``docs`` (with ``__t``) and the ``__lines`` and ``__depleted`` of each row, null without frequent lines."""
+    side = gone.select(F.col("__host").alias("__gh"), F.col("__id").alias("__gi"), F.col("__t").alias("__gt"), "__lines", "__depleted")
+    cond = (docs["__t"] == F.col("__gt")) & docs[host].eqNullSafe(F.col("__gh")) \
+        & docs[doc_id].eqNullSafe(F.col("__gi"))
+    return docs.join(side, cond, "left")
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id",
-                  **limits) -> DataFrame:
-    """``docs`` with the counts, ``base_failed`` and ``kept`` (neither base-failed nor depleted)."""
+                  n_chars: str = "n_chars", **limits) -> DataFrame:
+    """``docs`` with the counts, ``base_failed`` and ``kept`` (neither base-failed nor depleted).
+
+    The counts are of the whole text; the text returned is the one less its frequent lines.
+    """
     own = [c for c in docs.columns if c not in (*COUNTS, "base_failed", "kept")]
-    gone = depleted(docs, text, host, doc_id, **limits).select(
-        F.col("__host").alias("__gh"), F.col("__id").alias("__gi"), F.col("__t").alias("__gt"),
-        F.lit(True).alias("__gone"))
+    gone = removals(docs, text, host, doc_id, **limits)
     counted = text_counts(docs.select(*own, F.xxhash64(text_or_empty(text)).alias("__t")), text)
-    slim = counted.drop(text)
-    cond = (slim["__t"] == F.col("__gt")) & slim[host].eqNullSafe(F.col("__gh")) \
-        & slim[doc_id].eqNullSafe(F.col("__gi"))
-    return slim.join(gone, cond, "left").withColumn(
-        "kept", ~F.col("base_failed") & F.col("__gone").isNull()).drop(
-        "__t", "__gh", "__gi", "__gt", "__gone")
+    joined = _with_removals(counted, gone, host, doc_id).withColumn(
+        "kept", ~F.col("base_failed") & ~F.coalesce("__depleted", F.lit(False)))
+    return _less_lines(joined, text, n_chars).select(*own, *COUNTS, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id",
-              **limits) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they were."""
-    gone = depleted(docs, text, host, doc_id, **limits)
+              n_chars: str = "n_chars", **limits) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, less their frequent lines; other columns as they were.
+
+    The removals are broadcast when they were counted to be few, so texts stay where they are.
+    """
+    gone = checkpointed(removals(docs, text, host, doc_id, **limits))
+    if small_enough(gone, BROADCAST_DOCS):
+        gone = F.broadcast(gone)
     marked = text_counts(docs, text).filter(~F.col("base_failed")).withColumn(
         "__t", F.xxhash64(text_or_empty(text)))
-    marked = marked.withColumn("__host", F.col(host)).withColumn("__id", F.col(doc_id))
-    return semi_or_anti(marked, gone, ["__host", "__id", "__t"], "left_anti").select(*docs.columns)
+    left = _with_removals(marked, gone, host, doc_id).filter(~F.coalesce("__depleted", F.lit(False)))
+    return _less_lines(left, text, n_chars).select(*docs.columns)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

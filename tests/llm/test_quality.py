@@ -44,3 +44,16 @@ def test_frequent_lines_deplete(spark):
 def test_no_python_in_the_plan(spark, sf):
     plan = qr.op9_quality_rules(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+def test_kept_documents_lose_their_frequent_lines(spark):
+    boiler = _words(20, "b")
+    rows = [(i, f"{boiler}\n\n{_words(100, i)}\n {boiler.upper()} \nend {i}", "h", 7) for i in range(30)]
+    rows += [(90, f"{boiler}\n{_words(100, 90)}", "other", 7)]
+    rows += [rows[3]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    want = sorted((i, t if s == "other" else f"\n{_words(100, i)}\nend {i}") for i, t, s, _ in rows)
+    for out in (qr.keep_good(df), qr.quality_rules(df)):
+        got = out.collect()
+        assert sorted((r["doc_id"], r["text"]) for r in got) == want
+        assert all(r["n_chars"] == (7 if r["doc_id"] == 90 else len(r["text"])) for r in got)
