@@ -5,7 +5,10 @@ classes, each with its distinct child sequences (presentation) and texts (conten
 distinct pages show them. A node's importance is the larger of the two entropies, each as a
 share of the most that its pages allow; a branch that shows the same on nearly all pages says
 little and is cut. Elements whose tag, role or class names a menu, header, footer, sidebar,
-notice, advert, form, script or comment section are of no importance on any page. The article
+notice, advert, form, script or comment section are of no importance on any page, unless the
+name is one word of a longer one ("no-sidebar") and the element, itself in no article, holds an
+article or main. An element named by such a word alone and holding one goes if the page has
+another. An article within an article goes if it is named a comment or reply. The article
 itself is never thinned: inside an ``article`` or ``main`` element only the named rule cuts.
 
 Pages with the same html count once in a host's entropies, so copies do not make their own
@@ -60,6 +63,7 @@ NOISE_WORDS = frozenset(
     "navigation newsletter notice notices notification pager pagination paywall popup promo promotion related "
     "replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored "
     "subscribe subscription toolbar topbar widget widgets".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
 NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 _TOKEN = re.compile(
@@ -71,12 +75,16 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    """An element: tag, path of tags and classes, whether it is named noise, children in order."""
+    """An element: tag, path of tags and classes, whether it is noise, children in order.
 
-    __slots__ = ("children", "noise", "path", "root", "tag")
+    ``named`` is 1 if only a part of a class or id makes it noise, 2 if a whole one does, else 0;
+    ``article`` tells that it is an article or within one.
+    """
+
+    __slots__ = ("article", "children", "named", "noise", "path", "root", "tag")
 
-    def __init__(self, tag: str, path: str, noise: bool, root: bool = False):
-        self.tag, self.path, self.noise, self.root = tag, path, noise, root
+    def __init__(self, tag: str, path: str, noise: bool, root: bool = False, named: int = 0, article: bool = False):
+        self.tag, self.path, self.noise, self.root, self.named, self.article = tag, path, noise, root, named, article
         self.children: list[Node | str] = []
 
 
@@ -88,16 +96,23 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
     kind = found.get("class", "").split()
     role = found.get("role", "").lower()
     root = tag in ("article", "main") or role in ("main", "article")
+    named = 0
     noise = tag in NOT_TEXT or (tag == "header" and not _within(parent, "article"))
     if not noise and found and tag not in ("html", "body"):
         if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or role in NOISE_ROLES \
                 or _HIDDEN.search(found.get("style", "")):
             noise = True
-        elif not root:
-            words = {w.lower() for x in (*kind, found.get("id", "")) for w in _NAMES.findall(x)}
-            noise = bool(words & NOISE_WORDS) or ("header" in words and not _within(parent, "article"))
+        else:
+            names = (*kind, found.get("id", ""))
+            words = {w.lower() for x in names for w in _NAMES.findall(x)}
+            if root:
+                noise = parent.article and bool(words & COMMENT_WORDS)
+            else:
+                noise = bool(words & NOISE_WORDS) or ("header" in words and not _within(parent, "article"))
+                named = noise * (2 if {x.lower() for x in names} & (NOISE_WORDS | {"header"}) else 1)
     name = ".".join([tag, *sorted(kind)])
-    return Node(tag, f"{parent.path}/{name}", noise, root)
+    article = parent.article or tag == "article" or role == "article"
+    return Node(tag, f"{parent.path}/{name}", noise, root, named, article)
 
 
 def _within(node: Node, tag: str) -> bool:
@@ -145,9 +160,36 @@ def parse(text: str) -> Node:
             at = end.end()
         elif tag not in VOID:
             stack.append(node)
+    _free(top)
     return top
 
 
+def _free(top: Node) -> None:
+    """Named elements that wrap an article or main are no noise (see the module)."""
+    order: list[tuple[Node, int]] = [(top, -1)]  # parents first
+    for k, (node, _) in enumerate(order):
+        if not node.article and (node.named or not node.noise):
+            order += [(c, k) for c in node.children if isinstance(c, Node)]
+    holds = [x.root and not x.noise for x, _ in order]
+    for k in range(len(order) - 1, 0, -1):
+        holds[order[k][1]] |= holds[k]
+    if not holds[0]:
+        return
+    live = [True] * len(order)  # whether no noise is above
+
+    def settle() -> bool:
+        for k, (x, up) in enumerate(order):
+            live[k] = (up < 0 or live[up]) and not x.noise
+        return any(a and x.root for a, (x, _) in zip(live, order, strict=True))
+
+    for least in (1, 2):
+        for (x, _), h in zip(order, holds, strict=True):
+            if h and x.named == least:
+                x.noise = False
+        if settle():
+            return
+
+
 def _close(stack: list[Node], tags: str, within: tuple[str, ...]) -> None:
     """Pop to the innermost of ``tags`` unless an element of ``within`` is nearer."""
     names = tags.split()

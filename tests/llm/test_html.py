@@ -79,3 +79,24 @@ def test_query(spark, sf):
     rows = ht.op5_html_extraction(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/pages.parquet").count()
     assert all(r["n_chars"] == len(r["text"]) and "<" not in r["text"] and "©" not in r["text"] for r in rows)
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<div class='content no-sidebar'><article><p>text</p></article></div>", "text"),
+    ("<div id='post-with-comments'><article><p>text</p></article><p>more</p></div>", "text"),
+    ("<section class='main widget-area'><div><main><p>text</p></main></div></section>", "text"),
+    ("<main><div class='widget-area'><article><p>text</p></article></div></main>", "text"),
+    ("<div class=widget><article><p>text</p></article></div>", "text"),
+    ("<article><p>text</p></article><div class='related'><article><p>teaser</p></article></div>", "text"),
+    ("<article><p>text</p></article><section id=comments><article><p>reader</p></article></section>", "text"),
+    ("<aside class='no-sidebar'><article><p>teaser</p></article></aside><p>text</p>", "text"),
+])
+def test_wrappers_of_the_article_are_not_cut_by_name(html, want):
+    assert main(html) == want
+
+
+@pytest.mark.parametrize("name", ["class='comment'", "class='reply even'", "id='comment-12'"])
+def test_comments_nested_in_the_article_are_cut(name):
+    assert main(f"<article><p>text</p><article {name}><p>reader</p></article></article>") == "text"
+    assert main("<article><p>text</p><article class='part'><p>second</p></article></article>") == "text\nsecond"
+    assert main(f"<main><article {name}><p>text</p></article></main>") == "text"
