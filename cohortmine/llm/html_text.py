@@ -8,8 +8,9 @@ little and is cut. Elements whose tag, role or class names a menu, header, foote
 notice, advert, form, script or comment section are of no importance on any page, unless the
 name is one word of a longer one ("no-sidebar") and the element, itself in no article, holds an
 article or main. An element named by such a word alone and holding one goes if the page has
-another. An article within an article goes if it is named a comment or reply. The article
-itself is never thinned: inside an ``article`` or ``main`` element only the named rule cuts.
+another. An article within an article goes if it is named a comment or reply. Inside an
+``article`` or ``main`` a template branch is cut if it groups other elements (a list, a section, a
+box with blocks in it); a sentence by itself that many pages share stays.
 
 Pages with the same html count once in a host's entropies, so copies do not make their own
 article look like a template. Style tree counts aggregate by (host, path, text) with partial
@@ -38,6 +39,7 @@ MIN_IMPORTANCE = 0.2  # below this share of the largest entropy a branch is cut
 BROADCAST_HOSTS = 100_000
 
 # Element names by role.
+GROUPS = frozenset("center details dir div dl fieldset figure hgroup ol section table ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes plaintext".split())
 BLOCK = frozenset(
@@ -231,6 +233,11 @@ def _has_text(node: Node) -> bool:
     return False
 
 
+def _groups(node: Node) -> bool:
+    """Whether an element groups others, so that entropy may cut it inside an article."""
+    return node.tag in GROUPS and any(isinstance(c, Node) and c.tag in BLOCK - VOID for c in node.children)
+
+
 def blocks(top: Node, cut: frozenset[str] = frozenset()) -> list[str]:
     """Texts of the blocks in page order, white space joined, empty ones left out."""
     out: list[str] = []
@@ -245,7 +252,7 @@ def blocks(top: Node, cut: frozenset[str] = frozenset()) -> list[str]:
 
     for root in _roots(top):
         flush()
-        inside = root is not top  # the article is never thinned by entropy
+        inside = root is not top
         stack: list[Node | str | None] = [root]
         while stack:
             x = stack.pop()
@@ -253,7 +260,7 @@ def blocks(top: Node, cut: frozenset[str] = frozenset()) -> list[str]:
                 flush()
             elif isinstance(x, str):
                 run.append(x)
-            elif x.noise or (not inside and x.path in cut):
+            elif x.noise or (x is not root and x.path in cut and (not inside or _groups(x))):
                 if x.tag in BLOCK:
                     flush()
             elif x.tag in BLOCK:

@@ -100,3 +100,12 @@ def test_comments_nested_in_the_article_are_cut(name):
     assert main(f"<article><p>text</p><article {name}><p>reader</p></article></article>") == "text"
     assert main("<article><p>text</p><article class='part'><p>second</p></article></article>") == "text\nsecond"
     assert main(f"<main><article {name}><p>text</p></article></main>") == "text"
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_template_branches_inside_the_article_are_cut(spark, tag):
+    rows = [(i, f"http://e.example.com/{i}", f"<body><{tag}><div class=body><p class=lead>Shared line</p><p>own {i}</p></div>"
+             f"<div class=writer><p>By the desk</p><p>Write to us</p></div></{tag}></body>") for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in ht.extract(df).collect()}
+    assert got == {i: f"Shared line\nown {i}" for i in range(20)}
