@@ -72,3 +72,32 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark reads it whole, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def own_columns(df: DataFrame, made: list[str] | tuple[str, ...]) -> list[str]:
+    """Quoted names of the columns that a result carries: all but those it makes itself.
+
+    Spark resolves names without regard to case, so they are compared in lower case.
+    """
+    taken = {name.lower() for name in made}
+    return [quoted(c) for c in df.columns if c.lower() not in taken]
+
+
+def shielded(df: DataFrame, made: list[str] | tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns that clash with ``made`` renamed, and the names to give back.
+
+    For stages that hand every column on as it was: see :func:`restored`.
+    """
+    taken = {name.lower() for name in made}
+    hidden = {c: f"__own_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    return df.withColumnsRenamed(hidden), hidden
+
+
+def restored(out: DataFrame, columns: list[str], hidden: dict[str, str]) -> DataFrame:
+    """The columns of the input of :func:`shielded`, under their own names and in their order."""
+    return out.select(*[F.col(quoted(hidden.get(c, c))).alias(c) for c in columns])

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmine.llm.common import checkpointed, read, small_enough
+from cohortmine.llm.common import checkpointed, own_columns, read, small_enough
 
 MIN_PAGES = 8         # a style tree node needs as many distinct pages to be judged
 MIN_IMPORTANCE = 0.2  # below this share of the largest entropy a branch is cut
@@ -353,7 +353,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", **limits) ->
 
     cuts = checkpointed(cut_paths(pages, url, html, **limits))
     side = F.broadcast(cuts) if small_enough(cuts, BROADCAST_HOSTS) else cuts
-    own = [c for c in pages.columns if c not in (html, "text", "n_chars")]
+    own = own_columns(pages, (html, "text", "n_chars"))
     placed = pages.select(*own, F.col(html).cast("string").alias("__html")).withColumn("__host", host_of(F.col(url)))
     joined = placed.join(side, F.col("__host") == F.col("__cut_host"), "left")
     return joined.withColumn("text", main_text("__html", "__paths")).select(

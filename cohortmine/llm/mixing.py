@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortmine.llm.common import WORD, checkpointed, read, text_or_empty
+from cohortmine.llm.common import WORD, checkpointed, own_columns, read, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)   # by the source's place, repeating
 MAX_EPOCHS = 3              # a target stops at this many times its source's size
@@ -129,7 +129,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
     rest = joined.filter(F.col("__sum") % F.col("__rows") > 0).filter(F.col("__rows") > 1)
     rest = rest.dropDuplicates(["__i", "__pt", "__ps"]).withColumn("__c", F.col("__sum") % F.col("__rows"))
     both = each.unionByName(rest).filter(F.col("__c") > 0)
-    return both.withColumn("__x", F.explode(F.sequence(F.lit(1), F.col("__c")))).select(*docs.columns)
+    return both.withColumn("__x", F.explode(F.sequence(F.lit(1), F.col("__c")))).select(*own_columns(docs, ()))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cohortmine.llm import collocations as co
+from cohortmine.llm import lexical_search as ls
 from cohortmine.llm import mixing as mx
 from cohortmine.llm import quality_rules as qr
 from cohortmine.llm import secret_scan as sc
@@ -101,3 +103,42 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN z ON d.rid = z.rid
 """
+
+_LOW = f"'{ls.UPPER}', '{ls.LOWER}'"
+
+OP11 = rf"""
+WITH p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_LOW}) AS t FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+pos AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+g AS (SELECT lang, unnest([1, 2, 3]) AS k, ws, i FROM pos),
+f AS (SELECT lang, k, ws[i:i + k - 1] AS x, count(*)::BIGINT AS a FROM g WHERE i + k - 1 <= len(ws) GROUP BY lang, k, x),
+tot AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= {co.MIN_COUNT}),
+cuts AS (SELECT c.lang, c.k, c.x, c.a, unnest(range(1, c.k)) AS cut FROM c),
+sc AS (SELECT cuts.*, lf.a AS l, rf.a AS r, ((1000000::HUGEINT * cuts.a * cuts.a) // (lf.a::HUGEINT * rf.a))::BIGINT AS score
+       FROM cuts JOIN f lf ON lf.lang = cuts.lang AND lf.x = cuts.x[1:cut]
+                 JOIN f rf ON rf.lang = cuts.lang AND rf.x = cuts.x[cut + 1:cuts.k]),
+low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, cut) = 1),
+inner2 AS (SELECT lang, unnest([x[1:2], x[2:3]]) AS x, a FROM c WHERE k = 3),
+longer AS (SELECT lang, x, max(a) AS m FROM inner2 GROUP BY lang, x),
+shown AS (SELECT low.* FROM low LEFT JOIN longer ON low.lang = longer.lang AND low.x = longer.x
+          WHERE m IS NULL OR 100 * m < {co.HIDDEN_PERCENT} * low.a)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(x, ' ')) AS rank,
+       array_to_string(x, ' ') AS phrase, a, l, r, tot.n AS n, score
+FROM shown s JOIN tot ON tot.lang = s.lang QUALIFY rank <= {co.TOP}
+"""
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), {_LOW}), '{ls.TERM}') AS ts FROM documents),
+st AS (SELECT count(*)::BIGINT AS nd, sum(len(ts))::BIGINT AS ld FROM d WHERE len(ts) > 0),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOW}), '{ls.TERM}')) AS term FROM benchmark),
+o AS (SELECT rid, doc_id, len(ts)::BIGINT AS n, unnest(ts) AS term FROM d),
+tf AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf FROM o WHERE term IN (SELECT term FROM i) GROUP BY rid, doc_id, n, term),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, st GROUP BY term, nd),
+s AS (SELECT i.item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + ((90 * n * nd) // ld)))))::BIGINT AS score
+      FROM i JOIN w ON i.term = w.term JOIN tf ON tf.term = w.term, st GROUP BY i.item_id, rid, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= {ls.TOP}
+"""

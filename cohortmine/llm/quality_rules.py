@@ -16,7 +16,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmine.llm.common import SPACE, WORD, checkpointed, read, small_enough, text_or_empty, words_of
+from cohortmine.llm.common import (
+    SPACE,
+    WORD,
+    checkpointed,
+    own_columns,
+    read,
+    restored,
+    shielded,
+    small_enough,
+    text_or_empty,
+    words_of,
+)
 
 MIN_WORDS = 50            # base: fewer words fail
 MAX_REPEAT_PERCENT = 50   # base: more words than this in repeated 3-word windows fail
@@ -27,6 +38,7 @@ DEPLETED_SHARE = 0.30     # a document left with less than this share of its wor
 BROADCAST_DOCS = 100_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MADE = (*COUNTS, "base_failed", "kept")
 
 
 def _lines(text: Column) -> Column:
@@ -45,7 +57,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     ``n_repeat_words`` finds repeated windows by 64-bit hash within one text. Only texts that
     have a repeated window sort their (hash, position) pairs; the others stop at the distinct.
     """
-    own = [c for c in docs.columns if c not in (*COUNTS, "base_failed")]
+    own = own_columns(docs, (*COUNTS, "base_failed"))
     t = text_or_empty(text)
     one = docs.select(*own, words_of(t).alias("__w"), _lines(t).alias("__l"),
                       F.regexp_count(t, F.lit(r"([#*$%&|<>])")).cast("long").alias("n_symbols"))
@@ -144,7 +156,7 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", doc
 
     The counts are of the whole text; the text returned is the one less its frequent lines.
     """
-    own = [c for c in docs.columns if c not in (*COUNTS, "base_failed", "kept")]
+    own = own_columns(docs, MADE)
     gone = removals(docs, text, host, doc_id, **limits)
     counted = text_counts(docs.select(*own, F.xxhash64(text_or_empty(text)).alias("__t")), text)
     joined = _with_removals(counted, gone, host, doc_id).withColumn(
@@ -158,13 +170,15 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", doc_id:
 
     The removals are broadcast when they were counted to be few, so texts stay where they are.
     """
+    columns = docs.columns
+    docs, hidden = shielded(docs, MADE)
     gone = checkpointed(removals(docs, text, host, doc_id, **limits))
     if small_enough(gone, BROADCAST_DOCS):
         gone = F.broadcast(gone)
     marked = text_counts(docs, text).filter(~F.col("base_failed")).withColumn(
         "__t", F.xxhash64(text_or_empty(text)))
     left = _with_removals(marked, gone, host, doc_id).filter(~F.coalesce("__depleted", F.lit(False)))
-    return _less_lines(left, text, n_chars).select(*docs.columns)
+    return restored(_less_lines(left, text, n_chars), columns, hidden)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from cohortmine.llm.common import read, text_or_empty
+from cohortmine.llm.common import own_columns, read, text_or_empty
 
 SCOPE = 200  # code points between the starts of linked parts
 
@@ -128,7 +128,7 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", scope: int
         F.sha2(joined(F.filter("__all", lambda x: x["rank"] <= 3)), 256).alias("base_sha256"),
         joined(F.col("__all")).alias("spans"))
     results = ("n_assign", "n_access", "n_hex", "base_sha256", "spans")
-    own = [c for c in docs.columns if c not in results and c != text]
+    own = own_columns(docs, (*results, text))
     slim = docs.select(*own, F.xxhash64(text_or_empty(text)).alias("__t"))
     return slim.join(digest, slim[doc_id].eqNullSafe(F.col("__d_id")) & (slim["__t"] == F.col("__d_t")), "left").select(
         *own, *[F.coalesce(F.col(f"n_{k}"), F.lit(0).cast("long")).alias(f"n_{k}") for k in ("assign", "access", "hex")],

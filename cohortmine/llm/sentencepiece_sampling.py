@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortmine.llm.common import read
+from cohortmine.llm.common import quoted, read
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -301,9 +301,11 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(vars(Vocabulary.load(model, alpha)))
     made = ("pieces", "n_pieces", "lossless")
-    own = [c for c in docs.columns if c not in made]
-    keyed = docs.select(*own, _row_keys(key, seed).alias("__key"))
-    schema = keyed.drop("__key").schema.add("pieces", T.ArrayType(T.IntegerType())).add(
+    own = [c for c in docs.columns if c.lower() not in made]
+    keyed = docs.select(*map(quoted, own), _row_keys(key, seed).alias("__key"))
+    # Columns travel by place: names with dots are no attributes to mapInArrow.
+    places = [f"c{i}" for i in range(len(own))]
+    schema = T.StructType([T.StructField(p, keyed.schema[i].dataType) for i, p in enumerate(places)]).add("pieces", T.ArrayType(T.IntegerType())).add(
         "n_pieces", T.LongType()).add("lossless", T.BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,9 +325,9 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
                 cols = [batch.column(i).slice(lo, hi - lo) for i in range(len(own))]
                 yield pa.RecordBatch.from_arrays(
                     [*cols, lists, pa.array(counts, pa.int64(), mask=gone), pa.array(same, pa.bool_(), mask=gone)],
-                    names=[*own, *made])
+                    names=[*places, *made])
 
-    return keyed.mapInArrow(run, schema)
+    return keyed.toDF(*places, "__key").mapInArrow(run, schema).toDF(*own, *made)
 
 
 def decode(coded: DataFrame, pieces: str = "pieces", model: str = MODEL) -> DataFrame:

@@ -12,7 +12,8 @@ A task returns only a spanning forest of the links it found, so groups of near c
 turn into all their pairs, and equal fingerprints are collapsed to one before the join.
 
 Defined cases: a null or wordless text has fingerprint zero and is linked like any other; fewer
-words than a shingle make one shingle; rows that repeat a doc_id share its component; an empty
+words than a shingle make one shingle; rows that repeat a doc_id share its component; a null doc_id
+is no smallest id: its component has the least other id, null if there is none; an empty
 table gives no rows; other columns are not read, clashing names give way to the result's.
 """
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmine.llm.common import checkpointed, read, semi_or_anti, text_or_empty
+from cohortmine.llm.common import checkpointed, own_columns, read, semi_or_anti, text_or_empty
 from cohortmine.llm.components import components
 
 SHINGLE = 3     # words
@@ -274,7 +275,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how)
         single = semi_or_anti(kept, again, ["__id", "__t"], "left_anti")
         kept = single.unionByName(semi_or_anti(kept, again, ["__id", "__t"], "left_semi")
                                   .dropDuplicates(["__id", "__t"]))
-    return kept.select(*docs.columns)
+    return kept.select(*own_columns(docs, ()))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
