@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import LOWER
 
@@ -61,27 +62,52 @@ def test_equals_plain_count(spark, seed):
     assert got == _plain(texts, 4, 40, 50) and got
 
 
-@pytest.mark.parametrize("limits", [(60, 1 << 19, 1 << 21), (1 << 20, 15, 40), (25, 9, 16), (1 << 20, 1 << 19, 3)])
-def test_spills_and_blocks_keep_counts(limits, monkeypatch):
+LIMITS = [(60, 1 << 18, 1 << 20), (1 << 20, 15, 40), (25, 9, 16), (1 << 20, 1 << 18, 3)]
+
+
+@pytest.mark.parametrize("turn", [1, 2, 3])
+@pytest.mark.parametrize("limits", LIMITS)
+def test_spills_and_blocks_keep_counts(limits, turn, monkeypatch):
     monkeypatch.setattr(co, "BURST", 4)
+    monkeypatch.setattr(co, "SPILL_TREES", 2)
     texts = _texts(5, 60)
-    counter, got, runs = co.PhraseCounter(*limits), Counter(), []
+    every = co.FrequentFilter(np.full(4096, 255, np.uint8))
+    counter, got, runs = co.PhraseCounter(turn, every, *limits), Counter(), []
     batches = [b for lang, text in texts if text is not None for b in counter.add(lang or "und", text.encode())]
-    batches += list(counter.spill(everything=True))
-    for batch in batches:
+    for batch in [*batches, *counter.finish()]:
         rows = batch.to_pylist()
-        runs.append([(r["w1"], r["w2"], r["w3"]) for r in rows])
         for r in rows:
-            got[r["lang"], tuple(w for w in (r["w1"], r["w2"], r["w3"]) if w is not None)] += r["n"]
-    want = _plain_counts(texts)
-    assert {k: n for k, n in got.items() if k[1]} == dict(want)
-    assert sum(n for k, n in got.items() if not k[1]) == sum(n for k, n in want.items() if len(k[1]) == 1)
+            got[r["h"] if turn == 2 else (r["lang"], tuple(w for w in (r["w1"], r["w2"], r["w3"]) if w is not None))] += r["n"]
+        if turn != 2:
+            runs.append([(r["w1"], r["w2"], r["w3"]) for r in rows])
+    plain = _plain_counts(texts)
+    if turn == 2:
+        def h(lang, words):
+            return int(co._mixed(lang, [np.array([co._word_hash(w.encode())], np.uint64) for w in words]).view(np.int64)[0])
+        assert dict(got) == {h(lang, w): n for (lang, w), n in plain.items() if len(w) == 2}
+    else:
+        sizes = {1} if turn == 1 else {2, 3}
+        assert {k: n for k, n in got.items() if k[1]} == {k: n for k, n in plain.items() if len(k[1]) in sizes}
+    if turn == 1:
+        assert sum(n for k, n in got.items() if not k[1]) == sum(n for k, n in plain.items() if len(k[1]) == 1)
     for run in runs:  # sorted by the words' bytes
         as_bytes = [tuple(w.encode() if w is not None else b"" for w in r) for r in run]
         assert as_bytes == sorted(as_bytes)
     assert not counter.tries and counter.entries == 0
 
 
+def test_filter_passes_all_frequent_phrases(spark):
+    words = [(lang, f"w{i}", None, None, 12) for i in range(500) for lang in ("en", "de")]
+    known = co._filter_of(co._word_slots(spark.createDataFrame(words, co._PHRASE)))
+
+    def h(lang, names):
+        return co._mixed(lang, [np.array([co._word_hash(w.encode()) for w in names], np.uint64)])
+
+    assert known.has(h("en", [f"w{i}" for i in range(500)])).all() and known.has(h("de", ["w7"])).all()
+    assert known.has(h("en", [f"z{i}" for i in range(2000)])).mean() < 0.1
+    assert len(co._filter_of(co._word_slots(spark.createDataFrame(words, co._PHRASE)), largest=1 << 15).bits) == 4096
+
+
 def test_scores_beyond_64_bits(spark):
     df = spark.createDataFrame([(10 ** 12, 10 ** 12 + 7, 3 * 10 ** 12)], "a long, l long, r long")
     got = df.select(co._floor_score("a", "l", "r")).first()[0]
@@ -90,6 +116,6 @@ def test_scores_beyond_64_bits(spark):
 
 def test_merge_is_one_shuffle_by_prefix(spark):
     docs = spark.createDataFrame(_texts(3, 5), "lang string, text string")
-    plan = co.phrase_runs(docs).repartition("lang", "w1", "w2").groupBy("lang", "w1", "w2", "w3").count()
+    plan = co.phrase_runs(docs, 1).repartition("lang", "w1", "w2").groupBy("lang", "w1", "w2", "w3").count()
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1
