@@ -9,6 +9,10 @@ candidates from ``L_{k-1}`` (:func:`candidates`) and counts them with one of:
   two parents' (:func:`_bitmap_levels`).
 * ``tidjoin``: every transaction's frequent (k-1)-itemsets are extended by its later
   frequent items with an equi-join on ``tid`` (:func:`_tidjoin_levels`).
+* ``vertical``: adaptive vertical sets of transaction groups, candidates counted along a
+  broadcast prefix tree (:func:`_vertical_levels`).
+* ``partition``: two passes without a level loop: every group mined by itself, the union of the
+  results counted once (:func:`_partition_levels`).
 * ``fpgrowth``: Spark ML FP-growth over the baskets, then the same filters.
 
 Counts aggregate map-side first, so a popular itemset costs one row per map task
@@ -32,6 +36,7 @@ from pyspark.sql import types as T
 from cohortmine.functions import reference_count, support_passes
 from cohortmine.operators.fpgrowth import frequent_sets
 from cohortmine.operators.joins import BROADCAST_BYTES, broadcast_if, itemset_bytes
+from cohortmine.operators.vertical import END, GROUP_TIDS, candidate_counts, local_itemsets, pair_counts, vertical_groups
 from cohortmine.schemas import DEFAULT_MIN_SUPPORT, ITEMSET
 from cohortmine.session import ensure_checkpoint_dir, held
 
@@ -161,6 +166,9 @@ def least_count(n: int, min_support: float, count_mode: str = "exact") -> int:
     return high
 
 
+METHODS = ("bitmap", "vertical", "partition", "tidjoin", "fpgrowth")
+
+
 def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                   max_size: int | None = None, count_mode: str = "exact",
                   method: str = "bitmap", tid: str = "tid", item: str = "item",
@@ -181,13 +189,16 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
       :func:`_bitmap_levels`. ``cache_levels`` caches a level's AND results instead of
       writing them to a checkpoint; the columnar cache packs about 10,000 of these 4 KiB
       rows a task, so it wants 1 GiB of heap for each task slot.
+    * ``'vertical'``: tid lists, diffsets or bitmaps, whichever is smallest, see
+      :func:`_vertical_levels`.
+    * ``'partition'``: two passes, see :func:`_partition_levels`.
     * ``'tidjoin'``: per-transaction extension join, see :func:`_tidjoin_levels`.
     * ``'fpgrowth'``: Spark ML FP-growth, then the strict / reference filter. Fast on dense
       data; builds each conditional tree in one task.
     """
     if method == "levelwise":
         method = "bitmap"
-    if method not in ("bitmap", "tidjoin", "fpgrowth"):
+    if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
     if max_size is not None and max_size < 1:
         raise ValueError("max_size must be at least 1")
@@ -218,6 +229,10 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                            "left_semi").select("tid", "item")
             if method == "fpgrowth":
                 levels += _fpgrowth_levels(f, n, min_support, max_size, count_mode, passes)
+            elif method == "vertical":
+                levels += _vertical_levels(f, n, max_size, count_mode, passes, broadcast_bytes)
+            elif method == "partition":
+                levels += _partition_levels(f, n, min_support, max_size, count_mode, passes, broadcast_bytes)
             elif method == "bitmap":
                 levels += _bitmap_levels(f, n, m1, max_size, count_mode, passes, broadcast_bytes, cache_levels)
             else:
@@ -403,6 +418,104 @@ def _bitmap_levels(f: DataFrame, n: int, m1: int, max_size: int | None, count_mo
     return out
 
 
+# ---- vertical sets of transaction groups -------------------------------------------
+
+# Bytes of a candidate in the broadcast prefix tree, beside 8 a item (int64 rows).
+CANDIDATE_BYTES = 24
+# Partition mining asks for this many transactions of an itemset in a group at least; below, a
+# group's own mining would list chance combinations and the level loop is used instead.
+LOCAL_LEAST = 8
+
+
+def _group_number(n: int, parallelism: int, smallest: int = 2048) -> int:
+    """Groups of at most GROUP_TIDS transactions, on small data enough to use every slot."""
+    return max(-(-n // GROUP_TIDS), min(parallelism, -(-n // smallest)), 1)
+
+
+def _counted(groups: DataFrame, cand: DataFrame, rows: int, width: int, broadcast_bytes: int) -> DataFrame:
+    """(items, cnt) of candidates over all groups, by prefix trees that fit the broadcast bound.
+
+    Candidates beyond the bound are split by the hash of all their items but the last, so the
+    members of a prefix class stay together; every part is one pass over the groups.
+    """
+    parts = max(1, -(-rows * (CANDIDATE_BYTES + 8 * width) // broadcast_bytes))
+    out = None
+    for part in range(parts):
+        mine = cand if parts == 1 else cand.filter(
+            F.pmod(F.xxhash64(F.slice("items", 1, F.size("items") - 1)), F.lit(parts)) == part)
+        lists = mine.select("items").toArrow().column(0).combine_chunks()  # rows / parts of them: bounded
+        if not len(lists):
+            continue
+        sizes = np.diff(lists.offsets.to_numpy())
+        tree = np.full((len(lists), int(sizes.max())), END, np.int64)
+        tree[np.arange(tree.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
+        found = candidate_counts(groups, tree)
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else cand.sparkSession.createDataFrame([], "items array<int>, cnt long")
+
+
+def _vertical_levels(f: DataFrame, n: int, max_size: int | None, count_mode: str, passes,
+                     broadcast_bytes: int) -> list[DataFrame]:
+    """Levels k >= 2 over :func:`cohortmine.operators.vertical.vertical_groups`.
+
+    The groups are written once and never shuffled again: a level broadcasts its candidates as a
+    prefix tree (bytes checked, in parts beyond the bound), tasks walk it with their groups' sets
+    and send one row a candidate. No level's sets are written, those of a prefix are made anew on
+    the way down. Pairs need no candidates: those that co-occur are counted.
+    """
+    groups = vertical_groups(f, _group_number(n, f.sparkSession.sparkContext.defaultParallelism))
+    out, k, found = [], 2, pair_counts(groups)
+    try:
+        while True:
+            lk, mk = _checkpoint_counted(found.select("items", _count_col(F.col("cnt"), k, count_mode).alias("cnt"))
+                                         .filter(passes(F.col("cnt"))))
+            if mk == 0:
+                _drop_checkpoint(lk)
+                break
+            out.append(_level(lk, k))
+            if k == max_size or mk < 2:
+                break
+            k += 1
+            cand, rows = _checkpoint_counted(candidates(lk, k))
+            if rows == 0:
+                _drop_checkpoint(cand)
+                break
+            found = _counted(groups, cand, rows, k, broadcast_bytes)
+    finally:
+        _drop_checkpoint(groups)
+    return out
+
+
+def _partition_levels(f: DataFrame, n: int, min_support: float, max_size: int | None, count_mode: str,
+                      passes, broadcast_bytes: int) -> list[DataFrame]:
+    """Sizes k >= 2 in two passes: groups mined by themselves, their union counted over all.
+
+    An itemset of at least ``c`` of n transactions has its share of c in some group, so the union
+    holds every frequent itemset; one pass with exact counts drops the others. A task's memory is
+    one group and one path of its prefix classes. Where the share of a group is fewer than
+    ``LOCAL_LEAST`` transactions the level loop counts instead.
+    """
+    least = least_count(n, min_support, count_mode)
+    parallelism = f.sparkSession.sparkContext.defaultParallelism
+    number = _group_number(n, min(parallelism, max(1, least // (8 * LOCAL_LEAST))))
+    if number > 1 and least // number < LOCAL_LEAST:
+        return _vertical_levels(f, n, max_size, count_mode, passes, broadcast_bytes)
+    groups = vertical_groups(f, number)
+    local = local_itemsets(groups, least, n, max_size)
+    union, rows = _checkpoint_counted(local.groupBy("items").agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("in_groups")))
+    if number == 1 and groups.select("g").distinct().count() == 1:
+        counted = union  # one group: its counts are the counts
+    else:
+        width = union.agg(F.max(F.size("items"))).first()[0] or 2
+        counted = _counted(groups, union, rows, width, broadcast_bytes)
+    k = F.size("items")
+    count = F.col("cnt") if count_mode == "exact" else F.call_function(
+        "div", F.col("cnt"), F.call_function("factorial", k - 1))
+    out = counted.select("items", k.alias("k"), count.cast("long").alias("cnt")).filter(passes(F.col("cnt"))).checkpoint()
+    _drop_checkpoint(groups)
+    return [out]
+
+
 # ---- per-transaction extension join ------------------------------------------------
 
 def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str, passes,

@@ -49,7 +49,7 @@ def _collect(df):
     return {tuple(r["items"]): r["cnt"] for r in df.collect()}
 
 
-@pytest.mark.parametrize("method", ["bitmap", "tidjoin", "fpgrowth"])
+@pytest.mark.parametrize("method", ["bitmap", "vertical", "partition", "tidjoin", "fpgrowth"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_matches_brute_force(spark, method, seed):
     bask = _baskets(seed)
@@ -57,7 +57,7 @@ def test_matches_brute_force(spark, method, seed):
     assert got == _brute(bask, 0.25)
 
 
-@pytest.mark.parametrize("method", ["bitmap", "tidjoin", "fpgrowth"])
+@pytest.mark.parametrize("method", ["bitmap", "vertical", "partition", "tidjoin", "fpgrowth"])
 def test_reference_mode_matches_brute_force(spark, method):
     bask = _baskets(7, n_tx=30, p=0.6)
     got = _collect(frequent_itemsets(_tx_df(spark, bask), 0.2, count_mode="reference",
@@ -190,7 +190,7 @@ def test_property_methods_equal_brute_force(spark):
             return
         want = _brute(bask, s)
         tx = _tx_df(spark, bask)
-        for method in ("bitmap", "tidjoin", "fpgrowth"):
+        for method in ("bitmap", "vertical", "partition", "tidjoin", "fpgrowth"):
             assert _collect(frequent_itemsets(tx, s, method=method)) == want, method
 
     check()
@@ -274,7 +274,7 @@ def test_methods_agree_where_the_share_is_not_a_float(spark):
     rows = [(t, 0) for t in range(100)] + [(t, 1) for t in range(7)]
     tx = spark.createDataFrame(rows, "tid long, item int")
     want = {(0,): 100, (1,): 7, (0, 1): 7}
-    for method in ("bitmap", "tidjoin", "fpgrowth"):
+    for method in ("bitmap", "vertical", "partition", "tidjoin", "fpgrowth"):
         assert _collect(frequent_itemsets(tx, 0.07, count_mode="reference", method=method)) == want, method
 
 
@@ -290,7 +290,7 @@ def test_least_count_at_equality(n, c):
         assert least_count(n, s, "reference") == min([k for k in range(n + 1) if f32(k / n) > s], default=n + 1)
 
 
-@pytest.mark.parametrize("method", ["bitmap", "tidjoin", "fpgrowth"])
+@pytest.mark.parametrize("method", ["bitmap", "vertical", "partition", "tidjoin", "fpgrowth"])
 def test_reference_mode_counts_rows_of_single_items(spark, method):
     # item 2 is in 2 of 4 transactions but in 4 rows; pairs count transactions.
     rows = [(1, 1), (2, 1), (3, 1), (4, 1), (1, 2), (1, 2), (2, 2), (2, 2)]
