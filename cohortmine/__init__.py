@@ -17,17 +17,20 @@ from cohortmine.operators.cohort import (
     strong_measurements,
     subject_labels,
 )
+from cohortmine.operators.condensed import closed_itemsets, maximal_itemsets, supports_from_closed
 from cohortmine.operators.fpgrowth import fp_itemsets, fp_model, fp_rules
 from cohortmine.operators.itemsets import (
     candidates,
     cooccurring_pairs,
     frequent_itemsets,
+    frequent_pairs,
     item_counts,
     mine_itemsets,
 )
 from cohortmine.operators.rules import (
     association_rules,
     expand_subsets,
+    grown_rules,
     rule_complement,
     support_report,
 )
@@ -37,6 +40,7 @@ __all__ = [
     "association_rules",
     "baskets",
     "candidates",
+    "closed_itemsets",
     "cohort",
     "cohort_measurements",
     "cooccurring_pairs",
@@ -46,13 +50,17 @@ __all__ = [
     "fp_model",
     "fp_rules",
     "frequent_itemsets",
+    "frequent_pairs",
+    "grown_rules",
     "item_counts",
     "label_counts",
+    "maximal_itemsets",
     "mine_itemsets",
     "rule_complement",
     "strong_measurements",
     "subject_labels",
     "support_report",
+    "supports_from_closed",
     "total_text_length",
     "transaction_count",
     "transactions",

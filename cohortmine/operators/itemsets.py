@@ -141,6 +141,28 @@ def cooccurring_pairs(tx: DataFrame) -> DataFrame:
             .select(F.array("item", "other").alias("items"), "cnt"))
 
 
+PAIR_SLOTS = 1 << 20
+
+
+def frequent_pairs(tx: DataFrame, least: int, slots: int = PAIR_SLOTS) -> DataFrame:
+    """``(items, cnt)`` of the pairs in at least ``least`` transactions, by hashed pair buckets first.
+
+    A first pass counts pairs by the hash slot they fall into, a table of at most ``slots`` rows
+    whatever the number of items; a pair in a slot counted less than ``least`` times cannot be
+    frequent. The second pass shuffles and counts only pairs of the other slots, exactly. That pays
+    where most pairs are rare: a pair then costs a partial count in a small table, not a group.
+    ``tx`` holds distinct ``(tid, item)`` rows.
+    """
+    other = tx.select("tid", F.col("item").alias("other"))
+    pairs = tx.join(other, "tid").filter(F.col("item") < F.col("other")).select(
+        "item", "other", F.pmod(F.xxhash64("item", "other"), F.lit(slots)).cast("int").alias("slot"))
+    hot = pairs.groupBy("slot").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= least).select("slot")
+    # at most `slots` rows of one int: bounded by the parameter
+    kept = pairs.join(F.broadcast(hot), "slot", "left_semi")
+    return (kept.groupBy("item", "other").agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") >= least)
+            .select(F.array("item", "other").alias("items"), "cnt"))
+
+
 def frequent_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
                       max_size: int | None = None, count_mode: str = "exact",
                       method: str = "bitmap", tid: str = "tid", item: str = "item",
@@ -210,7 +232,11 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
     ensure_checkpoint_dir(spark)
     rows = (tx.select(F.col(tid).alias("tid"), _int_id(F.col(item)).alias("item"))
             .filter(F.col("tid").isNotNull() & F.col("item").isNotNull()))
-    with held(rows.distinct()) as pairs:
+    # Reference mode counts single items by rows: one held table has the pairs and their rows.
+    reference = count_mode == "reference"
+    once = rows.groupBy("tid", "item").agg(F.count(F.lit(1)).alias("c")) if reference else rows.distinct()
+    with held(once) as table:
+        pairs = table.select("tid", "item")
         if n is None:
             n = pairs.select("tid").distinct().count()
         if n == 0:
@@ -219,8 +245,8 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
         def passes(c):
             return support_passes(c, n, min_support, count_mode)
 
-        single = rows if count_mode == "reference" else pairs
-        l1, m1 = _checkpoint_counted(single.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
+        single = F.sum("c") if reference else F.count(F.lit(1))
+        l1, m1 = _checkpoint_counted(table.groupBy("item").agg(single.alias("cnt"))
                                      .filter(passes(F.col("cnt"))))
         levels = [l1.select(F.array("item").alias("items"), F.lit(1).alias("k"),
                             F.col("cnt").cast("long").alias("cnt"))]

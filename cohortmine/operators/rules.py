@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortmine.functions import half_up_milli, milli_to_double, subset_by_mask
 from cohortmine.schemas import DEFAULT_MIN_CONFIDENCE
+from cohortmine.session import ensure_checkpoint_dir
 
 
 MASK_BITS = 16        # bits of a mask that one generator spans
@@ -77,6 +78,50 @@ def association_rules(itemsets: DataFrame, counted: DataFrame | None = None,
     return out.orderBy(F.desc("confidence"), "antecedent", "consequent") if ordered else out
 
 
+def grown_rules(itemsets: DataFrame, counted: DataFrame | None = None,
+                min_confidence: float = DEFAULT_MIN_CONFIDENCE, k: int | None = None,
+                ordered: bool = False) -> DataFrame:
+    """H6 by growing consequents: the rows of :func:`association_rules`, without its 2^k subsets.
+
+    For one itemset the confidence of A -> C falls (or stays) as items move from A to C, since the
+    count of A grows. So consequents grow level by level: two passing ones that differ in their
+    last item make one of the next size, and what fails is never extended. Work follows the rules
+    that pass, not the subsets there are; an itemset of any size can be split.
+
+    ``counted`` must hold every subset of an itemset with its true count, as a miner's result does.
+    Where subsets are missing or counts contradict each other (D6, D13), a failing consequent says
+    nothing about larger ones: use :func:`association_rules` there.
+
+    Each level is one keyed join within the itemsets and one with the antecedents' counts, cut by a
+    reliable checkpoint; the driver sees one row count a level.
+    """
+    ensure_checkpoint_dir(itemsets.sparkSession)
+    src = itemsets if k is None else itemsets.filter(F.size("items") == k)
+    ante = (itemsets if counted is None else counted).select(
+        F.col("items").alias("antecedent"), F.col("cnt").alias("ante_cnt"))
+
+    def passing(grown: DataFrame) -> DataFrame:
+        split = grown.withColumn("antecedent", F.array_except("items", "consequent"))
+        rated = split.join(ante, "antecedent").withColumn("confidence", confidence("cnt", "ante_cnt"))
+        return rated.filter(F.col("confidence") > F.lit(float(min_confidence))).select(
+            "items", "cnt", "antecedent", "consequent", "confidence").checkpoint()
+
+    first = src.filter(F.size("items") >= 2).select("items", "cnt", F.explode("items").alias("x"))
+    level = passing(first.select("items", "cnt", F.array("x").alias("consequent")))
+    out, size = level, 1
+    while not level.isEmpty():
+        prefix, last = F.slice("consequent", 1, size - 1), F.element_at("consequent", -1)
+        one = level.filter(F.size("items") > size + 1).select("items", "cnt", prefix.alias("prefix"), last.alias("x"))
+        two = one.select("items", "prefix", F.col("x").alias("y"))
+        grown = one.join(two, ["items", "prefix"]).filter(
+            F.array_position("items", F.col("x")) < F.array_position("items", F.col("y"))).select(
+            "items", "cnt", F.concat("prefix", F.array("x", "y")).alias("consequent"))
+        level = passing(grown)
+        out, size = out.unionByName(level), size + 1
+    rules = out.select("antecedent", "consequent", "confidence")
+    return rules.orderBy(F.desc("confidence"), "antecedent", "consequent") if ordered else rules
+
+
 def support_report(itemsets: DataFrame, n: int, k: int | None = None) -> DataFrame:
     """H5: ``(support, items)`` with support = round(cnt/n, 3) HALF_UP."""
     src = itemsets if k is None else itemsets.filter(F.size("items") == k)

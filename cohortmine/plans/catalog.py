@@ -27,10 +27,18 @@ from cohortmine.operators.cohort import (
     subject_labels,
 )
 from cohortmine.operators.fpgrowth import fp_itemsets, fp_rules
-from cohortmine.operators.itemsets import cooccurring_pairs, item_counts, mine_itemsets
+from cohortmine.operators.condensed import closed_itemsets, maximal_itemsets, supports_from_closed
+from cohortmine.operators.itemsets import (
+    cooccurring_pairs,
+    frequent_pairs,
+    item_counts,
+    least_count,
+    mine_itemsets,
+)
 from cohortmine.operators.rules import (
     association_rules,
     expand_subsets,
+    grown_rules,
     rule_complement,
     support_report,
 )
@@ -68,6 +76,7 @@ DENSE_MIN_VALUE = 20000.0
 DENSE_MIN_SUPPORT = 0.2
 DENSE_MAX_SIZE = 3
 ROWS_MIN_SUPPORT = 0.35
+SPARSE_MIN_SUPPORT = 0.003
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +99,13 @@ def m1_itemsets(spark: SparkSession, sf: str, max_size: int | None = 3,
                          count_mode=count_mode, method=method)
 
 
+def supplier_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """(tid, item) = (customer, supplier) of its orders: short baskets over many items."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", F.col("l_suppkey").cast("int").alias("item"))
+    orders = read_table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("tid"))
+    return li.join(orders, li.l_orderkey == orders.o_orderkey).select("tid", "item").distinct()
+
+
 def _strings(df: DataFrame, *cols: str) -> DataFrame:
     """Replace the named array columns by their ``'a;b;'`` text."""
     return df.select(*[itemset_string(c).alias(c) if c in cols else F.col(c) for c in df.columns])
@@ -150,9 +166,49 @@ def q_item_row_counts(spark, sf):
 
 def q_candidate_pairs(spark, sf):
     """The candidates of size 2 that occur at all: pairs of frequent items in one transaction."""
-    its, _ = m1_itemsets(spark, sf, max_size=1)
+    tx = m1_transactions(spark, sf).checkpoint()  # read three times: the sources are joined once
+    its, _ = mine_itemsets(tx, MIN_SUPPORT, max_size=1)
     frequent = its.select(F.element_at("items", 1).alias("item"))
-    return _strings(cooccurring_pairs(m1_transactions(spark, sf).join(frequent, "item", "left_semi")), "items")
+    return _strings(cooccurring_pairs(tx.join(frequent, "item", "left_semi")), "items")
+
+
+def q_pairs_hashed(spark, sf):
+    """Frequent pairs of the sparse baskets: each customer's suppliers, pair slots counted first."""
+    tx = supplier_transactions(spark, sf).checkpoint()
+    n = tx.select("tid").distinct().count()
+    return _strings(frequent_pairs(tx, least_count(n, SPARSE_MIN_SUPPORT)), "items")
+
+
+def q_itemsets_low_support(spark, sf):
+    """Many items at a low support: sorted tid lists instead of 4 KiB bitmaps."""
+    its, _ = mine_itemsets(supplier_transactions(spark, sf), SPARSE_MIN_SUPPORT, max_size=2, method="vertical")
+    return _strings(its, "items")
+
+
+def q_itemsets_vertical(spark, sf):
+    return _strings(_dense(spark, sf, "vertical")[0], "items")
+
+
+def q_itemsets_partition(spark, sf):
+    return _strings(_dense(spark, sf, "partition")[0], "items")
+
+
+def q_closed_itemsets(spark, sf):
+    return _strings(closed_itemsets(_dense(spark, sf, "partition")[0]), "items")
+
+
+def q_maximal_itemsets(spark, sf):
+    return _strings(maximal_itemsets(_dense(spark, sf, "partition")[0]), "items")
+
+
+def q_itemsets_from_closed(spark, sf):
+    """The dense result condensed to its closed itemsets and rebuilt from them."""
+    return _strings(supports_from_closed(closed_itemsets(_dense(spark, sf, "partition")[0])), "items")
+
+
+def q_rules_grown(spark, sf):
+    return _strings(grown_rules(_dense(spark, sf, "partition")[0], min_confidence=MIN_CONFIDENCE, k=3, ordered=True),
+                    "antecedent", "consequent")
 
 
 def q_itemsets_pairs(spark, sf):
@@ -335,6 +391,14 @@ QUERIES: dict[str, Query] = {
     "itemsets_reference_rows": q_itemsets_reference_rows,
     "itemsets_dense": q_itemsets_dense,
     "itemsets_dense_fpgrowth": q_itemsets_dense_fpgrowth,
+    "itemsets_vertical": q_itemsets_vertical,
+    "itemsets_partition": q_itemsets_partition,
+    "itemsets_low_support": q_itemsets_low_support,
+    "pairs_hashed": q_pairs_hashed,
+    "closed_itemsets": q_closed_itemsets,
+    "maximal_itemsets": q_maximal_itemsets,
+    "itemsets_from_closed": q_itemsets_from_closed,
+    "rules_grown": q_rules_grown,
     "report_dense": q_report_dense,
     "rules_dense": q_rules_dense,
     "support_report": q_support_report,

@@ -24,6 +24,7 @@ from cohortmine.plans.catalog import (
     MIN_SUPPORT,
     REFERENCE_MIN_SUPPORT,
     ROWS_MIN_SUPPORT,
+    SPARSE_MIN_SUPPORT,
 )
 
 
@@ -145,6 +146,23 @@ def _dense() -> str:
     return _m1_mining(DENSE_MAX_SIZE, DENSE_MIN_SUPPORT, min_value=DENSE_MIN_VALUE)
 
 
+def _dense_sets() -> str:
+    """The dense itemsets as lists beside their text: s(items, k, cnt, xs)."""
+    parts = []
+    for k in range(1, DENSE_MAX_SIZE + 1):
+        cols = [f"i{j}" for j in range(1, k + 1)]
+        parts.append(f"SELECT {_itemstr(cols)} AS items, {k} AS k, CAST(cnt AS BIGINT) AS cnt, [{', '.join(cols)}] AS xs FROM L{k}")
+    return _dense() + ",\ns AS (" + "\nUNION ALL ".join(parts) + ")"
+
+
+def _sparse() -> str:
+    """Customer and supplier baskets with the pairs counted."""
+    return f"""WITH tx AS (SELECT DISTINCT o_custkey AS tid, CAST(l_suppkey AS INTEGER) AS item
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+nn AS (SELECT count(DISTINCT tid) AS n FROM tx)
+{_level_ctes(2, SPARSE_MIN_SUPPORT)}"""
+
+
 _COUNTED = f"""counted AS (
   SELECT {_itemstr(['i1'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM L1
   UNION ALL SELECT {_itemstr(['i1', 'i2'])}, CAST(cnt AS BIGINT) FROM L2)"""
@@ -239,6 +257,20 @@ L2 AS (
 {_levels_union(2)}""",
     "itemsets_dense": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
     "itemsets_dense_fpgrowth": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "itemsets_vertical": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "itemsets_partition": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "itemsets_low_support": _sparse() + "\n" + _levels_union(2),
+    "pairs_hashed": _sparse() + f"""
+SELECT {_itemstr(['i1', 'i2'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM L2""",
+    "closed_itemsets": _dense_sets() + """
+SELECT items, k, cnt FROM s WHERE NOT EXISTS (
+  SELECT 1 FROM s z WHERE z.k > s.k AND z.cnt = s.cnt AND list_has_all(z.xs, s.xs))""",
+    "maximal_itemsets": _dense_sets() + """
+SELECT items, k, cnt FROM s WHERE NOT EXISTS (SELECT 1 FROM s z WHERE z.k > s.k AND list_has_all(z.xs, s.xs))""",
+    "itemsets_from_closed": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "rules_grown": _dense() + ",\n" + _RULE_COMPLEMENT + f"""
+SELECT antecedent, consequent, {_milli('cnt', 'ante_cnt')} AS confidence FROM rc
+WHERE {_milli('cnt', 'ante_cnt')} > {_dbl(MIN_CONFIDENCE)}""",
     "report_dense": _dense() + f"""
 SELECT {_milli('cnt', '(SELECT n FROM nn)')} AS support, {_itemstr(['i1', 'i2', 'i3'])} AS items
 FROM L3""",
