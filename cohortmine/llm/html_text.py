@@ -17,7 +17,8 @@ article look like a template. Style tree counts aggregate by (host, path, text)
 sums: no task holds a host.
 
 Defined cases: null or empty html gives an empty text; unclosed, misnested and truncated markup
-is read as far as it goes; a null or odd url belongs to the host ""; repeated rows get equal
+is read as far as it goes, in linear time; a ``<`` before a quote that never closes is text; a path of more than
+LONG_PATH characters is known below by its hash; a null or odd url belongs to the host ""; repeated rows get equal
 results; an empty table gives no rows; other columns are not read, clashing names give way.
 """
 
@@ -68,25 +69,30 @@ NOISE_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
 NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_OPEN = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_PLAIN = re.compile(r'<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s+[\w-]+="[^"<>]*")*)>')  # most tags; passes no other <
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+LONG_PATH = 1000  # a longer path is written as its hash in the paths below it
+_PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51 % ((1 << 61) - 1)  # of the hashes of text sequences
 
 
 class Node:
     """An element: tag, path of tags and classes, whether it is noise, children in order.
 
     ``named`` is 1 if only a part of a class or id makes it noise, 2 if a whole one does, else 0;
-    ``article`` tells that it is an article or within one.
+    ``article`` tells that it is an article or within one, ``tagged`` the same of the tag alone.
+    ``stem`` is what the paths of its children begin with.
     """
 
-    __slots__ = ("article", "children", "named", "noise", "path", "root", "tag")
+    __slots__ = ("article", "children", "named", "noise", "path", "root", "stem", "tag", "tagged")
 
-    def __init__(self, tag: str, path: str, noise: bool, root: bool = False, named: int = 0, article: bool = False):
+    def __init__(self, tag: str, path: str, noise: bool, root: bool = False, named: int = 0, article: bool = False,
+                 tagged: bool = False):
         self.tag, self.path, self.noise, self.root, self.named, self.article = tag, path, noise, root, named, article
+        self.tagged = tagged
+        self.stem = path if len(path) <= LONG_PATH else "#" + xxhash.xxh128_hexdigest(path.encode("utf-8", "surrogatepass"))
         self.children: list[Node | str] = []
 
 
@@ -99,7 +105,7 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
     role = found.get("role", "").lower()
     root = tag in ("article", "main") or role in ("main", "article")
     named = 0
-    noise = tag in NOT_TEXT or (tag == "header" and not _within(parent, "article"))
+    noise = tag in NOT_TEXT or (tag == "header" and not parent.tagged)
     if not noise and found and tag not in ("html", "body"):
         if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or role in NOISE_ROLES \
                 or _HIDDEN.search(found.get("style", "")):
@@ -110,58 +116,149 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
             if root:
                 noise = parent.article and bool(words & COMMENT_WORDS)
             else:
-                noise = bool(words & NOISE_WORDS) or ("header" in words and not _within(parent, "article"))
+                noise = bool(words & NOISE_WORDS) or ("header" in words and not parent.tagged)
                 named = noise * (2 if {x.lower() for x in names} & (NOISE_WORDS | {"header"}) else 1)
     name = ".".join([tag, *sorted(kind)])
     article = parent.article or tag == "article" or role == "article"
-    return Node(tag, f"{parent.path}/{name}", noise, root, named, article)
+    return Node(tag, f"{parent.stem}/{name}", noise, root, named, article, parent.tagged or tag == "article")
 
 
-def _within(node: Node, tag: str) -> bool:
-    return f"/{tag}" in node.path
+class _Next:
+    """First match of a pattern at or after a place; text between is looked at once."""
+
+    __slots__ = ("at", "found", "pattern", "text")
+
+    def __init__(self, pattern: str, text: str):
+        self.pattern, self.text, self.at, self.found = re.compile(pattern), text, 0, -1
+
+    def __call__(self, at: int) -> int:
+        if not self.at <= at <= self.found:
+            m = self.pattern.search(self.text, at)
+            self.at, self.found = at, m.start() if m else len(self.text)
+        return self.found
+
+
+class _Scanner:
+    """Tokens of a page, each found in time linear in the text passed over.
+
+    A quote without its closing one ends no tag: the ``<`` before it is text. Every such quote is
+    remembered, so no later ``<`` walks the same way again; so is that no ``]]>`` follows.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.name_end = _Next(r"[\s/>]", text)
+        self.stop = _Next(r"[>\"']", text)
+        self.lost: set[int] = set()  # quotes from which a tag does not end
+        self.cdata = True            # whether a ]]> may follow
+
+    def token(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, kind, tag or text, attributes) of the next token; kinds: open, close, text, skip."""
+        text = self.text
+        while (m := _OPEN.search(text, at)) is not None:
+            start, at = m.start(), m.end()
+            if text[at - 1] in "!?":
+                return self._declaration(start)
+            plain = _PLAIN.match(text, start)
+            if plain:
+                return start, plain.end(), "close" if plain[1] else "open", plain[2].lower(), plain[3]
+            name = at - 1
+            closing = text[name - 1] == "/"
+            after = self.name_end(name)
+            end = self._tag_end(after)
+            if end >= 0:
+                return (start, min(end + 1, len(text)), "close" if closing else "open",
+                        text[name:after].lower(), "" if closing else text[after:end])
+        return None
+
+    def _declaration(self, start: int) -> tuple[int, int, str, str, str]:
+        text = self.text
+        if text.startswith("<!--", start):
+            end = text.find("-->", start + 4)
+            return start, len(text) if end < 0 else end + 3, "skip", "", ""
+        if self.cdata and text.startswith("<![CDATA[", start):
+            end = text.find("]]>", start + 9)
+            if end >= 0:
+                return start, end + 3, "text", text[start + 9:end], ""
+            self.cdata = False
+        end = text.find(">", start + 2)
+        return start, len(text) if end < 0 else end + 1, "skip", "", ""
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag (the text's end if it is cut off), -1 if a quote stays open."""
+        text, passed = self.text, []
+        while True:
+            at = self.stop(at)
+            if at == len(text) or text[at] == ">":
+                return at
+            passed.append(at)
+            end = -1 if at in self.lost else text.find(text[at], at + 1)
+            if end < 0:
+                self.lost.update(passed)
+                return -1
+            at = end + 1
+
+
+class _Open:
+    """The open elements, outermost first, with the places of each tag."""
+
+    def __init__(self, top: Node):
+        self.stack = [top]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, tags) -> int:
+        """Place of the innermost element of these tags, 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, tags, within=()) -> None:
+        """Close the innermost element of ``tags`` and all in it, unless one of ``within`` is nearer."""
+        at = self.last(tags)
+        if at and at > self.last(within):
+            for node in reversed(self.stack[at:]):
+                self.places[node.tag].pop()
+            del self.stack[at:]
 
 
 def parse(text: str) -> Node:
-    """The element tree of a page; tolerant of what browsers tolerate."""
+    """The element tree of a page, in linear time; tolerant of what browsers tolerate."""
     top = Node("", "", False)
-    stack = [top]
+    live = _Open(top)
+    scan = _Scanner(text)
     at = 0
-    size = len(text)
-    while at < size:
-        m = _TOKEN.search(text, at)
-        if m is None:
-            stack[-1].children.append(entities.unescape(text[at:]))
-            break
-        if m.start() > at:
-            stack[-1].children.append(entities.unescape(text[at:m.start()]))
-        at = m.end()
-        if m["cdata"] is not None:
-            stack[-1].children.append(m["cdata"])
-        if m["tag"] is None:
-            continue
-        tag = m["tag"].lower()
-        if m["end"]:
+    while (found := scan.token(at)) is not None:
+        start, end, kind, tag, attrs = found
+        parent = live.stack[-1]
+        if start > at:
+            parent.children.append(entities.unescape(text[at:start]))
+        at = end
+        if kind == "text":
+            parent.children.append(tag)
+        elif kind == "close":
             if tag == "br":
-                stack[-1].children.append(Node("br", stack[-1].path + "/br", False))
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-            continue
-        if tag in CLOSED_BY:
-            _close(stack, *CLOSED_BY[tag])
-        if tag in CLOSES_P:
-            _close(stack, "p", ("table", "button", "object", "td", "th", "caption"))
-        node = _element(tag, m["attrs"], stack[-1])
-        stack[-1].children.append(node)
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(text, at)
-            if tag in ("title", "textarea"):
-                node.children.append(entities.unescape(text[at:end.start()]))
-            at = end.end()
-        elif tag not in VOID:
-            stack.append(node)
+                parent.children.append(Node("br", parent.stem + "/br", False))
+            else:
+                live.close((tag,))
+        elif kind == "open":
+            if tag in CLOSED_BY:
+                live.close(CLOSED_BY[tag][0].split(), CLOSED_BY[tag][1])
+            if tag in CLOSES_P:
+                live.close(("p",), ("table", "button", "object", "td", "th", "caption"))
+            parent = live.stack[-1]
+            node = _element(tag, attrs, parent)
+            parent.children.append(node)
+            if tag in RAW:
+                stop = re.compile(rf"</{tag}\s*>|\Z", re.I).search(text, at)
+                if tag in ("title", "textarea"):
+                    node.children.append(entities.unescape(text[at:stop.start()]))
+                at = stop.end()
+            elif tag not in VOID:
+                live.push(node)
+    if at < len(text):
+        live.stack[-1].children.append(entities.unescape(text[at:]))
     _free(top)
     return top
 
@@ -192,17 +289,6 @@ def _free(top: Node) -> None:
             return
 
 
-def _close(stack: list[Node], tags: str, within: tuple[str, ...]) -> None:
-    """Pop to the innermost of ``tags`` unless an element of ``within`` is nearer."""
-    names = tags.split()
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in names:
-            del stack[i:]
-            return
-        if stack[i].tag in within:
-            return
-
-
 def _roots(top: Node) -> list[Node]:
     """Where the main text stands: outermost articles, else main elements, else the page."""
     for tags in ("article", "main"):
@@ -274,27 +360,37 @@ def blocks(top: Node, cut: frozenset[str] = frozenset()) -> list[str]:
 
 
 def style_nodes(top: Node) -> dict[str, tuple[int, int]]:
-    """path -> (hash of the child sequences, hash of the texts) of a page's elements there."""
+    """path -> (hash of the child sequences, hash of the texts) of a page's elements there.
+
+    The texts of an element are a sequence, those of its children included; sequences are joined by
+    their polynomial hashes when an element closes, so a text is read once however deep it stands.
+    """
     shape: dict[str, list[str]] = {}
-    words: dict[str, xxhash.xxh64] = {}
-    stack: list[tuple[Node | str, tuple[str, ...]]] = [(c, ()) for c in reversed(top.children)]
+    words: dict[str, tuple[int, int]] = {}
+    live: list[tuple[int, int]] = []  # of each open element: hash and power of the base
+    stack: list[Node | str | tuple[str]] = list(reversed(top.children))
+
+    def joined(a: tuple[int, int], b: tuple[int, int]) -> tuple[int, int]:
+        return (a[0] * b[1] + b[0]) % _PRIME, a[1] * b[1] % _PRIME
+
     while stack:
-        x, above = stack.pop()
+        x = stack.pop()
         if isinstance(x, str):
             data = " ".join(x.split()).encode("utf-8", "surrogatepass")
-            if data:
-                for p in above:
-                    words[p].update(data)
-            continue
-        if x.noise:  # cut anyway
-            continue
-        own = x.path
-        shape.setdefault(own, []).append(",".join(c.tag for c in x.children if isinstance(c, Node)))
-        words.setdefault(own, xxhash.xxh64(seed=1))
-        inner = (*above, own) if own not in above else above
-        stack += [(c, inner) for c in reversed(x.children)]
+            if data and live:
+                live[-1] = joined(live[-1], (xxhash.xxh64_intdigest(data) % _PRIME, _BASE))
+        elif isinstance(x, tuple):
+            value = live.pop()
+            words[x[0]] = joined(words[x[0]], value) if x[0] in words else value
+            if live:
+                live[-1] = joined(live[-1], value)
+        elif not x.noise:  # noise is cut anyway
+            shape.setdefault(x.path, []).append(",".join(c.tag for c in x.children if isinstance(c, Node)))
+            live.append((0, 1))
+            stack.append((x.path,))
+            stack += reversed(x.children)
     signed = lambda v: v - (1 << 64) if v >> 63 else v
-    return {p: (signed(xxhash.xxh64_intdigest("|".join(s))), signed(words[p].intdigest())) for p, s in shape.items()}
+    return {p: (signed(xxhash.xxh64_intdigest("|".join(s))), words[p][0]) for p, s in shape.items()}
 
 
 def host_of(url) -> F.Column:

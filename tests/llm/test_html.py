@@ -1,3 +1,8 @@
+import collections
+import math
+import time
+
+import helpers
 import pytest
 
 from cohortmine.llm import html_text as ht
@@ -109,3 +114,81 @@ def test_template_branches_inside_the_article_are_cut(spark, tag):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in ht.extract(df).collect()}
     assert got == {i: f"Shared line\nown {i}" for i in range(20)}
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<a " * 330_000 + '"', None),
+    ("<![CDATA[>" * 100_000, ""),
+    ("<div>" * 200_000 + "deep", "deep"),
+    ("<p><table>" + "<div>" * 200_000 + "deep", "deep"),
+    ("<div>" * 80_000 + "</span>" * 80_000 + "x", "x"),
+    ('<a "x" ' * 140_000 + "'", None),
+    ('<div class="' + "a" * 500_000 + '">' + "<b>x</b>" * 60_000, "x" * 60_000),
+])
+def test_hostile_pages_take_linear_time(html, text):
+    start = time.process_time()
+    top = ht.parse(html)
+    got = "\n".join(ht.blocks(top))
+    ht.style_nodes(top)
+    assert time.process_time() - start < 20  # minutes to hours in quadratic time
+    assert got == (html.strip() if text is None else text)
+
+
+def test_long_paths_still_tell_elements_apart():
+    deep = "".join(f"<div class=c{i}>" for i in range(400))
+    paths = ht.style_nodes(ht.parse(deep + "<i>a</i><b>b</b>"))
+    assert len(paths) == 402 and max(map(len, paths)) < 2 * ht.LONG_PATH
+
+
+def _plain_tree(pages):
+    """(host, path) -> (pages, presentation, content) from texts and tags themselves, no hashes."""
+    seen = {}
+    for host, html in {(p["url"].split("/")[2].removeprefix("www."), p["html"] or "") for p in pages}:
+        page = {}
+
+        def walk(node, html_path, page=page):
+            texts = []
+            path = f"{html_path}/{node.path.rsplit('/', 1)[-1]}"
+            at = len(page.setdefault(path, []))
+            page[path].append(None)
+            for c in node.children:
+                if isinstance(c, str):
+                    texts += [t for t in [" ".join(c.split())] if t]
+                elif not c.noise:
+                    texts += walk(c, path)
+            page[path][at] = (tuple(c.tag for c in node.children if not isinstance(c, str)), tuple(texts))
+            return texts
+
+        for c in ht.parse(html).children:
+            if not isinstance(c, str) and not c.noise:
+                walk(c, "")
+        for path, found in page.items():
+            shape, words = tuple(s for s, _ in found), tuple(t for _, w in found for t in w)
+            seen.setdefault((host, path), []).append((shape, words))
+
+    def share(values):
+        n = len(values)
+        counts = collections.Counter(values).values()
+        return 1.0 if n == 1 else -sum(c / n * math.log2(c / n) for c in counts) / math.log2(n)
+
+    return {k: (len(v), share([s for s, _ in v]), share([w for _, w in v])) for k, v in seen.items()}
+
+
+def test_style_tree_equals_a_plain_one(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {(r.host, r.path): (r.pages, r.presentation, r.content) for r in ht.style_tree(pages).collect()}
+    want = _plain_tree(helpers.table(sf, "pages"))
+    assert got.keys() == want.keys() and want
+    for k, (n, shape, words) in want.items():
+        assert got[k][0] == n and got[k][1:] == pytest.approx((shape, words), abs=1e-9)
+
+
+def test_extraction_cuts_what_the_plain_tree_rates_low(spark):
+    pages = [{"page_id": i, "url": f"http://h.example.org/{i}", "html":
+              f"<html><body><div class=k1><p>Same on all</p></div><div class=k2><p>Own text {i}</p></div></body></html>"}
+             for i in range(16)]
+    tree = _plain_tree(pages)
+    low = {p for (_, p), (n, s, w) in tree.items() if n >= ht.MIN_PAGES and max(s, w) < ht.MIN_IMPORTANCE} - {"/html"}
+    want = {p["page_id"]: "\n".join(ht.blocks(ht.parse(p["html"]), frozenset(low))) for p in pages}
+    rows = ht.extract(spark.createDataFrame([(p["page_id"], p["url"], p["html"]) for p in pages], "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in rows.collect()} == want == {i: f"Own text {i}" for i in range(16)}
