@@ -8,6 +8,9 @@ key, position), so a row's segmentation is the same in every run and partitionin
 No piece holds white space after another character, so every path passes the start of each run
 of spaces: the lattice falls apart there into segments ("words" with their leading spaces) that
 are filtered once for each distinct one and sampled for every occurrence, vectorised in numpy.
+A segment falls apart further at every place that no piece of its lattice crosses (between two
+characters without a common piece, as in most text without spaces); a stretch of more than
+LONG_STRETCH characters without such a place is filtered node by node.
 
 Weights come from the vocabulary's order, not from training: a piece of merge rank r has weight
 (r + 2) ** -alpha. Characters without a piece are written as their UTF-8 bytes. Spaces are
@@ -21,6 +24,7 @@ table gives no rows; other columns are carried, clashing names give way to the r
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -36,6 +40,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 11
 SLICE_CHARS = 500_000  # characters sampled at a time in a task
+LONG_STRETCH = 256     # a longer stretch of the lattice is filtered node by node
+FEW_DRAWS = 24         # fewer live stretches are drawn one by one
 _MARK = "▁"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -169,17 +175,32 @@ class _Lattice:
         weight = np.concatenate([vocab.weight[np.concatenate(ids)], vocab.byte_weight * size])
         node0 = start + seg[start]
         node1 = self.first_node[seg[start]] + end_local
-        del starts, ends, ids, at, h, single, left
+        del starts, ends, ids, at, h, single, left, end_local
         order = np.argsort(node1.astype(np.int64) * 64 + np.minimum(node1 - node0, 63)).astype(np.int32)
         self.node0, node1, self.piece = node0[order], node1[order], piece[order]
-        weight, step, self.char = weight[order], end_local[order], chars[start[order]]
+        weight, self.char = weight[order], chars[start[order]]
         nodes, edges = n + len(segments), len(order)
-        del order, start, end_local, piece, seg, local
-        self.first_edge = np.searchsorted(node1, np.arange(nodes, dtype=np.int32)).astype(np.int32)
+        del order, start, piece, seg, local, node0
+        self.first_edge = np.searchsorted(node1, np.arange(nodes + 1, dtype=np.int32)).astype(np.int32)
+        # Cuts: nodes that no edge passes over. Every path visits them, so a stretch between two
+        # is filtered from its own start.
+        over = np.zeros(nodes + 1, np.int32)
+        wide = node1 - self.node0 > 1
+        np.add.at(over, self.node0[wide] + 1, 1)
+        np.subtract.at(over, node1[wide], 1)
+        is_cut = np.cumsum(over[:-1], dtype=np.int32) == 0
+        self.cuts = np.flatnonzero(is_cut).astype(np.int32)
+        del over, wide
+        base = self.cuts[np.searchsorted(self.cuts, node1) - 1]
+        step = node1 - base
         alpha = np.zeros(nodes)
         prob = np.empty(edges)
-        # Forward filtering, by distance from the segment's start; edges stay in node order.
-        by_step = np.argsort(step.astype(np.uint16) if lens.max() < 1 << 16 else step, kind="stable").astype(np.int32)
+        gaps = np.diff(self.cuts) > LONG_STRETCH
+        long = np.zeros(nodes, bool)
+        long[self.cuts[:-1][gaps]] = True
+        short = np.flatnonzero(~long[base]).astype(np.int32)
+        # Forward filtering, by distance from the stretch's start; edges stay in node order.
+        by_step = short[np.argsort(step[short].astype(np.uint16), kind="stable")]
         for lo, hi in _runs(step[by_step]):
             e = by_step[lo:hi]
             v = alpha[self.node0[e]] + weight[e]
@@ -189,8 +210,11 @@ class _Lattice:
             top = np.maximum.reduceat(v, cut)
             v = np.exp(v - np.repeat(top, size_))
             total = np.add.reduceat(v, cut)
-            alpha[to[cut]] = top + np.log(total)
+            ends_at = to[cut]
+            alpha[ends_at] = np.where(is_cut[ends_at], 0.0, top + np.log(total))
             prob[e] = v / np.repeat(total, size_)
+        for k in np.flatnonzero(gaps):
+            self._filter_long(int(self.cuts[k]), int(self.cuts[k + 1]), weight, prob)
         # Integer cumulative probabilities within each node.
         rank = np.arange(edges) - self.first_edge[node1]
         for lo, hi in _runs(rank[by_rank := np.argsort(rank.astype(np.uint16), kind="stable")]):
@@ -200,6 +224,33 @@ class _Lattice:
         self.part = np.minimum(np.floor(prob * 2.0**32), 2.0**32).astype(np.uint64)
         self.part[np.r_[node1[1:] != node1[:-1], True]] = 1 << 32
 
+    def _filter_long(self, start: int, stop: int, weight: np.ndarray, prob: np.ndarray) -> None:
+        """Probabilities of the edges between two cuts, node by node; chosen by the stretch's own
+        length, so that a text's samples do not depend on its neighbours."""
+        first = self.first_edge[start + 1:stop + 2].tolist()
+        lo, hi = first[0], first[-1]
+        origin, gain = (self.node0[lo:hi] - start).tolist(), weight[lo:hi].tolist()
+        alpha, out = [0.0], []
+        exp, log = math.exp, math.log
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            v = [alpha[origin[e]] + gain[e] for e in range(a - lo, b - lo)]
+            top = max(v)
+            v = [exp(x - top) for x in v]
+            total = sum(v)
+            alpha.append(top + log(total))
+            out += [x / total for x in v]
+        prob[lo:hi] = out
+
+    def parts(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the words the stretches between cuts: (place of the word, first node, last node)."""
+        lo = np.searchsorted(self.cuts, self.first_node).astype(np.int32)
+        many = np.searchsorted(self.cuts, self.first_node + self.lens).astype(np.int32) - lo
+        per = many[word]
+        owner = np.repeat(np.arange(len(word), dtype=np.int32), per)
+        at = np.arange(len(owner), dtype=np.int32) - np.repeat((np.cumsum(per) - per).astype(np.int32), per)
+        at += lo[word][owner]
+        return owner, self.cuts[at], self.cuts[at + 1]
+
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """For each node and 32-bit number the edge drawn."""
         edge = self.first_edge[node]
@@ -209,6 +260,25 @@ class _Lattice:
             todo = todo[self.part[edge[todo]] <= u[todo]]
         return edge
 
+    def draw_stretch(self, start: int, node: int, seed: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        """The edges drawn from ``node`` back to ``start`` and their first nodes; draws as :meth:`draw` does."""
+        low = int(self.first_edge[start])
+        high = int(self.first_edge[node + 1])
+        first = self.first_edge[start:node + 1].tolist()
+        part, origin = self.part[low:high].tolist(), self.node0[low:high].tolist()
+        at = np.arange(start, node + 1, dtype=np.int64) + shift
+        with np.errstate(over="ignore"):
+            numbers = (_mix(np.uint64(seed) + at.astype(np.uint64) * _MUL) >> np.uint64(32)).tolist()
+        drawn = []
+        while node > start:
+            u, e = numbers[node - start], first[node - start] - low
+            while part[e] <= u:
+                e += 1
+            drawn.append(e + low)
+            node = origin[e]
+        edge = np.array(drawn, np.int32)
+        return edge, self.node0[edge].astype(np.int64)
+
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of equal neighbours."""
@@ -244,21 +314,26 @@ def encode_rows(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> tuple[
     row_first = np.cumsum(np.r_[0, rows])[:-1]
     base = np.r_[upto, 0][np.minimum(row_first, len(upto) - 1)]
     offsets = upto - base[row]  # characters before the segment in its row
-    node = lat.first_node[word] + lat.lens[word]
-    stop = lat.first_node[word]
-    seeds = _mix(keys)[row]
-    live = np.arange(len(word))
+    seeds = _mix(keys)
+    shift = (offsets - lat.first_node[word]).astype(np.int64)  # of a node to its place in the row
+    global_shift = (upto - lat.first_node[word]).astype(np.int64)
+    live, stop, node = lat.parts(word)  # the place of its word, first and current node of each stretch
     places, edges, owners = [], [], []
-    while len(live):
-        where = offsets[live] + node[live] - stop[live]
+    while len(live) >= FEW_DRAWS:
         with np.errstate(over="ignore"):
-            u = _mix(seeds[live] + where.astype(np.uint64) * _MUL) >> np.uint64(32)
-        edge = lat.draw(node[live], u)
-        node[live] = lat.node0[edge]
-        places.append((upto[live] + node[live] - stop[live]))
+            u = _mix(seeds[row[live]] + (shift[live] + node).astype(np.uint64) * _MUL) >> np.uint64(32)
+        edge = lat.draw(node, u)
+        node = lat.node0[edge]
+        places.append(global_shift[live] + node)
         edges.append(edge)
         owners.append(row[live])
-        live = live[node[live] > stop[live]]
+        on = np.flatnonzero(node > stop)
+        live, stop, node = live[on], stop[on], node[on]
+    for w, lo, hi in zip(live.tolist(), stop.tolist(), node.tolist(), strict=True):
+        edge, at = lat.draw_stretch(lo, hi, int(seeds[row[w]]), int(shift[w]))
+        edges.append(edge)
+        places.append(global_shift[w] + at)
+        owners.append(np.full(len(edge), row[w], np.int32))
     place, edge = np.concatenate(places), np.concatenate(edges)
     order = np.argsort(place, kind="stable")
     edge, owner = edge[order], np.concatenate(owners)[order]
@@ -268,12 +343,8 @@ def encode_rows(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> tuple[
         return piece, np.bincount(owner, minlength=len(texts))
     size = np.where(bare, 1 + (char > 0x7F).astype(np.int64) + (char > 0x7FF) + (char > 0xFFFF), 1)
     out = np.repeat(piece, size)
-    first = np.cumsum(size) - size
-    for c in np.unique(char[bare]):
-        raw = vocab.byte_ids[np.frombuffer(chr(int(c)).encode("utf-8"), np.uint8)]
-        spots = first[bare & (char == c)]
-        for k, b in enumerate(raw):
-            out[spots + k] = b
+    raw = char[bare].astype("<u4").tobytes().decode("utf-32-le").encode("utf-8")
+    out[np.repeat(bare, size)] = vocab.byte_ids[np.frombuffer(raw, np.uint8)]
     return out, np.bincount(np.repeat(owner, size), minlength=len(texts))
 
 

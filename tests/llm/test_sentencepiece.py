@@ -1,6 +1,7 @@
 import math
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -92,3 +93,35 @@ def test_slices_do_not_change_a_row(spark, monkeypatch):
     one = {r["doc_id"]: r["pieces"] for r in sp.encode(df).collect()}
     monkeypatch.setattr(sp, "SLICE_CHARS", 50)
     assert {r["doc_id"]: r["pieces"] for r in sp.encode(df).collect()} == one
+
+
+@pytest.mark.parametrize("make", [
+    lambda r: "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(1_000_000)),
+    lambda r: "".join(r.choice("ACGT") for _ in range(300_000)),
+    lambda r: "x" * 300_000,
+    lambda r: "\U0001F600" * 200_000,
+])
+def test_long_texts_without_spaces(make):
+    v = sp.Vocabulary.load()
+    text = make(random.Random(3))
+    start = time.process_time()
+    ids, counts = sp.encode_rows(v, [text], np.array([5], np.uint64))
+    assert time.process_time() - start < 20
+    assert counts.tolist() == [len(ids)] and v.decode(ids.tolist()) == text
+
+
+def test_stretches_are_drawn_alike_in_any_batch(monkeypatch):
+    """Cuts, long stretches and single draws change no sample, whatever else is in the batch."""
+    v = sp.Vocabulary.load()
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdeé ") for _ in range(n)) for n in (1, 40, 700)]
+    texts += ["".join(r.choice("thequickbrown") for _ in range(900)), "字" * 300 + "word" * 100]
+    keys = np.arange(len(texts), dtype=np.uint64)
+    ids, counts = sp.encode_rows(v, texts, keys)
+    alone = [sp.encode_rows(v, [t], k) for t, k in zip(texts, keys.reshape(-1, 1), strict=True)]
+    assert ids.tolist() == [x for a, _ in alone for x in a.tolist()]
+    monkeypatch.setattr(sp, "FEW_DRAWS", 1)
+    assert sp.encode_rows(v, texts, keys)[0].tolist() == ids.tolist()
+    monkeypatch.setattr(sp, "LONG_STRETCH", 10**4)
+    again, same = sp.encode_rows(v, texts, keys)
+    assert again.tolist() == ids.tolist() and same.tolist() == counts.tolist()
