@@ -10,6 +10,7 @@ from cohortmine.operators.baskets import (
     transaction_count,
     transactions,
 )
+from cohortmine.operators.border import sampled_itemsets, stored_itemsets, update_itemsets
 from cohortmine.operators.cohort import (
     cohort,
     explode_labels,
@@ -57,6 +58,8 @@ __all__ = [
     "maximal_itemsets",
     "mine_itemsets",
     "rule_complement",
+    "sampled_itemsets",
+    "stored_itemsets",
     "strong_measurements",
     "subject_labels",
     "support_report",
@@ -64,4 +67,5 @@ __all__ = [
     "total_text_length",
     "transaction_count",
     "transactions",
+    "update_itemsets",
 ]

@@ -7,6 +7,7 @@ value-for-value with the SQL in :mod:`cohortmine.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from cohortmine.operators.baskets import (
     transaction_count,
     transactions,
 )
+from cohortmine.operators.border import sampled_itemsets, stored_itemsets, update_itemsets
 from cohortmine.operators.cohort import (
     cohort,
     explode_labels,
@@ -43,6 +45,7 @@ from cohortmine.operators.rules import (
     support_report,
 )
 from cohortmine.operators.text import total_text_length
+from cohortmine.session import ensure_checkpoint_dir
 from cohortmine.sources.tables import (
     m1_measurements,
     m1_subjects,
@@ -193,6 +196,22 @@ def q_itemsets_partition(spark, sf):
     return _strings(_dense(spark, sf, "partition")[0], "items")
 
 
+def q_itemsets_sampled(spark, sf):
+    """The dense setting by a sample of its transactions, verified with the negative border."""
+    tx = m1_transactions(spark, sf, DENSE_MIN_VALUE)
+    return _strings(sampled_itemsets(tx, DENSE_MIN_SUPPORT, DENSE_MAX_SIZE)[0], "items")
+
+
+def q_itemsets_incremental(spark, sf):
+    """The dense setting taken in three batches; most transactions arrive in pieces."""
+    tx = m1_transactions(spark, sf, DENSE_MIN_VALUE).checkpoint()
+    state = f"{ensure_checkpoint_dir(spark)}/itemsets-{uuid.uuid4().hex}"
+    for b in range(3):
+        part = tx.filter(F.pmod(F.xxhash64("tid", "item"), F.lit(3)) == b)
+        update_itemsets(state, part, b, DENSE_MIN_SUPPORT, DENSE_MAX_SIZE)
+    return _strings(stored_itemsets(spark, state)[0], "items")
+
+
 def q_closed_itemsets(spark, sf):
     return _strings(closed_itemsets(_dense(spark, sf, "partition")[0]), "items")
 
@@ -393,6 +412,8 @@ QUERIES: dict[str, Query] = {
     "itemsets_dense_fpgrowth": q_itemsets_dense_fpgrowth,
     "itemsets_vertical": q_itemsets_vertical,
     "itemsets_partition": q_itemsets_partition,
+    "itemsets_sampled": q_itemsets_sampled,
+    "itemsets_incremental": q_itemsets_incremental,
     "itemsets_low_support": q_itemsets_low_support,
     "pairs_hashed": q_pairs_hashed,
     "closed_itemsets": q_closed_itemsets,

@@ -259,6 +259,8 @@ L2 AS (
     "itemsets_dense_fpgrowth": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
     "itemsets_vertical": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
     "itemsets_partition": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "itemsets_sampled": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
+    "itemsets_incremental": _dense() + "\n" + _levels_union(DENSE_MAX_SIZE),
     "itemsets_low_support": _sparse() + "\n" + _levels_union(2),
     "pairs_hashed": _sparse() + f"""
 SELECT {_itemstr(['i1', 'i2'])} AS items, CAST(cnt AS BIGINT) AS cnt FROM L2""",
