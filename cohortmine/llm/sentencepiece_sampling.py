@@ -184,23 +184,26 @@ class _Lattice:
         self.first_edge = np.searchsorted(node1, np.arange(nodes + 1, dtype=np.int32)).astype(np.int32)
         # Cuts: nodes that no edge passes over. Every path visits them, so a stretch between two
         # is filtered from its own start.
-        over = np.zeros(nodes + 1, np.int32)
-        wide = node1 - self.node0 > 1
-        np.add.at(over, self.node0[wide] + 1, 1)
-        np.subtract.at(over, node1[wide], 1)
-        is_cut = np.cumsum(over[:-1], dtype=np.int32) == 0
+        wide = np.flatnonzero(node1 - self.node0 > 1)
+        over = np.bincount(self.node0[wide] + 1, minlength=nodes) - np.bincount(node1[wide], minlength=nodes)
+        is_cut = np.cumsum(over) == 0
         self.cuts = np.flatnonzero(is_cut).astype(np.int32)
         del over, wide
-        base = self.cuts[np.searchsorted(self.cuts, node1) - 1]
+        last_cut = np.zeros(nodes, np.int32)
+        last_cut[self.cuts] = self.cuts
+        base = np.maximum.accumulate(last_cut)[node1 - 1]
         step = node1 - base
         alpha = np.zeros(nodes)
         prob = np.empty(edges)
         gaps = np.diff(self.cuts) > LONG_STRETCH
         long = np.zeros(nodes, bool)
         long[self.cuts[:-1][gaps]] = True
-        short = np.flatnonzero(~long[base]).astype(np.int32)
         # Forward filtering, by distance from the stretch's start; edges stay in node order.
-        by_step = short[np.argsort(step[short].astype(np.uint16), kind="stable")]
+        if gaps.any():
+            short = np.flatnonzero(~long[base]).astype(np.int32)
+            by_step = short[np.argsort(step[short].astype(np.uint16), kind="stable")]
+        else:
+            by_step = np.argsort(step.astype(np.uint16), kind="stable").astype(np.int32)
         for lo, hi in _runs(step[by_step]):
             e = by_step[lo:hi]
             v = alpha[self.node0[e]] + weight[e]
@@ -243,8 +246,8 @@ class _Lattice:
 
     def parts(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the words the stretches between cuts: (place of the word, first node, last node)."""
-        lo = np.searchsorted(self.cuts, self.first_node).astype(np.int32)
-        many = np.searchsorted(self.cuts, self.first_node + self.lens).astype(np.int32) - lo
+        lo = np.searchsorted(self.cuts, self.first_node).astype(np.int32)  # both ends of a word are cuts
+        many = np.diff(np.r_[lo, len(self.cuts)]).astype(np.int32) - 1
         per = many[word]
         owner = np.repeat(np.arange(len(word), dtype=np.int32), per)
         at = np.arange(len(owner), dtype=np.int32) - np.repeat((np.cumsum(per) - per).astype(np.int32), per)
