@@ -23,7 +23,6 @@ import os
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,12 +176,10 @@ def _verified(guess: DataFrame, singles: DataFrame, least: int, max_size: int |
 
 def _read(spark: SparkSession, state: str, part: str, before: int) -> DataFrame | None:
     """A part of the state written by batches before ``before``, None if there is none."""
-    try:
-        rows = spark.read.option("basePath", f"{state}/{part}").parquet(f"{state}/{part}")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND" and "UNABLE_TO_INFER_SCHEMA" not in str(exc.getCondition()):
-            raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/{part}")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return None
+    rows = spark.read.parquet(f"{state}/{part}")
     return rows.filter(F.col("batch") < before)
 
 
