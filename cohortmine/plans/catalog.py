@@ -46,6 +46,7 @@ from cohortmine.operators.rules import (
 )
 from cohortmine.operators.text import total_text_length
 from cohortmine.session import ensure_checkpoint_dir
+from cohortmine.sources import line_format, stored
 from cohortmine.sources.tables import (
     m1_measurements,
     m1_subjects,
@@ -353,6 +354,46 @@ def q_subject_lines_parsed(spark, sf):
     return parse_subject_lines(header.unionByName(lines))
 
 
+def _line_files(spark: SparkSession, df: DataFrame, kind: str) -> str:
+    """``df`` written as line files by the registered format, in a new shared folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    df.write.format(line_format.register(spark)).option("kind", kind).mode("append").save(path)
+    return path
+
+
+def q_measurement_lines_source(spark, sf):
+    """S1 + P2 as a data source: lineitem rows written as line files and read back."""
+    path = _line_files(spark, m2_measurements(spark, sf), "measurements")
+    return spark.read.format(line_format.NAME).option("kind", "measurements").load(path)
+
+
+def q_itemset_lines_source(spark, sf):
+    """S3 + K2/K3 as a data source: mined itemsets written as line files and read back."""
+    path = _line_files(spark, _dense(spark, sf, "partition")[0], "itemsets")
+    return _strings(spark.read.format(line_format.NAME).option("kind", "itemsets").load(path), "items")
+
+
+def _stored_m1(spark: SparkSession, sf: str, measurements=m1_measurements) -> stored.StoredMeasurements:
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    return stored.store_measurements(measurements(spark, sf), path)
+
+
+def q_transactions_stored(spark, sf):
+    """J2 + H3 over measurements bucketed by subject."""
+    return stored.stored_transactions(_stored_m1(spark, sf), m1_cohort(spark, sf), M1_MIN_VALUE)
+
+
+def q_baskets_stored(spark, sf):
+    """A3 over measurements bucketed by subject."""
+    return _strings(stored.stored_baskets(_stored_m1(spark, sf), m1_cohort(spark, sf), M1_MIN_VALUE), "items")
+
+
+def q_label_counts_stored(spark, sf):
+    """J1 + A1 over measurements bucketed by subject."""
+    return stored.stored_label_counts(_stored_m1(spark, sf, m2_measurements), m2_subjects(spark, sf), M2_LABELS,
+                                      M2_FEATURE, M2_MIN_VALUE)
+
+
 def q_label_count_lines(spark, sf):
     return label_count_lines(q_label_counts(spark, sf))
 
@@ -430,6 +471,11 @@ QUERIES: dict[str, Query] = {
     "fp_rules": q_fp_rules,
     "measurement_lines_parsed": q_measurement_lines_parsed,
     "subject_lines_parsed": q_subject_lines_parsed,
+    "measurement_lines_source": q_measurement_lines_source,
+    "itemset_lines_source": q_itemset_lines_source,
+    "transactions_stored": q_transactions_stored,
+    "baskets_stored": q_baskets_stored,
+    "label_counts_stored": q_label_counts_stored,
     "label_count_lines": q_label_count_lines,
     "itemset_lines": q_itemset_lines,
     "itemset_lines_parsed": q_itemset_lines_parsed,

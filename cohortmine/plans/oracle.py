@@ -315,3 +315,12 @@ FROM (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM par
        CAST(count(*) AS BIGINT) AS n_lines
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL) t""",
 }
+
+# The same rows by other ways: files of the registered line format, measurements stored by subject.
+ORACLE_SQL |= {
+    "measurement_lines_source": ORACLE_SQL["measurement_lines_parsed"],
+    "itemset_lines_source": ORACLE_SQL["itemset_lines_parsed"],
+    "transactions_stored": ORACLE_SQL["transactions"],
+    "baskets_stored": ORACLE_SQL["baskets"],
+    "label_counts_stored": ORACLE_SQL["label_counts"],
+}

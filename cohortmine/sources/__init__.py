@@ -1,5 +1,13 @@
 """Sources and sinks: driver Parquet tables, stand-in mappings and text formats."""
 
+from cohortmine.sources.line_format import register as register_line_format
+from cohortmine.sources.stored import (
+    open_measurements,
+    store_measurements,
+    stored_baskets,
+    stored_label_counts,
+    stored_transactions,
+)
 from cohortmine.sources.tables import (
     TABLES,
     m1_measurements,
@@ -39,6 +47,7 @@ __all__ = [
     "m1_subjects",
     "m2_measurements",
     "m2_subjects",
+    "open_measurements",
     "parse_basket_lines",
     "parse_itemset_lines",
     "parse_measurement_lines",
@@ -49,10 +58,15 @@ __all__ = [
     "read_measurements_csv",
     "read_subjects_text",
     "read_table",
+    "register_line_format",
     "report_lines",
     "rule_lines",
     "split_measurement_lines",
     "split_subject_lines",
+    "store_measurements",
+    "stored_baskets",
+    "stored_label_counts",
+    "stored_transactions",
     "write_itemsets_parquet",
     "write_itemsets_text",
     "write_label_counts_text",
