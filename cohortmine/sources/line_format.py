@@ -14,7 +14,8 @@ mean in :mod:`cohortmine.sources.text_io`: whole numbers with an optional sign,
 numbers with an optional exponent, ``NaN`` or ``Infinity`` in any case; white space around them is
 not read.
 
-Reading is planned in byte ranges of ``splitBytes``: a line belongs to the range its first byte
+Reading is planned in byte ranges of ``splitBytes`` (by default a 256th of the input, 4 MB at least and
+128 MB at most): a line belongs to the range its first byte
 lies in, so every task reads its own range and the end of its last line. A task holds one block
 of ``BLOCK`` bytes, or its longest line. Compressed files are one range each. Lines end at
 ``\\n``, ``\\r`` or ``\\r\\n``; ranges and blocks are cut at ``\\n`` only. Bytes that are not UTF-8
@@ -24,7 +25,8 @@ Writing takes the same kinds and ``label_counts``, ``report`` and ``rules``, in
 ``append`` and ``overwrite``. A task writes one file below ``_temporary`` under a name of its own
 attempt; the commit moves the files that the successful attempts named, then drops what an
 overwrite replaces, then writes ``_SUCCESS``. What lost attempts wrote goes with the temporary
-folder, so retried tasks leave no lines twice.
+folder, so retried tasks leave no lines twice. (A task that outlives an abort may leave its file below
+``_temporary`` on stores without folders; nothing reads it.)
 """
 
 from __future__ import annotations
@@ -58,7 +60,8 @@ from cohortmine.sources.text_io import MEASUREMENT_HEADER, SUBJECT_HEADER
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NAME = "cohort_lines"
-SPLIT_BYTES = 64 << 20
+SPLIT_BYTES = 4 << 20, 128 << 20  # least and most by default; between them the input is cut in SPLITS
+SPLITS = 256
 BLOCK = 4 << 20
 BAD_LINE = "bad_line"
 SCHEMAS = {
@@ -74,18 +77,19 @@ WRITTEN = {  # columns each kind of line is made of
     "report": ["support", "items"], "rules": ["antecedent", "consequent", "confidence"],
 }
 _EDGE = r"^[\x00-\x20]+|[\x00-\x20]+$"
-_WHOLE = r"^[+-]?[0-9]+$"
+_WHOLE = r"^[+-]?0*[0-9]{1,10}$"
 _DOUBLE = r"^(?i:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|nan|[+-]?inf(?:inity)?)$"
 
 
 # ---- lines to columns ---------------------------------------------------------------
 
 def _whole(text: pa.Array, low: int, high: int) -> pa.Array:
-    """Whole numbers within the bounds; null for any other text."""
+    """Whole numbers within the bounds (of at most ten digits); null for any other text."""
     text = pc.replace_substring_regex(text, _EDGE, "")
     text = pc.if_else(pc.match_substring_regex(text, _WHOLE), text, None)
-    numbers = [None if t is None else int(t) for t in text.to_pylist()]
-    return pa.array([n if n is not None and low <= n <= high else None for n in numbers], pa.int64())
+    numbers = pc.cast(pc.replace_substring_regex(text, r"^\+", ""), pa.int64())
+    inside = pc.and_(pc.greater_equal(numbers, low), pc.less_equal(numbers, high))
+    return pc.if_else(inside, numbers, None)
 
 
 def _double(text: pa.Array) -> pa.Array:
@@ -232,20 +236,20 @@ class LineReader(DataSourceReader):
         self.kind, self.schema = kind, to_arrow_schema(schema)
         self.header = options.get("header", HEADERS.get(kind))
         self.mode = _mode(options)
-        self.split = int(options.get("splitBytes", SPLIT_BYTES))
+        self.split = int(options["splitBytes"]) if "splitBytes" in options else None
         self.block = int(options.get("blockBytes", BLOCK))
-        if self.split < 1 or self.block < 1:
+        if (self.split is not None and self.split < 1) or self.block < 1:
             raise ValueError(f"{NAME}: splitBytes and blockBytes must be positive")
 
     def partitions(self) -> list[InputPartition]:
-        out = []
-        for path in self.paths:
-            for before, info in _files(path):
-                name = before + info.path
-                if re.search(r"\.(gz|bz2|zst|lz4)$", name):
-                    out.append(LineRange(name, 0, None))
-                else:
-                    out += [LineRange(name, lo, min(lo + self.split, info.size)) for lo in range(0, info.size, self.split)]
+        files, out = [f for path in self.paths for f in _files(path)], []
+        split = self.split or min(max(sum(info.size for _, info in files) // SPLITS, SPLIT_BYTES[0]), SPLIT_BYTES[1])
+        for before, info in files:
+            name = before + info.path
+            if re.search(r"\.(gz|bz2|zst|lz4)$", name):
+                out.append(LineRange(name, 0, None))
+            else:
+                out += [LineRange(name, lo, min(lo + split, info.size)) for lo in range(0, info.size, split)]
         return out or [LineRange("", 0, 0)]
 
     def read(self, partition: LineRange) -> Iterator[pa.RecordBatch]:
@@ -297,9 +301,23 @@ def _line(kind: str, row: tuple) -> str:
         return f"({row[0]},{row[1]})"
     if kind == "report":
         return "\t".join([_number(row[0]), *map(str, row[1])])
-    if kind == "rules":
-        return "\t".join([_semicolons(row[0]), _semicolons(row[1]), _number(row[2])])
-    return ",".join("" if x is None else x if isinstance(x, str) else _number(x) for x in row)
+    return "\t".join([_semicolons(row[0]), _semicolons(row[1]), _number(row[2])])
+
+
+def _field(column: pa.Array) -> list[str]:
+    """A column as the fields of comma lines; null is empty."""
+    if pa.types.is_floating(column.type):
+        size = pc.abs(column)
+        usual = pc.and_(pc.greater_equal(size, 1e-3), pc.less(size, 1e7))
+        plain = column.null_count == 0 and pc.all(usual, min_count=0).as_py()
+        return list(map(repr if plain else _number, column.cast(pa.float64()).to_pylist()))
+    return pc.fill_null(pc.cast(column, pa.string()), "").to_pylist()
+
+
+def _formatted(kind: str, columns: list[pa.Array]) -> list[str]:
+    if kind in HEADERS:
+        return list(map(",".join, zip(*map(_field, columns), strict=True)))
+    return [_line(kind, row) for row in zip(*[c.to_pylist() for c in columns], strict=True)]
 
 
 @dataclass
@@ -315,6 +333,8 @@ class LineWriter(DataSourceArrowWriter):
         if missing:
             raise ValueError(f"{NAME}: {kind} lines need the columns {missing}")
         self.job = uuid.uuid4().hex
+        system, _, folder = self._folders()
+        system.create_dir(folder, recursive=True)  # here, so that a task outliving an abort finds no folder
 
     def _folders(self) -> tuple[fs.FileSystem, str, str]:
         system, inner = _file_system(self.path)
@@ -324,16 +344,15 @@ class LineWriter(DataSourceArrowWriter):
         system, _, folder = self._folders()
         context = TaskContext.get()
         name = f"part-{context.partitionId():05d}-{self.job}-{context.taskAttemptId()}.txt"
-        system.create_dir(folder, recursive=True)
         with system.open_output_stream(f"{folder}/{name}") as out:
             if self.header is not None:
                 out.write((self.header + "\n").encode())
             for batch in iterator:
-                rows = zip(*[batch.column(c).to_pylist() for c in WRITTEN[self.kind]], strict=True)
-                lines = [_line(self.kind, row) for row in rows]
-                if any("\n" in x or "\r" in x for x in lines):
+                lines = _formatted(self.kind, [batch.column(c) for c in WRITTEN[self.kind]])
+                text = "".join(x + "\n" for x in lines)
+                if text.count("\n") != len(lines) or "\r" in text:
                     raise ValueError(f"{NAME}: a value holds a line end")
-                out.write("".join(x + "\n" for x in lines).encode("utf-8"))
+                out.write(text.encode("utf-8"))
         return WrittenFile(name)
 
     def commit(self, messages: list[WrittenFile | None]) -> None:

@@ -21,7 +21,7 @@ from cohortmine.sources.text_io import (
     rule_lines,
 )
 
-NUMBERS = ["1", "-7", "+3", " 42 ", "2147483647", "007"]
+NUMBERS = ["1", "-7", "+3", " 42 ", "2147483647", "-2147483648", "007", "-000000000000000012"]
 VALUES = ["1300000", "1250000.5", "-0.25", "1e6", "1E-3", ".5", "5.", "NaN", "Infinity", "-Infinity", " 2.5 "]
 
 
@@ -105,7 +105,7 @@ def test_files_globs_lists_compression(spark, scratch):
 
 
 def test_modes_for_bad_lines(spark, scratch):
-    bad = ["p1,x,3", "p2,1", "p3,1,abc", "p4,99999999999,1", "only", ""]
+    bad = ["p1,x,3", "p2,1", "p3,1,abc", "p4,99999999999,1", "p4,2147483648,1", "p5,-,1", "only", ""]
     _put(scratch, "m.txt", "\n".join(["p0,1,2.5", *bad, "p9,2,1"]).encode())
     with pytest.raises(Exception, match="bad measurements line: p1,x,3"):
         _read(spark, scratch, "measurements").collect()
