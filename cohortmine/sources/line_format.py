@@ -309,9 +309,10 @@ def _field(column: pa.Array) -> list[str]:
     if pa.types.is_floating(column.type):
         size = pc.abs(column)
         usual = pc.and_(pc.greater_equal(size, 1e-3), pc.less(size, 1e7))
-        plain = column.null_count == 0 and pc.all(usual, min_count=0).as_py()
-        return list(map(repr if plain else _number, column.cast(pa.float64()).to_pylist()))
-    return pc.fill_null(pc.cast(column, pa.string()), "").to_pylist()
+        if column.null_count == 0 and pc.all(usual, min_count=0).as_py():
+            return list(map(repr, column.cast(pa.float64()).to_numpy(zero_copy_only=False).tolist()))
+        return list(map(_number, column.cast(pa.float64()).to_pylist()))
+    return pc.fill_null(pc.cast(column, pa.string()), "").to_numpy(zero_copy_only=False).tolist()
 
 
 def _formatted(kind: str, columns: list[pa.Array]) -> list[str]:
