@@ -13,7 +13,7 @@ candidates from ``L_{k-1}`` (:func:`candidates`) and counts them with one of:
   broadcast prefix tree (:func:`_vertical_levels`).
 * ``partition``: two passes without a level loop: every group mined by itself, the union of the
   results counted once (:func:`_partition_levels`).
-* ``fpgrowth``: Spark ML FP-growth over the baskets, then the same filters.
+* ``fpgrowth``: FP-growth over the baskets, then the same filters.
 
 Counts aggregate map-side first, so a popular itemset costs one row per map task
 in a shuffle. The driver keeps only the level counter and one row count per level
@@ -215,8 +215,8 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
       :func:`_vertical_levels`.
     * ``'partition'``: two passes, see :func:`_partition_levels`.
     * ``'tidjoin'``: per-transaction extension join, see :func:`_tidjoin_levels`.
-    * ``'fpgrowth'``: Spark ML FP-growth, then the strict / reference filter. Fast on dense
-      data; builds each conditional tree in one task.
+    * ``'fpgrowth'``: FP-growth over blocks of weighted paths, then the strict / reference
+      filter, see :mod:`cohortmine.operators.fpgrowth`.
     """
     if method == "levelwise":
         method = "bitmap"
@@ -254,7 +254,7 @@ def mine_itemsets(tx: DataFrame, min_support: float = DEFAULT_MIN_SUPPORT,
             f = pairs.join(broadcast_if(l1.select("item"), m1 * itemset_bytes(1) <= broadcast_bytes), "item",
                            "left_semi").select("tid", "item")
             if method == "fpgrowth":
-                levels += _fpgrowth_levels(f, n, min_support, max_size, count_mode, passes)
+                levels += _fpgrowth_levels(f, n, min_support, max_size, count_mode, passes, broadcast_bytes)
             elif method == "vertical":
                 levels += _vertical_levels(f, n, max_size, count_mode, passes, broadcast_bytes)
             elif method == "partition":
@@ -608,17 +608,15 @@ def _tidjoin_levels(f: DataFrame, m1: int, max_size: int | None, count_mode: str
 # ---- FP-growth ------------------------------------------------------------------------
 
 def _fpgrowth_levels(f: DataFrame, n: int, min_support: float, max_size: int | None,
-                     count_mode: str, passes) -> list[DataFrame]:
-    """Sizes k >= 2 by Spark ML FP-growth on the baskets, then the strict (or reference) filter.
+                     count_mode: str, passes, broadcast_bytes: int) -> list[DataFrame]:
+    """Sizes k >= 2 by FP-growth on the baskets, then the strict (or reference) filter.
 
-    FP-growth's bound is inclusive and takes a share of the baskets it is given; it is set
-    half a count below the least count that passes, so rounding cannot lose an itemset. In
-    reference mode ``floor(cnt/(k-1)!) <= cnt`` keeps its output a superset.
+    FP-growth's bound is inclusive: the least count that passes. In reference mode
+    ``floor(cnt/(k-1)!) <= cnt`` keeps its output a superset.
     """
     bask = f.groupBy("tid").agg(F.collect_set("item").alias("items"))  # at most |L_1| items
-    its = frequent_sets(bask, least_count(n, min_support, count_mode)).filter(F.col("k") >= 2)
-    if max_size is not None:
-        its = its.filter(F.col("k") <= max_size)
+    its = frequent_sets(bask, least_count(n, min_support, count_mode), max_size=max_size,
+                        broadcast_bytes=broadcast_bytes).filter(F.col("k") >= 2)
     if count_mode == "reference":
         its = its.withColumn("cnt", F.call_function(
             "div", F.col("cnt"), F.call_function("factorial", F.col("k") - 1)))

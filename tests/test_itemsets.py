@@ -347,3 +347,73 @@ def test_ordered_output(spark):
     rows = [(r["k"], -r["cnt"], tuple(r["items"])) for r in
             frequent_itemsets(_tx_df(spark, bask), 0.2, ordered=True).collect()]
     assert rows == sorted(rows)
+
+
+def _fp_brute(baskets, least):
+    out = {}
+    for b in baskets:
+        for k in range(1, len(b) + 1):
+            for c in itertools.combinations(sorted(b), k):
+                out[c] = out.get(c, 0) + 1
+    return {c: n for c, n in out.items() if n >= least}
+
+
+def test_fpgrowth_in_blocks_and_parts(spark, monkeypatch):
+    """Paths in many blocks and the sets dealt in parts: the same sets, whole."""
+    import random
+
+    from cohortmine.operators import fpgrowth, growth
+
+    rng = random.Random(5)
+    bask = [[x for x in range(9) if rng.random() < 0.5] for _ in range(120)]
+    df = spark.createDataFrame([(b,) for b in bask], "items array<int>").repartition(3)
+    want = _fp_brute(bask, 12)
+    assert _collect(fpgrowth.frequent_sets(df, 12)) == want
+    assert _collect(fpgrowth.frequent_sets(df, 12, num_partitions=5, broadcast_bytes=256)) == want
+    monkeypatch.setattr(growth, "BLOCK_ITEMS", 16)
+    monkeypatch.setattr(growth, "MERGE_ITEMS", 0)
+    assert _collect(fpgrowth.frequent_sets(df, 12, max_size=3)) == {c: n for c, n in want.items() if len(c) <= 3}
+
+
+@pytest.mark.parametrize("method", ["sets", "mined"])
+def test_fpgrowth_stops_at_the_size_asked_for(spark, method):
+    """One basket of 40 items, twice: the library lists 2 ** 40 sets before a bound on size is applied."""
+    from cohortmine.operators.fpgrowth import frequent_sets
+
+    if method == "sets":
+        df = spark.createDataFrame([(list(range(40)),)] * 2, "items array<int>")
+        got = _collect(frequent_sets(df, 2, max_size=2))
+    else:
+        tx = spark.createDataFrame([(t, i) for t in range(2) for i in range(40)], "tid long, item int")
+        got = _collect(frequent_itemsets(tx, 0.5, max_size=2, method="fpgrowth"))
+    assert len(got) == 40 + 780 and set(got.values()) == {2}
+
+
+def test_fp_itemsets_equal_the_library(spark):
+    """Odd baskets as Spark ML takes them: null, empty and repeated baskets, text items, ties."""
+    from cohortmine import fp_model, fp_rules
+
+    rows = [["b", "a"], ["a", "b"], ["c", "a", "b"], [], None, ["c"], ["é", "a"], ["a", "b", "c"], ["é", "c"]]
+    df = spark.createDataFrame([(r,) for r in rows], "items array<string>")
+    for support in (0.0, 0.25, 0.5, 1.0):
+        model = fp_model(df, support, 0.4)
+        want = {tuple(sorted(r["items"])): r["freq"] for r in model.freqItemsets.collect()}
+        assert _collect(fp_itemsets(df, support, strict=False)) == want
+        rules = {(tuple(sorted(r[0])), *r[1], *r[2:]) for r in model.associationRules.collect()}
+        assert {(tuple(r[0]), *r[1], *r[2:]) for r in fp_rules(df, support, 0.4).collect()} == rules
+    assert fp_itemsets(df.limit(0), 0.3).count() == 0
+    with pytest.raises(Exception, match="unique"):
+        fp_itemsets(spark.createDataFrame([([1, 1],)], "items array<int>"), 0.3)
+    odd = spark.createDataFrame([([(1, "x"), (2, "y")],), ([(1, "x")],)], "items array<struct<a:int,b:string>>")
+    assert {tuple(tuple(x) for x in r["items"]) for r in fp_itemsets(odd, 0.5, strict=False).collect()} == {
+        ((1, "x"),), ((2, "y"),), ((1, "x"), (2, "y"))}
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("date", ["2020-01-02", "2021-03-04"]), ("timestamp", ["2020-01-02 03:04:05", "2021-01-01 00:00:00"]),
+    ("decimal(9,2)", ["1.50", "2.25"]), ("double", ["0.5", "1e300"]), ("boolean", ["true", "false"]), ("binary", ["x", "y"])])
+def test_fp_itemsets_of_other_item_types(spark, kind, values):
+    df = spark.createDataFrame([(values,), (values,), (values[:1],)], "items array<string>").selectExpr(f"cast(items as array<{kind}>) items")
+    out = fp_itemsets(df, 0.5)
+    assert out.schema["items"].dataType == df.schema["items"].dataType
+    assert sorted((r["k"], r["cnt"]) for r in out.collect()) == [(1, 2), (1, 3), (2, 2)]
