@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,8 @@ from cohortmine.llm.common import quoted, read
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 11
-SLICE_CHARS = 500_000  # characters sampled at a time in a task
+SLICE_CHARS = 2_000_000  # characters sampled at a time in a task
+LATTICE_CHARS = 50_000  # characters of distinct segments filtered at a time: what the caches hold
 LONG_STRETCH = 256     # a longer stretch of the lattice is filtered node by node
 FEW_DRAWS = 24         # fewer live stretches are drawn one by one
 _MARK = "▁"
@@ -126,8 +128,7 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of a row's pieces, exactly as it was encoded."""
-        table = self.text
-        return b"".join([table[i] for i in ids])[1:].decode("utf-8") if len(ids) else ""
+        return b"".join(map(self.text.__getitem__, ids))[1:].decode("utf-8") if len(ids) else ""
 
 
 _SEGMENT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
@@ -181,7 +182,8 @@ class _Lattice:
         weight, self.char = weight[order], chars[start[order]]
         nodes, edges = n + len(segments), len(order)
         del order, start, piece, seg, local, node0
-        self.first_edge = np.searchsorted(node1, np.arange(nodes + 1, dtype=np.int32)).astype(np.int32)
+        self.first_edge = np.zeros(nodes + 1, np.int32)
+        np.cumsum(np.bincount(node1, minlength=nodes), out=self.first_edge[1:])
         # Cuts: nodes that no edge passes over. Every path visits them, so a stretch between two
         # is filtered from its own start.
         wide = np.flatnonzero(node1 - self.node0 > 1)
@@ -208,14 +210,21 @@ class _Lattice:
             e = by_step[lo:hi]
             v = alpha[self.node0[e]] + weight[e]
             to = node1[e]
-            cut = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
-            size_ = np.diff(np.r_[cut, hi - lo])
+            fresh = np.empty(hi - lo, bool)
+            fresh[0] = True
+            np.not_equal(to[1:], to[:-1], out=fresh[1:])
+            cut = np.flatnonzero(fresh)
+            if len(cut) == hi - lo:  # one edge to each node
+                alpha[to] = np.where(is_cut[to], 0.0, v)
+                prob[e] = 1.0
+                continue
+            own = np.cumsum(fresh) - 1
             top = np.maximum.reduceat(v, cut)
-            v = np.exp(v - np.repeat(top, size_))
+            v = np.exp(v - top[own])
             total = np.add.reduceat(v, cut)
             ends_at = to[cut]
             alpha[ends_at] = np.where(is_cut[ends_at], 0.0, top + np.log(total))
-            prob[e] = v / np.repeat(total, size_)
+            prob[e] = v / total[own]
         for k in np.flatnonzero(gaps):
             self._filter_long(int(self.cuts[k]), int(self.cuts[k + 1]), weight, prob)
         # Integer cumulative probabilities within each node.
@@ -227,6 +236,19 @@ class _Lattice:
         self.part = np.minimum(np.floor(prob * 2.0**32), 2.0**32).astype(np.uint64)
         self.part[np.r_[node1[1:] != node1[:-1], True]] = 1 << 32
 
+    @classmethod
+    def joined(cls, parts: list[_Lattice]) -> _Lattice:
+        """One lattice of the segments of all ``parts``; nothing depends on how they were dealt."""
+        nodes = np.cumsum([0] + [len(p.first_edge) - 1 for p in parts]).astype(np.int32)
+        edges = np.cumsum([0] + [len(p.piece) for p in parts]).astype(np.int32)
+        lat = cls.__new__(cls)
+        for name in ("lens", "piece", "char", "part"):
+            setattr(lat, name, np.concatenate([getattr(p, name) for p in parts]))
+        for name in ("first_node", "node0", "cuts"):
+            setattr(lat, name, np.concatenate([getattr(p, name) + n for p, n in zip(parts, nodes, strict=False)]))
+        lat.first_edge = np.concatenate([*[p.first_edge[:-1] + n for p, n in zip(parts, edges, strict=False)], edges[-1:]])
+        return lat
+
     def _filter_long(self, start: int, stop: int, weight: np.ndarray, prob: np.ndarray) -> None:
         """Probabilities of the edges between two cuts, node by node; chosen by the stretch's own
         length, so that a text's samples do not depend on its neighbours."""
@@ -300,18 +322,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def encode_rows(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sampled piece ids of all texts end to end, and how many each text has. ``keys``: uint64 a row."""
-    table: dict[str, int] = {}
-    words: list[int] = []
-    rows, offsets = [], []
+    table: defaultdict[str, int] = defaultdict()
+    table.default_factory = table.__len__  # a new segment gets the next number
+    words, rows = [np.zeros(0, np.int32)], []
     for text in texts:
         found = _SEGMENT.findall(" " + text) if text else []
-        words += [table.setdefault(s, len(table)) for s in found]
+        words.append(np.fromiter(map(table.__getitem__, found), np.int32, len(found)))
         rows.append(len(found))
-    if not words:
+    word = np.concatenate(words)
+    if not len(word):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-    lat = _Lattice(vocab, list(table))
-    word = np.array(words, np.int32)
-    del words, table
+    segments = list(table)
+    lat = _Lattice.joined([_Lattice(vocab, segments[lo:hi]) for lo, hi in _slices([len(s) for s in segments], LATTICE_CHARS)])
+    del words, table, segments
     row = np.repeat(np.arange(len(texts), dtype=np.int32), rows)
     upto = np.cumsum(lat.lens[word]) - lat.lens[word]
     row_first = np.cumsum(np.r_[0, rows])[:-1]

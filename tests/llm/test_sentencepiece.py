@@ -125,3 +125,28 @@ def test_stretches_are_drawn_alike_in_any_batch(monkeypatch):
     monkeypatch.setattr(sp, "LONG_STRETCH", 10**4)
     again, same = sp.encode_rows(v, texts, keys)
     assert again.tolist() == ids.tolist() and same.tolist() == counts.tolist()
+
+
+def test_lattice_parts_change_no_sample(monkeypatch):
+    """Segments filtered in parts, as few as one a part, give the samples of one lattice."""
+    import random
+
+    import numpy as np
+
+    from cohortmine.llm import sentencepiece_sampling as m
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdeinst  \n中é▁😀") for _ in range(rng.randint(0, 400))) for _ in range(30)] + ["", "x" * 600]
+    keys = np.arange(len(texts), dtype=np.uint64)
+    vocab = m.Vocabulary.load()
+    built = []
+    init = m._Lattice.__init__
+    monkeypatch.setattr(m._Lattice, "__init__", lambda self, v, s: (built.append(len(s)), init(self, v, s))[1])
+    monkeypatch.setattr(m, "LATTICE_CHARS", 10**9)
+    want = m.encode_rows(vocab, texts, keys)
+    assert len(built) == 1
+    for most in (1, 50):
+        monkeypatch.setattr(m, "LATTICE_CHARS", most)
+        got = m.encode_rows(vocab, texts, keys)
+        assert all(np.array_equal(a, b) for a, b in zip(want, got, strict=True))
+    assert len(built) > 10
